@@ -32,7 +32,7 @@ from retinue.catalog.jobs import (
 from retinue.catalog.registry import Context, query
 from retinue.functions.dates import day_gap, month_start
 from retinue.functions.display import fixed, label_of, shorten, with_thousands
-from retinue.functions.numeric import mean, money, percent, ratio, round_half_even, round_to
+from retinue.functions.numeric import decimal_mean, mean, money, percent, ratio, round_half_even, round_to
 from retinue.operators.keyed import first_per_key, most_frequent, top
 from retinue.plans import audit, cleaning, features, quality, reports, segments
 from retinue.session import new_folder
@@ -565,8 +565,8 @@ def _(c: Context):
         c.t["order_items"]
         .groupBy("product_id")
         .agg(
-            mean(amount()).alias("montant_moyen"),
-            mean(F.col("price") - F.col("freight_value")).alias("ecart_moyen"),
+            decimal_mean(amount()).alias("montant_moyen"),
+            decimal_mean(F.col("price") - F.col("freight_value")).alias("ecart_moyen"),
             mean(F.col("order_item_id")).alias("rang_moyen"),
         )
     )
@@ -945,7 +945,7 @@ def _(c: Context):
         .where(value.isNotNull())
         .select(
             "customer_unique_id",
-            with_thousands(F.round(value.cast("double") * 10).cast("bigint")).alias("milliers"),
+            with_thousands(F.rint(value.cast("double") * 10).cast("bigint")).alias("milliers"),
             fixed(value, 2, "R$ ").alias("montant"),
             fixed(F.col("nb_commandes"), 1, suffix="%").alias("pct"),
         )

@@ -19,6 +19,21 @@ def mean(value: Column) -> Column:
     return ratio(F.sum(value), F.count(value))
 
 
+def decimal_ratio(total: Column, count: Column, scale: int = 2) -> Column:
+    """``total / count`` of a decimal with a single rounding, on its unscaled value.
+
+    Equal averages give equal doubles, which ranks with ties depend on; turning the total
+    into a double first would round twice.
+    """
+    unit = 10**scale
+    return ratio(total * F.lit(unit), count * F.lit(unit))
+
+
+def decimal_mean(value: Column, scale: int = 2) -> Column:
+    """Average of a decimal column of the given scale."""
+    return decimal_ratio(F.sum(value), F.count(value), scale)
+
+
 def percent(part: Column, whole: Column) -> Column:
     return ratio(part * F.lit(100), whole)
 

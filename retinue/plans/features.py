@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.functions.dates import day_gap
-from retinue.functions.numeric import money, percent, ratio, round_to
+from retinue.functions.numeric import decimal_ratio, money, percent, ratio, round_to
 from retinue.operators.keyed import best_value
 from retinue.operators.ordered import with_previous
 from retinue.operators.ranking import with_rank
@@ -143,12 +143,13 @@ def _mean_gap() -> Column:
 
 def _mean_change() -> Column:
     change = F.col("derniere")["montant_commande"] - F.col("premiere")["montant_commande"]
-    return ratio(change, _steps())
+    return decimal_ratio(change, _steps())
 
 
 def _mean_later_order() -> Column:
     """Average amount of all orders but the first, the value customers are ranked by."""
-    return ratio(F.col("valeur_totale") - F.col("premiere")["montant_commande"], _steps())
+    later = F.col("valeur_totale") - F.col("premiere")["montant_commande"]
+    return decimal_ratio(later, _steps())
 
 
 # --- sizes ---------------------------------------------------------------------------

@@ -37,6 +37,10 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     return text.sort_values(list(text.columns)).reset_index(drop=True)
 
 
+def as_frame(table) -> pd.DataFrame:
+    return pd.DataFrame({c: table.column(c).to_pylist() for c in table.column_names}, dtype=object)
+
+
 def oracle_connection(folder: str):
     con = duckdb.connect()
     for name in BASE:
@@ -45,13 +49,11 @@ def oracle_connection(folder: str):
 
 
 def difference(spark, con, folder: str, name: str) -> str | None:
-    """None when both sides agree, else what differs. NULL integers travel as floats."""
-    got = spark_frame(QUERIES[name](spark, folder))
+    """None when both sides agree, else what differs."""
+    got = as_frame(QUERIES[name](spark, folder).toArrow())
     if name not in ORACLES:
         return None if len(got) else "no rows"
-    want = con.execute(ORACLES[name]).fetchdf()
-    arrow = con.execute(ORACLES[name]).to_arrow_table()
-    want = pd.DataFrame({c: arrow.column(c).to_pylist() for c in arrow.column_names}, dtype=object)
+    want = as_frame(con.sql(ORACLES[name]).to_arrow_table())
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
@@ -65,11 +67,6 @@ def difference(spark, con, folder: str, name: str) -> str | None:
     return None
 
 
-def spark_frame(df) -> pd.DataFrame:
-    table = df.toArrow()
-    return pd.DataFrame({c: table.column(c).to_pylist() for c in table.column_names}, dtype=object)
-
-
 def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
