@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from retinue.catalog.model_sql import SKEWED
 from retinue.catalog.registry import Context, query
 from retinue.plans import audit, build, cleaning, features, quality, reports, segments
 from retinue.session import new_folder
 from retinue.settings import Params
 from retinue.sources.schemas import REPORT_NAMES, TABLES
-from retinue.sources.tables import materialize, save_bucketed
+from retinue.sources.tables import materialize, save_bucketed, with_tables
 
 # SQL views of the model tables.
 VIEWS = {
@@ -23,9 +24,6 @@ VIEWS = {
     "order_reviews": "m_reviews",
 }
 
-# Small enough that the test tables take the plans meant for large ones.
-SPLIT = Params(task_rows=400)
-
 # --- audits --------------------------------------------------------------------------
 
 ROW_COUNTS = " UNION ALL ".join(
@@ -41,7 +39,7 @@ def _(c: Context):
 
 @query("job_row_counts_raw", ROW_COUNTS.replace("m_reviews", "m_reviews_raw"))
 def _(c: Context):
-    return audit.row_counts({**c.t, "order_reviews": c.raw_reviews})
+    return audit.row_counts(with_tables(c.t, order_reviews=c.raw_reviews))
 
 
 @query(
@@ -333,7 +331,13 @@ def _(c: Context):
 
 @query("job_customer_features_staged", "SELECT * FROM m_features")
 def _(c: Context):
-    return features.customer_features(c.t, SPLIT)
+    """The plan for large inputs."""
+    return features.customer_features(c.t, c.at_scale)
+
+
+@query("job_customer_features_skewed", "SELECT * FROM m_features", SKEWED)
+def _(c: Context):
+    return features.customer_features(c.skewed, c.at_scale)
 
 
 @query("job_customer_features_bucketed", "SELECT * FROM m_features")

@@ -165,16 +165,26 @@ MODEL: dict[str, str] = {
 _NAME = re.compile(r"\bm_[a-z_]+\b")
 
 
-def _needed(sql: str, found: set[str]) -> set[str]:
+# One customer owns a third of all accounts, and so about a third of all orders.
+SKEWED = {
+    "m_customers": MODEL["m_customers"].replace(
+        "concat(o_custkey, '-', o_orderkey % 4)",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE concat(o_custkey, '-', o_orderkey % 4) END",
+    )
+}
+
+
+def _needed(sql: str, model: dict[str, str], found: set[str]) -> set[str]:
     for name in _NAME.findall(sql):
-        if name in MODEL and name not in found:
+        if name in model and name not in found:
             found.add(name)
-            _needed(MODEL[name], found)
+            _needed(model[name], model, found)
     return found
 
 
-def oracle(select: str) -> str:
+def oracle(select: str, changed: dict[str, str] | None = None) -> str:
     """``select`` preceded by the model views it reads, directly or not."""
-    names = _needed(select, set())
-    views = ",\n".join(f"{name} AS ({body})" for name, body in MODEL.items() if name in names)
+    model = {**MODEL, **(changed or {})}
+    names = _needed(select, model, set())
+    views = ",\n".join(f"{name} AS ({body})" for name, body in model.items() if name in names)
     return f"WITH {views}\n{select}" if views else select

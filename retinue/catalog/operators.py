@@ -21,7 +21,6 @@ from retinue.catalog.jobs import (
     SAMPLE,
     SCORE_DIST,
     SEQUENCE,
-    SPLIT,
     STATUS_DIST,
     VIEWS,
     even_sql,
@@ -29,6 +28,7 @@ from retinue.catalog.jobs import (
     presence_sql,
     reference_sql,
 )
+from retinue.catalog.model_sql import SKEWED
 from retinue.catalog.registry import Context, query
 from retinue.functions.dates import day_gap, month_start
 from retinue.functions.display import fixed, label_of, shorten, with_thousands
@@ -726,10 +726,10 @@ def _(c: Context):
     )
 
 
-@query("win_lag_ranges", SEQUENCE)
+@query("win_lag_ranges", SEQUENCE, SKEWED)
 def _(c: Context):
     """The plan for large inputs, where a hot customer's orders span several tasks."""
-    return features.order_sequence(c.t, SPLIT)
+    return features.order_sequence(c.skewed, c.at_scale)
 
 
 @query(
@@ -743,7 +743,7 @@ def _(c: Context):
 @query("win_rank_ranges", "SELECT customer_unique_id, rang_par_valeur FROM m_trend")
 def _(c: Context):
     """The plan for large inputs, where the rank is computed range by range."""
-    return features.trend(c.t, SPLIT).select("customer_unique_id", "rang_par_valeur")
+    return features.trend(c.t, c.at_scale).select("customer_unique_id", "rang_par_valeur")
 
 
 # --- order, limit, sample ------------------------------------------------------------

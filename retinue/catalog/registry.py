@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retinue.catalog.model_sql import oracle
-from retinue.plans.features import customer_features
-from retinue.sources.tables import Tables
+from retinue.plans.features import customer_features, order_bound
+from retinue.settings import Params
+from retinue.sources.tables import Tables, with_tables
 from retinue.sources.testdata import load_model, raw_reviews
 
 
@@ -29,6 +31,19 @@ class Context:
     def raw_reviews(self) -> DataFrame:
         return raw_reviews(self.spark, self.folder)
 
+    @cached_property
+    def skewed(self) -> Tables:
+        """The same tables, but one customer owns a third of all accounts."""
+        customers = self.t["customers"]
+        hot = F.col("customer_id").cast("bigint") % 3 == 0
+        person = F.when(hot, F.lit("hot")).otherwise(F.col("customer_unique_id"))
+        return with_tables(self.t, customers=customers.withColumn("customer_unique_id", person))
+
+    @property
+    def at_scale(self) -> Params:
+        """A task size so small that these tables take the plans meant for large ones."""
+        return Params(task_rows=max(1, order_bound(self.t) // 12))
+
     def features(self, *columns: str) -> DataFrame:
         return customer_features(self.t, columns=columns or None)
 
@@ -37,13 +52,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Record ``function(context)`` under ``name``, with the SQL of the same result."""
+def query(name: str, sql: str | None = None, changed: dict[str, str] | None = None):
+    """Record ``function(context)`` under ``name``, with the SQL of the same result.
+
+    ``changed`` exchanges views of the SQL model.
+    """
 
     def record(function: Callable[[Context], DataFrame]):
         QUERIES[name] = lambda spark, folder: function(Context(spark, folder))
         if sql is not None:
-            ORACLES[name] = oracle(sql)
+            ORACLES[name] = oracle(sql, changed)
         return function
 
     return record

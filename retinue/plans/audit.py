@@ -11,7 +11,7 @@ from retinue.functions.numeric import percent, round_to
 from retinue.operators.keyed import top
 from retinue.settings import DEFAULTS, Params
 from retinue.sources.schemas import REPORT_NAMES
-from retinue.sources.tables import Tables
+from retinue.sources.tables import Tables, with_tables
 
 # Nullable order dates and the names their counts are reported under.
 ORDER_DATES = {
@@ -136,9 +136,8 @@ def orders_without_items(t: Tables) -> DataFrame:
 
 
 def shipped_without_items(t: Tables) -> DataFrame:
-    return (
-        orders_without_items({**t, "orders": t["orders"].where(F.col("order_status") == "shipped")})
-    ).select("order_id", "order_status")
+    shipped = t["orders"].where(F.col("order_status") == "shipped")
+    return orders_without_items(with_tables(t, orders=shipped)).select("order_id", "order_status")
 
 
 def orphan_reviews(t: Tables) -> DataFrame:

@@ -14,7 +14,14 @@ from retinue.plans.quality import constraints
 from retinue.settings import DEFAULTS, Params
 from retinue.sources.csv_files import import_table
 from retinue.sources.schemas import TABLES
-from retinue.sources.tables import Tables, create_view, load_tables, materialize, save_tables
+from retinue.sources.tables import (
+    Tables,
+    create_view,
+    load_tables,
+    materialize,
+    save_tables,
+    with_tables,
+)
 
 
 @dataclass
@@ -39,9 +46,7 @@ def build(spark: SparkSession, files: dict[str, str], folder: str, p: Params = D
     counts = materialize(row_counts(raw), f"{folder}/row_counts")
     violations = materialize(constraints(raw), f"{folder}/violations")
 
-    cleaned = clean(raw)
-    orders = materialize(cleaned["orders"], f"{folder}/clean/orders")
-    tables = {**cleaned, "orders": orders}
+    tables = with_tables(raw, orders=materialize(clean(raw)["orders"], f"{folder}/clean/orders"))
 
     features = materialize(customer_features(tables, p), f"{folder}/mv_customer_features")
     create_view(features)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retinue.operators.keyed import first_per_key
 from retinue.plans.audit import delivered_without_date
 from retinue.sources.csv_files import POSITION
-from retinue.sources.tables import Tables
+from retinue.sources.tables import Tables, with_tables
 
 
 def dedup_reviews(raw: DataFrame, position: str = POSITION) -> DataFrame:
@@ -27,4 +27,4 @@ def clean(t: Tables) -> Tables:
 
     Missing categories, orders without items and missing dates carry meaning and stay.
     """
-    return {**t, "orders": clean_orders(t["orders"])}
+    return with_tables(t, orders=clean_orders(t["orders"]))

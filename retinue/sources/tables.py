@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.sources.schemas import TABLES
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
+
+
+class LazyTables(Tables):
+    """Tables that are opened when first used."""
+
+    def __init__(self, openers: dict[str, Callable[[], DataFrame]]):
+        self._openers = openers
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self._openers[name]()
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._openers)
+
+    def __len__(self) -> int:
+        return len(self._openers)
+
+
+def with_tables(t: Tables, **changed: DataFrame) -> Tables:
+    """The same tables with some of them exchanged."""
+    return ChainMap(changed, t)
 
 # Tables whose joins all run on this column (the joins the indexed layout serves).
 JOIN_KEYS = {
@@ -31,10 +58,10 @@ def save_tables(tables: Tables, folder: str) -> None:
 
 
 def load_tables(spark: SparkSession, folder: str) -> Tables:
-    return {
-        name: spark.read.schema(spec.schema).parquet(f"{folder}/{name}")
-        for name, spec in TABLES.items()
-    }
+    def opener(name: str):
+        return lambda: spark.read.schema(TABLES[name].schema).parquet(f"{folder}/{name}")
+
+    return LazyTables({name: opener(name) for name in TABLES})
 
 
 def register_views(tables: Tables) -> None:
@@ -78,14 +105,14 @@ def save_bucketed(tables: Tables, folder: str, buckets: int, prefix: str, max_sh
     shuffle, where adaptive execution can split the hot partition.
     """
     limit = 4.0 / buckets if max_share is None else max_share
-    out = dict(tables)
+    stored = {}
     for name, key in JOIN_KEYS.items():
         df = tables[name]
         spark = df.sparkSession
         path = f"{folder}/{name}"
         if heaviest_bucket_share(df, key, buckets) > limit:
             df.write.mode("overwrite").parquet(path)
-            out[name] = spark.read.parquet(path)
+            stored[name] = spark.read.parquet(path)
             continue
         (
             df.repartition(buckets, key)
@@ -95,5 +122,5 @@ def save_bucketed(tables: Tables, folder: str, buckets: int, prefix: str, max_sh
             .option("path", path)
             .saveAsTable(f"{prefix}_{name}")
         )
-        out[name] = spark.table(f"{prefix}_{name}")
-    return out
+        stored[name] = spark.table(f"{prefix}_{name}")
+    return with_tables(tables, **stored)

@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.operators.keyed import first_per_key
 from retinue.sources.csv_files import POSITION
-from retinue.sources.tables import Tables, conform
+from retinue.sources.tables import LazyTables, Tables, conform
 
 
 def load_model(spark: SparkSession, folder: str) -> Tables:
     """All eight tables; reviews are already reduced to one row per ``review_id``."""
 
+    @cache
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    tables = {
-        "customers": _customers(read),
-        "sellers": _sellers(read),
-        "products": _products(read),
-        "product_category_name_translation": _translation(read),
-        "orders": _orders(read),
-        "order_items": _items(read),
-        "order_payments": _payments(read),
+    def reviews(_) -> DataFrame:
+        return first_per_key(raw_reviews(spark, folder), ["review_id"], POSITION)
+
+    views = {
+        "customers": _customers,
+        "sellers": _sellers,
+        "products": _products,
+        "product_category_name_translation": _translation,
+        "orders": _orders,
+        "order_items": _items,
+        "order_payments": _payments,
+        "order_reviews": reviews,
     }
-    tables["order_reviews"] = first_per_key(raw_reviews(spark, folder), ["review_id"], POSITION)
-    return {name: conform(df, name) for name, df in tables.items()}
+
+    def opener(name: str):
+        return lambda: conform(views[name](read), name)
+
+    return LazyTables({name: opener(name) for name in views})
 
 
 def raw_reviews(spark: SparkSession, folder: str) -> DataFrame:
