@@ -13,16 +13,15 @@ RANGE = "_range"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; survives the loss of executors.
+    """Compute once, into a table in the shared folder.
 
-    The reliable checkpoint keeps the partitioning of the result, so that later joins on
-    the same key need no further shuffle of it.
+    The result has no lineage, so a lost executor costs at most the tasks it was running.
+    As parquet it is compact, each reader takes only its columns, and its size is known
+    to the planner.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(new_folder(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def in_ranges(df: DataFrame, order: list[Column], rows: int, task_rows: int) -> DataFrame:

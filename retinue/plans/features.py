@@ -323,7 +323,7 @@ def customer_features(
 
     kept = kept_orders(t, p)
     if large and (need["diversity"] or need["payments"]):
-        kept = settle(kept.repartition("order_id"))
+        kept = settle(kept)
 
     facts, aggregates = kept, _recency_aggregates()
     if need["monetary"] or need["trend"]:

@@ -40,6 +40,17 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "retinue-shared")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Everything this application stages lies under one folder."""
+    return f"{shared_dir(spark).rstrip('/')}/retinue-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path under the run's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; frames that read from it are unusable afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

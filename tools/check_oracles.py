@@ -48,9 +48,9 @@ def oracle_connection(folder: str):
     return con
 
 
-def difference(spark, con, folder: str, name: str) -> str | None:
+def difference(con, df, name: str) -> str | None:
     """None when both sides agree, else what differs."""
-    got = as_frame(QUERIES[name](spark, folder).toArrow())
+    got = as_frame(df.toArrow())
     if name not in ORACLES:
         return None if len(got) else "no rows"
     want = as_frame(con.sql(ORACLES[name]).to_arrow_table())
@@ -79,7 +79,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            problem = difference(spark, con, folder, name)
+            problem = difference(con, QUERIES[name](spark, folder), name)
         except Exception as error:  # report and go on
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
