@@ -9,20 +9,14 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], position: str) -> DataFrame:
-    """The row with the lowest ``position`` of every key.
+    """The row with the lowest ``position`` of every key; drop unneeded columns before.
 
     An aggregate rather than a window: copies of one key shrink to one row per map task
-    before the shuffle, and columns nobody reads are pruned.
+    before the shuffle, and no task ever holds all copies of a key.
     """
     others = [c for c in df.columns if c not in key and c != position]
-    return (
-        df.groupBy(*key)
-        .agg(
-            *[F.min_by(F.col(c), F.col(position)).alias(c) for c in others],
-            F.min(position).alias(position),
-        )
-        .select(*df.columns)
-    )
+    first = df.groupBy(*key).agg(F.min(F.struct(position, *others)).alias("_first"))
+    return first.select(*[F.col(c) if c in key else F.col("_first")[c].alias(c) for c in df.columns])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

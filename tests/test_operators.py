@@ -29,7 +29,7 @@ def test_first_per_key_keeps_whole_first_rows(spark):
 def test_first_per_key_combines_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, 2)], "k string, pos int, v int")
     plan = first_per_key(df, ["k"], "pos")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    assert "partial_min" in plan and "Window" not in plan
 
 
 def test_duplicate_keys(spark):
