@@ -16,26 +16,27 @@ def with_previous(
     order: Sequence[str],
     values: dict[str, str],
     *,
+    members: DataFrame,
     row_bound: int,
     task_rows: int,
 ) -> DataFrame:
     """Add ``values[column]``: the column's value in the previous row of the group.
 
-    ``group + order`` must be unique. While the whole input is proven to fit one task
-    (``row_bound <= task_rows``) no group can be too large and one window does it. Beyond
-    that, groups above ``task_rows`` are cut into ranges; all other rows keep the window.
+    ``group + order`` must be unique. ``members`` is a frame, cheaper than ``df``, with the
+    group column and at least as many rows per group. While ``row_bound`` proves that all
+    rows fit one task, no group can be too large and one window does it. Beyond that,
+    groups above ``task_rows`` are cut into ranges; all other rows keep the window.
     """
     if row_bound <= task_rows:
         return _by_window(df, group, order, values)
 
-    rows = settle(df)
-    sizes = rows.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > task_rows)
+    # At most row_bound / task_rows groups can be this large, so the list is small.
+    sizes = members.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > task_rows)
     hot = settle(sizes)
     hot_rows = hot.agg(F.sum("n")).first()[0]
     if not hot_rows:
-        return _by_window(rows, group, order, values)
-    # At most row_bound / task_rows groups can be this large, so the list is small.
-    names = F.broadcast(hot.select(group))
+        return _by_window(df, group, order, values)
+    rows, names = settle(df), F.broadcast(hot.select(group))
     return _by_window(rows.join(names, group, "left_anti"), group, order, values).unionByName(
         _by_ranges(rows.join(names, group, "left_semi"), group, order, values, hot_rows, task_rows)
     )

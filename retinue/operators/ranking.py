@@ -13,19 +13,26 @@ def with_rank(
 ) -> DataFrame:
     """Add the rank of ``value``, highest first, with gaps after ties; NULL has no rank.
 
-    ``key`` must be unique. A table proven to fit one task is ranked by a plain window.
-    A larger one is ranked range by range, in parallel; pass a settled frame then, since
-    it is read twice.
+    ``key`` must be unique and ``row_bound`` no less than the number of rows. Up to
+    ``task_rows`` values a plain window ranks them; more are ranked range by range, in
+    parallel. Beyond the bound ``df`` is read several times: pass a settled frame.
     """
     if row_bound <= task_rows:
-        w = Window.orderBy(F.col(value).desc_nulls_last())
-        return df.withColumn(out, F.when(F.col(value).isNotNull(), F.rank().over(w)).cast("bigint"))
-    ranked = _by_ranges(
-        df.where(F.col(value).isNotNull()).select(key, value), key, value, out, row_bound, task_rows
-    )
+        return _by_window(df, value, out)
+    valued = df.where(F.col(value).isNotNull()).select(key, value)
+    rows = valued.count()
+    if rows <= task_rows:
+        ranked = _by_window(valued, value, out).select(key, out)
+    else:
+        ranked = _by_ranges(valued, key, value, out, rows, task_rows)
     return df.join(ranked, key, "left")
 
 
+def _by_window(df: DataFrame, value: str, out: str) -> DataFrame:
+    w = Window.orderBy(F.col(value).desc_nulls_last())
+    return df.withColumn(out, F.when(F.col(value).isNotNull(), F.rank().over(w)).cast("bigint"))
+
+
 def _by_ranges(df: DataFrame, key: str, value: str, out: str, rows: int, task_rows: int) -> DataFrame:
     """Rank inside each range plus the rows of the ranges before.
 

@@ -11,6 +11,9 @@ from retinue.session import new_folder
 
 RANGE = "_range"
 
+# Beyond this many, ranges grow instead: tasks spill, while shuffles of more partitions choke.
+MOST_RANGES = 20_000
+
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, into a table in the shared folder.
@@ -25,10 +28,11 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def in_ranges(df: DataFrame, order: list[Column], rows: int, task_rows: int) -> DataFrame:
-    """Sort rows into consecutive ranges of about ``task_rows / 2`` and number the ranges.
+    """Sort rows into consecutive ranges of about ``task_rows / 2``, numbered, one task each.
 
     ``order`` must end in a unique column: rows that agree on the leading columns then
     spread over several ranges. Range numbers are only stable once the result is settled.
     """
-    ranges = max(2, ceil(2 * rows / task_rows))
-    return df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id())
+    ranges = min(max(2, ceil(2 * rows / task_rows)), MOST_RANGES)
+    numbered = df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id())
+    return numbered.repartition(ranges, RANGE)

@@ -249,7 +249,8 @@ def payments(t: Tables, p: Params = DEFAULTS, kept: DataFrame | None = None) ->
 
 def order_sequence(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     """Orders with items of each customer, with the amount of and days since the one before."""
-    amounts = kept_orders(t, p).join(
+    kept = kept_orders(t, p)
+    amounts = kept.join(
         item_totals(t).select("order_id", money(F.col("montant_commande")).alias("montant_commande")),
         "order_id",
     )
@@ -258,6 +259,7 @@ def order_sequence(t: Tables, p: Params = DEFAULTS) -> DataFrame:
         PERSON,
         [BOUGHT_AT, "order_id"],
         {"montant_commande": "montant_commande_precedente", BOUGHT_AT: "_avant"},
+        members=kept,
         row_bound=order_bound(t),
         task_rows=p.task_rows,
     )

@@ -72,7 +72,7 @@ def test_previous_across_ranges_equals_the_window(spark, kind, task_rows):
     names = {"v": "v_before", "at": "at_before"}
 
     def run(limit):
-        out = with_previous(df, "g", ["at", "id"], names, row_bound=len(rows), task_rows=limit)
+        out = with_previous(df, "g", ["at", "id"], names, members=df, row_bound=len(rows), task_rows=limit)
         return sorted(tuple(r) for r in out.select("g", "at", "id", "v", "v_before", "at_before").collect())
 
     def key(r):
