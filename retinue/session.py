@@ -18,6 +18,8 @@ def build_session(app: str = "retinue", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Joins whose every partition proves small at run time hash it instead of sorting both sides.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **conf,
