@@ -13,6 +13,7 @@ from retinue.catalog.jobs import (
     CITY_TOP,
     CLEAN_ORDERS,
     DEDUP_REVIEWS,
+    KPIS,
     MANY_IDS,
     PROFILE,
     RANGE_SQL,
@@ -952,7 +953,17 @@ def _(c: Context):
     )
 
 
-@query("fn_fmt_kpi_cards")
+@query(
+    "fn_fmt_kpi_cards",
+    f"""SELECT concat(format('R$ {{:.2f}}', cast(total_ca AS double) / 1000000), 'M') AS ca_total,
+               format('{{:,}}', total_orders) AS commandes,
+               format('R$ {{:.0f}}', avg_basket) AS panier_moyen,
+               format('{{:,}}', total_clients) AS clients,
+               concat(format('{{:.1f}}', pct_a_risque), '%') AS a_risque,
+               concat(format('{{:.1f}}', pct_churne), '%') AS churn,
+               format('{{:,}}', nb_churne) AS clients_churnes
+        FROM ({KPIS})""",
+)
 def _(c: Context):
     return reports.kpi_cards(c.features(*reports.KPI_COLUMNS))
 
