@@ -84,6 +84,11 @@ def test_duplicate_reviews_shrink_before_the_shuffle(spark):
     assert "Window" not in plan
 
 
+def test_places_are_read_only_when_asked_for(t):
+    assert "nationkey" not in plan_of(features.kept_orders(t))
+    assert "c_nationkey" in plan_of(audit.top_cities(t))
+
+
 def test_top_k_does_not_sort_everything(t):
     assert "TakeOrderedAndProject" in plan_of(audit.top_cities(t))
     assert "TakeOrderedAndProject" in plan_of(reports.top_categories(t))
