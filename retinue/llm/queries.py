@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import lines, mixing, quality
+from retinue.llm import bpe, lines, mixing, quality, tokenfiles
 from retinue.llm.frames import read
+from retinue.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +115,39 @@ def op5_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.drop_repeated_lines(read(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+@query("op1_token_files")
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    place = new_folder(spark, "tokens")
+    manifest = tokenfiles.write_token_files(
+        read(spark, folder, "documents"), place, path=public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+    if manifest.isEmpty():
+        return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    found = tokenfiles.read_token_files(spark, place).select(
+        "file",
+        "doc_id",
+        "first",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+    return found.join(manifest, "file").select(
+        "doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(read(spark, folder, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path=path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("content", 256).alias("decoded_sha256"),
+    )
