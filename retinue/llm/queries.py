@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import bpe, lines, mixing, quality, tokenfiles
+from retinue.llm import bpe, language, lines, mixing, probminhash, quality, tokenfiles
 from retinue.llm.frames import read
 from retinue.session import new_folder
 
@@ -151,3 +151,25 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("content", 256).alias("decoded_sha256"),
     )
+
+
+def held_out(doc_id: str = "doc_id"):
+    """A quarter of the documents, by their id, that no language is learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel | None:
+    return language.fit(docs.where(~held_out()), path=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return language.predict(docs, language_model(docs), doc_id="doc_id").select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op6_probminhash")
+def op6_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return probminhash.near_duplicates(read(spark, folder, "documents"))

@@ -54,3 +54,15 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
+
+
+def list_pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """As :func:`pieces`, for a column of lists and the number of their elements."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lengths = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)
+        marks = (np.cumsum(lengths) - lengths) // most
+        cuts = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            yield batch.slice(start, end - start)
