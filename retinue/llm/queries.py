@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import bpe, language, lines, mixing, probminhash, quality, tokenfiles
+from retinue.llm import bpe, language, lines, mixing, probminhash, quality, tokenfiles, urls
 from retinue.llm.frames import read
 from retinue.session import new_folder
 
@@ -173,3 +173,18 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_probminhash")
 def op6_probminhash(spark: SparkSession, folder: str) -> DataFrame:
     return probminhash.near_duplicates(read(spark, folder, "documents"))
+
+
+# The rules of the contract.
+URL_RULES = (
+    urls.Rule("allow", "org/"),
+    urls.Rule("block", "example.org/es/"),
+    urls.Rule("block", "example.org/en/1"),
+    urls.Rule("allow", "com/fr/"),
+    urls.Rule("block", "com/de/"),
+)
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filter_urls(read(spark, folder, "pages"), URL_RULES)

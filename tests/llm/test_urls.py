@@ -1,0 +1,149 @@
+"""URL parsing, rules and name division against plain Python."""
+
+import itertools
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from retinue.llm import urls
+from retinue.llm.queries import QUERIES, URL_RULES
+
+TABLE = "page_id bigint, url string, html string, host string, verdict int"
+
+
+def plain(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest)[0]
+    path = re.split(r"[?#]", rest[len(host) :])[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(host, path):
+    best = None
+    for rule in URL_RULES:
+        name, _, start = rule.where.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + start):
+            if best is None or len(rule.where) > len(best.where):
+                best = rule
+    return best
+
+
+def test_splits_are_the_most_probable():
+    rng = random.Random(2)
+    for _ in range(60):
+        counts = {"".join(rng.choices("ab", k=rng.randint(1, 4))): rng.randint(1, 50) for _ in range(8)}
+        total = sum(counts.values())
+        name = "".join(rng.choices("ab", k=rng.randint(1, 9)))
+        found = [(s, w, c) for w, c in counts.items() for s in range(len(name)) if name.startswith(w, s)]
+        got = urls.best_split(name, *(list(x) for x in zip(*found)) if found else ([], [], []), total)
+
+        def chance(parts, counts=counts, total=total):
+            return sum(
+                math.log(counts[p] / total) if p in counts else math.log(10 / total) - len(p) * math.log(10)
+                for p in parts
+            )
+
+        best = -math.inf
+        for cuts in itertools.product([0, 1], repeat=len(name) - 1):
+            parts, start = [], 0
+            for i, cut in enumerate(cuts, 1):
+                if cut:
+                    parts.append(name[start:i])
+                    start = i
+            best = max(best, chance([*parts, name[start:]]))
+        assert "".join(got) == name
+        # A known word may also count as an unknown string, if that is more probable.
+        assert chance(got) <= best + 1e-9
+
+
+def test_division_of_a_joined_name(spark):
+    words = spark.createDataFrame([("cheap", 30), ("pills", 20), ("heap", 5), ("a", 100)], "word string, n bigint")
+    names = spark.createDataFrame([("cheappills",), ("zq9",), ("x" * 3000,)], "name string")
+    got = {r["name"]: r.parts for r in urls.segmented(names, words, 155).collect()}
+    assert got["cheappills"] == ["cheap", "pills"]
+    assert "".join(got["zq9"]) == "zq9" and "".join(got["x" * 3000]) == "x" * 3000
+
+
+ODD = [
+    None, "", "no scheme", "http://", "http:///de/x", "HTTP://WWW.Example.ORG/es/1?x=/a#b", "http://example.org",
+    "http://example.org/es", "http://badexample.org/es/", "http://a.example.org/en/12", "http://a.com/fr/x",
+    "http://a.com/de/x", "http://b.org?x", "x://y://z/de/", "http://a.com#/fr/", "http://ÄB.com/de/", "http://a\nb.com/de/\n1",
+    "http://cheap-pills.example.net/en/3", "http://casinowin.net/", "http://www.nice-words.net/en/5",
+    "http://" + "a" * 5000 + ".net/" + "p/" * 5000,
+]
+
+
+def test_rules_hosts_and_paths(spark):
+    rows = [(i, url, f"<p>nice words casino win {i}</p>", "h", 1) for i, url in enumerate(ODD)]
+    rows += [(3, ODD[3], None, None, None), (None, "http://a.com/de/x", "", None, None)]
+    got = urls.filter_urls(spark.createDataFrame(rows, TABLE), URL_RULES).collect()
+    assert len(got) == len(rows)
+    want = Counter()
+    for row in rows:
+        host, path = plain(row[1])
+        rule = rule_of(host, path)
+        want[row[0], host, path, rule.where if rule else None] += 1
+    assert Counter((r.page_id, r.host, r.path, r.rule) for r in got) == want
+    for r in got:
+        rule = rule_of(r.host, r.path)
+        assert r.verdict == rule.verdict if rule else r.verdict in ("allow", "block")
+    verdicts = {r.page_id: r.verdict for r in got}
+    assert verdicts[17] == "block" and verdicts[18] == "block"
+    assert urls.filter_urls(spark.createDataFrame([], TABLE), URL_RULES).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x", None), (2, None, None)], "page_id bigint, url string, html string")
+    assert {r.verdict for r in urls.filter_urls(pages, ()).collect()} == {"allow"}
+
+
+def test_bayes_by_brute_force(spark):
+    pages = [
+        (1, "http://good.org/en/2", ""), (2, "http://good.org/en/3", ""), (3, "http://bad.com/de/9", ""),
+        (4, "http://some.net/en/2", ""), (5, "http://some.net/de/9", ""), (6, "http://other.net/zz", ""),
+    ]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r.page_id: r.score for r in urls.filter_urls(frame, URL_RULES, block_words=()).collect()}
+    # Unknown names stay whole words only where that is most probable; these are counted as divided.
+    total = 1
+    split = lambda text: [p for t in re.split(r"[^a-z0-9]+", text) if t for p in urls.best_split(t, [], [], [], total)]
+    plain_split = lambda text: [t for t in re.split(r"[^a-z0-9]+", text) if t]
+    counts = {"allow": Counter(), "block": Counter()}
+    docs = Counter()
+    tokens = {}
+    for page, url, _ in pages:
+        host, path = plain(url)
+        tokens[page] = split(host) + plain_split(path)
+        rule = rule_of(host, path)
+        if rule:
+            counts[rule.verdict].update(tokens[page])
+            docs[rule.verdict] += 1
+    sizes = {k: sum(c.values()) for k, c in counts.items()}
+    floor = 2.0 / sum(sizes.values())
+    for page in (4, 5, 6):
+        score = math.log((1 + docs["block"]) / (1 + docs["allow"]))
+        for t in tokens[page]:
+            if t in counts["allow"] or t in counts["block"]:
+                score += math.log(
+                    (counts["block"][t] / sizes["block"] + floor) / (counts["allow"][t] / sizes["allow"] + floor)
+                )
+        assert got[page] == pytest.approx(score, abs=1e-6)
+
+
+def test_query_covers_all_pages(spark):
+    folder = "/root/testdata/sf0.001"
+    got = QUERIES["op10_url_filter"](spark, folder).collect()
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    assert len(got) == len(pages)
+    for r in got:
+        assert (r.host, r.path) == plain(pages[r.page_id])
+        rule = rule_of(r.host, r.path)
+        assert r.rule == (rule.where if rule else None)
+        assert rule is None or r.verdict == rule.verdict
+        if rule is None and re.search("pills|casino|spam|adult|bets|track", r.host):
+            assert r.verdict == "block"
