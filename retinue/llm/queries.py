@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import bpe, language, lines, mixing, probminhash, quality, tokenfiles, urls
+from retinue.llm import bpe, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
 from retinue.llm.frames import read
 from retinue.session import new_folder
 
@@ -188,3 +188,8 @@ URL_RULES = (
 @query("op10_url_filter")
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(read(spark, folder, "pages"), URL_RULES)
+
+
+@query("op2_repeated_passages")
+def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_passages(read(spark, folder, "documents"))
