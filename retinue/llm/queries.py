@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import bpe, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
+from retinue.llm import bpe, embeddings, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
 from retinue.llm.frames import read
 from retinue.session import new_folder
 
@@ -193,3 +193,8 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_repeated_passages")
 def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.repeated_passages(read(spark, folder, "documents"))
+
+
+@query("op8_hnsw_vectors")
+def op8_hnsw_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, folder, "embeddings"))
