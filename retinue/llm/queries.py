@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import bpe, embeddings, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
+from retinue.llm import embeddings, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
+from retinue.llm.defaults import bpe_digests, held_out, language_model
 from retinue.llm.frames import read
 from retinue.session import new_folder
 
@@ -142,26 +144,6 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(read(spark, folder, "documents"))
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path=path).select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("content", 256).alias("decoded_sha256"),
-    )
-
-
-def held_out(doc_id: str = "doc_id"):
-    """A quarter of the documents, by their id, that no language is learned from."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
-
-
-def language_model(docs: DataFrame) -> language.LanguageModel | None:
-    return language.fit(docs.where(~held_out()), path=public_tokenizers.path("piece_bpe_32k.model"))
-
-
 @query("op3_language_id")
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
@@ -198,3 +180,6 @@ def op2_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_hnsw_vectors")
 def op8_hnsw_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(read(spark, folder, "embeddings"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
