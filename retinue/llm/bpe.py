@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import tiktoken
 import xxhash
 from pyspark.sql import DataFrame
@@ -17,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retinue.llm.frames import carried
-from retinue.llm.tasks import pack, pieces, spans, unpack, worker_memory
+from retinue.llm.tasks import gathered, list_pieces, pack, pieces, spans, unpack, worker_memory
 
 #: Text of one block of documents, in bytes. A block's pre-tokens are handled together.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Rows of encoded pre-tokens that are gathered before they are sent to their blocks.
 FLUSH_ROWS = 400_000
 
@@ -30,8 +29,12 @@ _BREAK = re.compile(r"(?<=\S)(?= \S)")
 _SPACES = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 # Texts in which each space is such a break.
 _UNEVEN = rf"^ | $|[{_SPACES}] | [{_SPACES}]"
-# Characters on which the regex library and the tokenizer's own engine are known to agree.
-_COMMON = re.compile(r"[\x09\x0A\x0D\x20-\x7E¡-ɏ]*")
+# Characters whose classes all engines agree on, without white space.
+_COMMON = r"\x21-\x7E\x{A1}-\x{24F}"
+# Chunks without white space but for single line feeds between other characters. There the
+# pattern's alternatives for white space come down to one line feed, and need no look-ahead.
+_SIMPLE = rf"^[{_COMMON}]+(\n[{_COMMON}]+)*$"
+_LOOK_AHEAD = r"|\s+(?!\S)|\s+"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -75,50 +78,77 @@ def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
                 counts[i] = len(own)
         values = pa.concat_arrays(columns)
     encoded = values.dictionary_encode()
-    marked = encoded.indices.to_numpy().astype(np.int64) * 2
+    marked = encoded.indices.to_numpy() * np.int32(2)
     marked[(np.cumsum(counts) - counts)[counts > 0]] += 1
     return encoded.dictionary, marked, counts
 
 
-def cut_block(texts: pa.Array, pattern: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _split(chunks: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
+    """Pre-tokens of each chunk side by side, and their number for each chunk.
+
+    Chunks with unusual characters are left whole: the tokenizer splits them itself, with
+    the same result.
+    """
+    bare = pc.utf8_ltrim(chunks, " ")
+    simple = pc.match_substring_regex(bare, _SIMPLE).to_numpy(zero_copy_only=False)
+    marks = pc.replace_substring_regex(chunks, f"({pattern.removesuffix(_LOOK_AHEAD)}|\\n)", "\\1\x00")
+    simple &= pattern.endswith(_LOOK_AHEAD)
+    ready = pc.if_else(pa.array(simple), pc.utf8_rtrim(marks, "\x00"), chunks)
+    lists = pc.split_pattern(ready, "\x00")
+    values, counts = pc.list_flatten(lists), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    odd = np.flatnonzero(~simple & (counts > 1))
+    if len(odd):  # a chunk with the mark itself
+        whole = set(odd.tolist())
+        parts = [[c] if n in whole else own for n, (c, own) in enumerate(zip(chunks.to_pylist(), lists.to_pylist()))]
+        values, counts = pa.array([p for own in parts for p in own], pa.large_string()), np.array([len(p) for p in parts])
+    return values, counts
+
+
+def cut_block(texts: pa.Array, pattern: str, positions: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct pre-tokens of some texts, the place of each pre-token in that list, and each text's number.
 
-    The list is in order of first appearance. A chunk with unusual characters is left whole:
-    the tokenizer splits it itself, with the same result.
+    The list is in order of first appearance among the distinct chunks. Without
+    ``positions`` only the list is filled.
     """
-    matches = regex.compile(pattern).findall
     chunks, marked, counts = _chunks(texts)
-    strings = chunks.to_pylist()
-    used, inverse = np.unique(marked, return_inverse=True)
-    places: dict[str, int] = {}
-    flat: list[int] = []
-    sizes = np.empty(len(used), np.int64)
-    for n, mark in enumerate(used.tolist()):
-        chunk = strings[mark >> 1] if mark & 1 else " " + strings[mark >> 1]
-        found = matches(chunk) if _COMMON.fullmatch(chunk) else [chunk]
-        sizes[n] = len(found)
-        for token in found:
-            flat.append(places.setdefault(token, len(places)))
-    starts = np.cumsum(sizes) - sizes
+    used = np.zeros(2 * len(chunks), bool)
+    used[marked] = True
+    marks = np.flatnonzero(used)
+    own = chunks.take(pa.array(marks >> 1))
+    spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), own, pa.scalar("", pa.large_string()))
+    split, sizes = _split(pc.if_else(pa.array((marks & 1).astype(bool)), own, spaced), pattern)
+    # An empty text has one chunk without any pre-token.
+    empty = pc.equal(split, "").to_numpy(zero_copy_only=False)
+    if empty.any():
+        sizes = sizes - np.add.reduceat(empty.astype(np.int64), np.cumsum(sizes) - sizes)
+        split = split.filter(pa.array(~empty))
+    encoded = split.dictionary_encode()
+    if not positions:
+        return encoded.dictionary, np.empty(0, np.int32), np.empty(0, np.int64)
+    number = np.cumsum(used, dtype=np.int32) - np.int32(1)
+    inverse = number[marked]
+    sizes = sizes.astype(np.int32)
     lengths = sizes[inverse]
-    codes = np.asarray(flat, np.int64)[spans(starts[inverse], lengths)]
-    ends = np.concatenate([[0], np.cumsum(lengths)])
+    starts = np.cumsum(sizes, dtype=np.int32) - sizes
+    codes = gathered(encoded.indices.to_numpy(), starts[inverse], lengths)
+    ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    totals = ends[bounds[1:]] - ends[bounds[:-1]]
-    return list(places), codes, totals
+    return encoded.dictionary, codes, ends[bounds[1:]] - ends[bounds[:-1]]
 
 
-def _block_key(tokens: list[str]) -> int:
+def _block_key(tokens: pa.Array) -> int:
     """A key that only a block with the same list of pre-tokens has."""
-    digest = xxhash.xxh64()
-    digest.update("\x00".join(tokens).encode("utf-8", "surrogatepass"))
-    digest.update(str(len(tokens)))
+    if not len(tokens):
+        return 0
+    ends = np.frombuffer(tokens.buffers()[1], np.int64, len(tokens) + 1, tokens.offset * 8)
+    digest = xxhash.xxh64(np.diff(ends).tobytes())
+    digest.update(tokens.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])))
     return digest.intdigest() - (1 << 63)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str):
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, positions: bool):
     for piece in pieces(batches, "body", BLOCK_BYTES):
-        tokens, codes, totals = cut_block(piece.column("body"), pattern)
+        tokens, codes, totals = cut_block(piece.column("body"), pattern, positions)
         yield piece, _block_key(tokens), tokens, codes, totals
 
 
@@ -126,14 +156,14 @@ def token_table(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``block``, ``code``, ``token``: the distinct pre-tokens of each block of documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block, tokens, _, _ in _blocks(batches, pattern):
+        for _, block, tokens, _, _ in _blocks(batches, pattern, positions=False):
             for start in range(0, len(tokens), 50_000):
-                some = tokens[start : start + 50_000]
+                some = tokens.slice(start, 50_000)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(some), block)),
                         pa.array(np.arange(start, start + len(some), dtype=np.int32)),
-                        pa.array(some, pa.string()),
+                        some.cast(pa.string()),
                     ],
                     ["block", "code", "token"],
                 )
@@ -146,7 +176,7 @@ def sequences(docs: DataFrame, pattern: str) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, block, _, codes, totals in _blocks(batches, pattern):
+        for piece, block, _, codes, totals in _blocks(batches, pattern, positions=True):
             ids = piece.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -174,12 +204,13 @@ def encode_tokens(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
         last, last_ids = None, []
         blocks: list[np.ndarray] = []
         codes: list[np.ndarray] = []
-        counts: list[int] = []
-        ids: list[int] = []
+        counts: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+        held = 0
 
         def flush() -> pa.RecordBatch:
             block, code = np.concatenate(blocks), np.concatenate(codes)
-            count, flat = np.asarray(counts, np.int64), np.asarray(ids, np.int64)
+            count, flat = np.concatenate(counts), np.concatenate(ids)
             starts = np.cumsum(count) - count
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
@@ -195,18 +226,24 @@ def encode_tokens(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
             )
 
         for batch in batches:
+            tokens = batch.column("token").dictionary_encode()
+            distinct = tokens.dictionary.to_pylist()
+            found = [last_ids if token == last else encoding.encode_ordinary(token) for token in distinct]
+            last, last_ids = distinct[-1], found[-1]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((i for own in found for i in own), np.int64, int(sizes.sum()))
+            chosen = tokens.indices.to_numpy()
             blocks.append(batch.column("block").to_numpy())
             codes.append(batch.column("code").to_numpy())
-            for token in batch.column("token").to_pylist():
-                if token != last:
-                    last, last_ids = token, encoding.encode_ordinary(token)
-                counts.append(len(last_ids))
-                ids.extend(last_ids)
-            if len(counts) >= FLUSH_ROWS:
+            counts.append(sizes[chosen])
+            ids.append(flat[spans((np.cumsum(sizes) - sizes)[chosen], sizes[chosen])])
+            held += len(chosen)
+            if held >= FLUSH_ROWS:
                 yield flush()
+                held = 0
                 for gathered in (blocks, codes, counts, ids):
                     gathered.clear()
-        if counts:
+        if held:
             yield flush()
 
     dealt = tokens.repartition("token").sortWithinPartitions("token")
@@ -301,15 +338,19 @@ def decode(encoded: DataFrame, *, path: str) -> DataFrame:
             table = [b""] * (max(ranks.values()) + 1)
             for token, rank in ranks.items():
                 table[rank] = token
-            memory[key] = table
-        table = memory[key]
+            memory[key] = pa.array(table, pa.large_binary())
         for batch in batches:
-            content = []
-            for ids in batch.column("ids"):
-                numbers = ids.values
-                content.append(b"" if numbers is None else b"".join(map(table.__getitem__, numbers.to_pylist())))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(content, pa.binary())], [*batch.schema.names, "content"]
-            )
+            for piece in list_pieces(iter([batch]), "ids", 4 << 20):
+                lists = piece.column("ids")
+                flat = memory[key].take(pc.list_flatten(lists))
+                ends = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, flat.offset * 8)
+                bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+                data = flat.buffers()[2] or pa.py_buffer(b"")
+                content = pa.Array.from_buffers(
+                    pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds].copy()), data]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [*piece.columns, content.cast(pa.binary())], [*piece.schema.names, "content"]
+                )
 
     return encoded.mapInArrow(look_up, schema)

@@ -35,6 +35,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
+                release()
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -56,6 +57,22 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``values[start : start + length]`` side by side, with little memory beside the result."""
+    out = np.empty(int(lengths.sum()), values.dtype)
+    done = 0
+    for first in range(0, len(starts), 1 << 18):
+        part = spans(starts[first : first + (1 << 18)], lengths[first : first + (1 << 18)])
+        np.take(values, part, out=out[done : done + len(part)])
+        done += len(part)
+    return out
+
+
+def release() -> None:
+    """Give memory that Arrow keeps for later back to the system: several workers share a machine."""
+    pa.default_memory_pool().release_unused()
+
+
 def list_pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """As :func:`pieces`, for a column of lists and the number of their elements."""
     for batch in batches:

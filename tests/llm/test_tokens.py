@@ -58,7 +58,7 @@ def tokenizer():
 
 def block_ids(encoding, texts):
     tokens, codes, totals = bpe.cut_block(pa.array(texts, pa.string()), public_tokenizers.PATTERN)
-    ids = [encoding.encode_ordinary(token) for token in tokens]
+    ids = [encoding.encode_ordinary(token) for token in tokens.to_pylist()]
     ends = np.cumsum(totals)
     return [
         [i for code in codes[end - n : end] for i in ids[code]] for end, n in zip(ends, totals, strict=True)
