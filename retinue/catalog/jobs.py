@@ -10,7 +10,7 @@ from retinue.plans import audit, build, cleaning, features, quality, reports, se
 from retinue.session import new_folder
 from retinue.settings import Params
 from retinue.sources.schemas import REPORT_NAMES, TABLES
-from retinue.sources.tables import materialize, save_bucketed, with_tables
+from retinue.sources.tables import materialize, refresh, save_bucketed, with_tables
 
 # SQL views of the model tables.
 VIEWS = {
@@ -374,16 +374,13 @@ def _(c: Context):
     return materialize(c.features(), new_folder(c.spark, "mv_customer_features"))
 
 
-@query(
-    "job_refresh",
-    "SELECT segment_client, count(*) AS nb_clients FROM m_features GROUP BY segment_client",
-)
+@query("job_refresh", "SELECT * FROM m_features")
 def _(c: Context):
-    path = new_folder(c.spark, "mv_customer_features")
-    frame = c.features("segment_client", "nb_commandes")
-    materialize(frame, path, partition_by="segment_client")
-    snapshot = materialize(frame, path, partition_by="segment_client")
-    return snapshot.groupBy("segment_client").agg(F.count("*").alias("nb_clients"))
+    """Refreshed from the table and then from its own former snapshot."""
+    path, view = new_folder(c.spark, "mv_customer_features"), "retinue_mv_customer_features"
+    refresh(c.features(), path, partition_by="segment_client", view=view)
+    refresh(c.spark.table(view), path, partition_by="segment_client", view=view)
+    return c.spark.table(view)
 
 
 @query(

@@ -35,12 +35,27 @@ from retinue.functions.dates import day_gap, month_start
 from retinue.functions.display import fixed, label_of, shorten, with_thousands
 from retinue.functions.numeric import decimal_mean, mean, money, percent, ratio, round_half_even, round_to
 from retinue.operators.keyed import first_per_key, most_frequent, top
+from retinue.operators.staging import settle
 from retinue.plans import audit, cleaning, features, quality, reports, segments
 from retinue.session import new_folder
 from retinue.settings import SEGMENT_LABELS, UNKNOWN_CATEGORY
 from retinue.sources import csv_files
 from retinue.sources.schemas import TABLES
-from retinue.sources.tables import create_view, materialize, register_views
+from retinue.sources.tables import create_view, load_tables, materialize, register_views, save_tables
+
+# Columns that the benchmark tables cannot fill.
+EMPTY_COLUMNS = {
+    "product_weight_g",
+    "product_length_cm",
+    "product_height_cm",
+    "product_width_cm",
+    "review_comment_title",
+    "review_comment_message",
+    "review_answer_timestamp",
+}
+
+# The caller's own views keep their names.
+VIEW_PREFIX = "retinue_"
 
 KEPT = "order_status NOT IN ('canceled', 'unavailable')"
 
@@ -78,28 +93,67 @@ def _(c: Context):
     return csv_files.read_typed(c.spark, as_csv(c, "sellers"), "sellers", multi_line=True)
 
 
-@query("src_head")
+@query(
+    "src_head",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, least(5, count(*)) AS nb_lignes FROM {VIEWS[name]}" for name in TABLES
+    ),
+)
+def _(c: Context):
+    """The first rows of every file; which rows they are is open, so they are counted."""
+    heads = {name: csv_files.head(csv_files.read_inferred(c.spark, as_csv(c, name))) for name in TABLES}
+    counts = [
+        rows.agg(F.count("*").alias("nb_lignes")).select(F.lit(name).alias("table_name"), "nb_lignes")
+        for name, rows in heads.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "src_csv_infer_all",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS nb_lignes, {len(spec.schema.fields)} AS nb_colonnes
+            FROM {VIEWS[name]}"""
+        for name, spec in TABLES.items()
+    ),
+)
 def _(c: Context):
-    return csv_files.head(csv_files.read_inferred(c.spark, as_csv(c, "products")))
+    lines = []
+    for name in TABLES:
+        rows = csv_files.read_inferred(c.spark, as_csv(c, name))
+        counted = rows.agg(F.count("*").alias("nb_lignes"))
+        lines.append(counted.select(F.lit(name).alias("table_name"), "nb_lignes", F.lit(len(rows.columns)).alias("nb_colonnes")))
+    return reduce(DataFrame.unionByName, lines)
 
 
 @query("src_table", "SELECT * FROM m_orders")
 def _(c: Context):
-    register_views(c.t)
-    return c.spark.table("orders").select("*")
+    register_views(c.t, VIEW_PREFIX)
+    return c.spark.table(f"{VIEW_PREFIX}orders").select("*")
 
 
 @query(
     "src_schema",
-    "SELECT product_id, product_category_name, product_name_lenght, product_photos_qty FROM m_products",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{field.name}' AS colonne,
+                   count({'NULL' if field.name in EMPTY_COLUMNS else field.name}) AS non_null FROM {VIEWS[name]}"""
+        for name, spec in TABLES.items()
+        for field in spec.schema.fields
+    ),
 )
 def _(c: Context):
-    schema = TABLES["products"].schema
-    path = new_folder(c.spark, "products")
-    c.t["products"].write.parquet(path)
-    return c.spark.read.schema(schema).parquet(path).select(
-        "product_id", "product_category_name", "product_name_lenght", "product_photos_qty"
-    )
+    """All columns of all tables, read back with their declared schemas."""
+    folder = new_folder(c.spark, "tables")
+    save_tables({name: c.t[name] for name in TABLES}, folder)
+    lines = []
+    for name, table in load_tables(c.spark, folder).items():
+        counts = table.agg(*[F.count(column).alias(column) for column in table.columns])
+        lines.append(
+            counts.unpivot([], table.columns, "colonne", "non_null").select(
+                F.lit(name).alias("table_name"), "colonne", "non_null"
+            )
+        )
+    return reduce(DataFrame.unionByName, lines)
 
 
 @query("snk_insert_ignore", DEDUP_REVIEWS)
@@ -110,12 +164,10 @@ def _(c: Context):
     return materialize(kept.select(*columns), path)
 
 
-@query("snk_view", "SELECT customer_unique_id, nb_commandes, segment_client FROM m_features")
+@query("snk_view", "SELECT * FROM m_features")
 def _(c: Context):
-    view = create_view(c.features(*features.RECENCY), "v_customer_features")
-    return view.sparkSession.sql(
-        "SELECT customer_unique_id, nb_commandes, segment_client FROM v_customer_features"
-    )
+    view = create_view(c.features(), "v_customer_features")
+    return view.sparkSession.sql("SELECT * FROM v_customer_features")
 
 
 @query("snk_ctas", "SELECT count(*) AS nb_clients, sum(valeur_totale) AS total FROM m_features")
@@ -140,12 +192,25 @@ def _(c: Context):
 
 @query(
     "src_cache",
-    """SELECT est_churne, count(*) AS nb_clients,
+    """SELECT 'est_churne' AS axe, cast(est_churne AS varchar) AS valeur, count(*) AS nb_clients,
               round(count(*) * 100.0 / (SELECT count(*) FROM m_features), 2) AS pct
-       FROM m_features GROUP BY est_churne""",
+       FROM m_features GROUP BY est_churne
+       UNION ALL
+       SELECT 'segment_client', segment_client, count(*),
+              round(count(*) * 100.0 / (SELECT count(*) FROM m_features), 2)
+       FROM m_features GROUP BY segment_client""",
 )
 def _(c: Context):
-    return audit.distribution(c.features("est_churne").cache(), "est_churne", "nb_clients")
+    """The cached feature table feeds several reports; their results outlive the cache."""
+    cached = c.features().cache()
+    reports_of = [
+        settle(audit.distribution(cached, axis, "nb_clients")).select(
+            F.lit(axis).alias("axe"), F.col(axis).cast("string").alias("valeur"), "nb_clients", "pct"
+        )
+        for axis in ("est_churne", "segment_client")
+    ]
+    cached.unpersist()
+    return reduce(DataFrame.unionByName, reports_of)
 
 
 # --- rules ---------------------------------------------------------------------------
@@ -631,12 +696,12 @@ def _(c: Context):
 
 @query("agg_ordinal", REVENUE)
 def _(c: Context):
-    register_views(c.t)
+    register_views(c.t, VIEW_PREFIX)
     return c.spark.sql(
         f"""SELECT CAST(trunc(CAST(order_purchase_timestamp AS date), 'month') AS timestamp_ntz) AS mois,
                    count(DISTINCT o.order_id) AS nb_commandes,
                    CAST(sum(price + freight_value) AS decimal(18,2)) AS chiffre_affaires
-            FROM orders o JOIN order_items i ON i.order_id = o.order_id
+            FROM {VIEW_PREFIX}orders o JOIN {VIEW_PREFIX}order_items i ON i.order_id = o.order_id
             WHERE {KEPT} GROUP BY 1 ORDER BY 1"""
     )
 
@@ -760,9 +825,16 @@ def _(c: Context):
     return audit.status_distribution(c.t)
 
 
-@query("lim")
+@query(
+    "lim",
+    "SELECT least(10, count(*)) AS nb_lignes, least(10, count(*)) AS nb_connus FROM m_features",
+)
 def _(c: Context):
-    return c.features().limit(10)
+    """Ten rows without an order: which ones is open, but all must be in the table."""
+    table = settle(c.features())
+    ten = table.limit(10)
+    known = ten.join(table.select("customer_unique_id", F.lit(1).alias("connu")), "customer_unique_id", "left")
+    return known.agg(F.count("*").alias("nb_lignes"), F.count("connu").alias("nb_connus"))
 
 
 @query("topk", CITY_TOP)
@@ -937,19 +1009,36 @@ def _(c: Context):
                   AS milliers,
               format('R$ {:.2f}', cast(valeur_totale AS double)) AS montant,
               concat(format('{:.1f}', cast(nb_commandes AS double)), '%') AS pct
-       FROM m_features WHERE valeur_totale IS NOT NULL""",
+       FROM m_features""",
 )
 def _(c: Context):
     value = F.col("valeur_totale")
-    return (
-        c.features("valeur_totale", "nb_commandes")
-        .where(value.isNotNull())
-        .select(
-            "customer_unique_id",
-            with_thousands(F.rint(value.cast("double") * 10).cast("bigint")).alias("milliers"),
-            fixed(value, 2, "R$ ").alias("montant"),
-            fixed(F.col("nb_commandes"), 1, suffix="%").alias("pct"),
-        )
+    return c.features("valeur_totale", "nb_commandes").select(
+        "customer_unique_id",
+        with_thousands(F.rint(value.cast("double") * 10).cast("bigint")).alias("milliers"),
+        fixed(value, 2, "R$ ").alias("montant"),
+        fixed(F.col("nb_commandes"), 1, suffix="%").alias("pct"),
+    )
+
+
+@query(
+    "fn_fmt_ties",
+    """SELECT order_id, order_item_id, price, format('{:.1f}', cast(price AS double) / 8) AS un,
+              format('{:.2f}', cast(price AS double) / 8) AS deux,
+              format('{:.0f}', cast(price AS double) / 2) AS zero,
+              format('{:.1f}', -cast(price AS double) / 16) AS moins
+       FROM m_items""",
+)
+def _(c: Context):
+    price = F.col("price").cast("double")
+    return c.t["order_items"].select(
+        "order_id",
+        "order_item_id",
+        "price",
+        fixed(price / 8, 1).alias("un"),
+        fixed(price / 8, 2).alias("deux"),
+        fixed(price / 2, 0).alias("zero"),
+        fixed(-price / 16, 1).alias("moins"),
     )
 
 

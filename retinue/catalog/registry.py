@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.catalog.model_sql import oracle
-from retinue.plans.features import customer_features, order_bound
+from retinue.plans.features import customer_features
 from retinue.settings import Params
 from retinue.sources.tables import Tables, with_tables
 from retinue.sources.testdata import load_model, raw_reviews
@@ -41,8 +41,8 @@ class Context:
 
     @property
     def at_scale(self) -> Params:
-        """A task size so small that these tables take the plans meant for large ones."""
-        return Params(task_rows=max(1, order_bound(self.t) // 12))
+        """A task size so small that these tables are cut into many ranges."""
+        return Params(task_rows=max(1, self.t["orders"].count() // 12))
 
     def features(self, *columns: str) -> DataFrame:
         return customer_features(self.t, columns=columns or None)

@@ -11,50 +11,17 @@ from retinue.operators.staging import RANGE, in_ranges, settle
 
 
 def with_previous(
-    df: DataFrame,
-    group: str,
-    order: Sequence[str],
-    values: dict[str, str],
-    *,
-    members: DataFrame,
-    row_bound: int,
-    task_rows: int,
+    df: DataFrame, group: str, order: Sequence[str], values: dict[str, str], *, task_rows: int
 ) -> DataFrame:
     """Add ``values[column]``: the column's value in the previous row of the group.
 
-    ``group + order`` must be unique. ``members`` is a frame, cheaper than ``df``, with the
-    group column and at least as many rows per group. While ``row_bound`` proves that all
-    rows fit one task, no group can be too large and one window does it. Beyond that,
-    groups above ``task_rows`` are cut into ranges; all other rows keep the window.
-    """
-    if row_bound <= task_rows:
-        return _by_window(df, group, order, values)
-
-    # At most row_bound / task_rows groups can be this large, so the list is small.
-    sizes = members.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > task_rows)
-    hot = settle(sizes)
-    hot_rows = hot.agg(F.sum("n")).first()[0]
-    if not hot_rows:
-        return _by_window(df, group, order, values)
-    rows, names = settle(df), F.broadcast(hot.select(group))
-    return _by_window(rows.join(names, group, "left_anti"), group, order, values).unionByName(
-        _by_ranges(rows.join(names, group, "left_semi"), group, order, values, hot_rows, task_rows)
-    )
-
-
-def _by_window(df: DataFrame, group: str, order: Sequence[str], values: dict[str, str]) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumns({out: F.lag(column).over(w) for column, out in values.items()})
-
-
-def _by_ranges(
-    df: DataFrame, group: str, order: Sequence[str], values: dict[str, str], rows: int, task_rows: int
-) -> DataFrame:
-    """Previous values inside each range, then across range borders.
-
-    The predecessor of a group's first row in a range can only be the last row of the
-    range before, so one row per range carries over.
+    ``group + order`` must be unique. Rows are ranged over (group, order), so a group may be
+    of any size. Inside a range a window finds the previous row. The predecessor of a
+    group's first row in a range can only be the last row of the range before, so one row
+    per range carries over. ``task_rows`` only sizes the ranges.
     """
+    df = settle(df)
+    rows = df.count()
     keys = [F.col(group), *[F.col(c) for c in order]]
     w = Window.partitionBy(RANGE, group).orderBy(*order)
     local = settle(

@@ -8,29 +8,14 @@ from pyspark.sql import functions as F
 from retinue.operators.staging import RANGE, in_ranges, settle
 
 
-def with_rank(
-    df: DataFrame, key: str, value: str, out: str, *, row_bound: int, task_rows: int
-) -> DataFrame:
+def with_rank(df: DataFrame, key: str, value: str, out: str, *, task_rows: int) -> DataFrame:
     """Add the rank of ``value``, highest first, with gaps after ties; NULL has no rank.
 
-    ``key`` must be unique and ``row_bound`` no less than the number of rows. Up to
-    ``task_rows`` values a plain window ranks them; more are ranked range by range, in
-    parallel. Beyond the bound ``df`` is read several times: pass a settled frame.
+    ``key`` must be unique. ``df`` is read twice: pass a settled frame. Values are ranked
+    range by range, in parallel; ``task_rows`` only sizes the ranges.
     """
-    if row_bound <= task_rows:
-        return _by_window(df, value, out)
-    valued = df.where(F.col(value).isNotNull()).select(key, value)
-    rows = valued.count()
-    if rows <= task_rows:
-        ranked = _by_window(valued, value, out).select(key, out)
-    else:
-        ranked = _by_ranges(valued, key, value, out, rows, task_rows)
-    return df.join(ranked, key, "left")
-
-
-def _by_window(df: DataFrame, value: str, out: str) -> DataFrame:
-    w = Window.orderBy(F.col(value).desc_nulls_last())
-    return df.withColumn(out, F.when(F.col(value).isNotNull(), F.rank().over(w)).cast("bigint"))
+    valued = settle(df.where(F.col(value).isNotNull()).select(key, value))
+    return df.join(_by_ranges(valued, key, value, out, valued.count(), task_rows), key, "left")
 
 
 def _by_ranges(df: DataFrame, key: str, value: str, out: str, rows: int, task_rows: int) -> DataFrame:

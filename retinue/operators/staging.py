@@ -11,9 +11,6 @@ from retinue.session import new_folder
 
 RANGE = "_range"
 
-# Beyond this many, ranges grow instead: tasks spill, while shuffles of more partitions choke.
-MOST_RANGES = 20_000
-
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, into a table in the shared folder.
@@ -28,11 +25,12 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def in_ranges(df: DataFrame, order: list[Column], rows: int, task_rows: int) -> DataFrame:
-    """Sort rows into consecutive ranges of about ``task_rows / 2``, numbered, one task each.
+    """Deal rows into consecutive ranges of about ``task_rows / 2``, numbered, each in a task of its own.
 
     ``order`` must end in a unique column: rows that agree on the leading columns then
     spread over several ranges. Range numbers are only stable once the result is settled.
     """
-    ranges = min(max(2, ceil(2 * rows / task_rows)), MOST_RANGES)
+    ranges = max(2, ceil(2 * rows / task_rows))
     numbered = df.repartitionByRange(ranges, *order).withColumn(RANGE, F.spark_partition_id())
-    return numbered.repartition(ranges, RANGE)
+    # Tells the planner that ranges are apart, and never puts two of them into one task.
+    return numbered.repartitionById(ranges, F.col(RANGE))

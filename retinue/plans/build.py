@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retinue.operators.staging import settle
 from retinue.plans.audit import row_counts
 from retinue.plans.cleaning import clean
 from retinue.plans.features import PERSON, customer_features
 from retinue.plans.quality import constraints
 from retinue.settings import DEFAULTS, Params
-from retinue.sources.csv_files import import_table
+from retinue.session import staging_scope
+from retinue.sources.csv_files import import_table, read_typed
 from retinue.sources.schemas import TABLES
 from retinue.sources.tables import (
     Tables,
@@ -41,21 +43,48 @@ def import_csv(spark: SparkSession, files: dict[str, str], folder: str) -> Table
 
 
 def build(spark: SparkSession, files: dict[str, str], folder: str, p: Params = DEFAULTS) -> Build:
-    """Import, check, clean, and write the feature snapshot. Any failure stops the run."""
-    raw = import_csv(spark, files, f"{folder}/raw")
-    counts = materialize(row_counts(raw), f"{folder}/row_counts")
-    violations = materialize(constraints(raw), f"{folder}/violations")
+    """Import, check, clean, and write the feature snapshot. Any failure stops the run.
 
-    tables = with_tables(raw, orders=materialize(clean(raw)["orders"], f"{folder}/clean/orders"))
+    So do rules that the features rely on (:func:`broken`): the violations are written, but
+    no snapshot. Staged data is deleted in any case.
+    """
+    with staging_scope(spark):
+        raw = import_csv(spark, files, f"{folder}/raw")
+        counts = materialize(with_dropped_reviews(spark, files, row_counts(raw)), f"{folder}/row_counts")
+        violations = materialize(constraints(raw), f"{folder}/violations")
+        faults = broken(violations).collect()
+        if faults:
+            raise ValueError(f"rules are broken: {[tuple(r) for r in faults]}")
 
-    features = materialize(customer_features(tables, p), f"{folder}/mv_customer_features")
-    create_view(features)
-    return Build(tables, features, counts, violations)
+        tables = with_tables(raw, orders=materialize(clean(raw)["orders"], f"{folder}/clean/orders"))
+
+        features = materialize(customer_features(tables, p), f"{folder}/mv_customer_features")
+        create_view(features)
+        return Build(tables, features, counts, violations)
+
+
+def broken(violations: DataFrame) -> DataFrame:
+    """Violated rules that make the features wrong: repeated keys of one column, missing values, ranges.
+
+    Repeated keys of order lines are no fault to the features, nor are unknown parents.
+    """
+    single = (F.col("controle") == "cle") & ~F.col("colonnes").contains(",")
+    return violations.where((F.col("nb_violations") > 0) & (single | F.col("controle").isin("non_null", "domaine")))
+
+
+def with_dropped_reviews(spark: SparkSession, files: dict[str, str], counts: DataFrame) -> DataFrame:
+    """Adds the rows of the review files, and how many of them repeat a review."""
+    rows = read_typed(spark, files["order_reviews"], "order_reviews")
+    read = rows.agg(F.count("*").alias("lus"), F.countDistinct("review_id").alias("gardes"))
+    lines = read.select(
+        F.expr("stack(2, 'reviews_fichier', lus, 'reviews_doublons', lus - gardes)").alias("table_name", "nb_lignes")
+    )
+    return counts.unionByName(lines)
 
 
 def preview(features: DataFrame, rows: int = 10) -> DataFrame:
-    """Some columns of some customers, each line with the size of the table."""
-    return (
+    """Some columns of some customers, each line with the size of the table, from one evaluation."""
+    table = settle(
         features.select(
             PERSON,
             "nb_commandes",
@@ -63,7 +92,5 @@ def preview(features: DataFrame, rows: int = 10) -> DataFrame:
             "segment_client",
             "est_churne",
         )
-        .orderBy(PERSON)
-        .limit(rows)
-        .withColumn("nb_clients", features.agg(F.count("*")).scalar())
     )
+    return table.orderBy(PERSON).limit(rows).withColumn("nb_clients", table.agg(F.count("*")).scalar())

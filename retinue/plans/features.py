@@ -152,14 +152,6 @@ def _mean_later_order() -> Column:
     return decimal_ratio(later, _steps())
 
 
-# --- sizes ---------------------------------------------------------------------------
-
-
-def order_bound(t: Tables) -> int:
-    """Number of orders, which bounds customers and order sequences; a metadata count."""
-    return t["orders"].count()
-
-
 # --- the single feature groups, unrounded --------------------------------------------
 
 
@@ -249,8 +241,7 @@ def payments(t: Tables, p: Params = DEFAULTS, kept: DataFrame | None = None) ->
 
 def order_sequence(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     """Orders with items of each customer, with the amount of and days since the one before."""
-    kept = kept_orders(t, p)
-    amounts = kept.join(
+    amounts = kept_orders(t, p).join(
         item_totals(t).select("order_id", money(F.col("montant_commande")).alias("montant_commande")),
         "order_id",
     )
@@ -259,8 +250,6 @@ def order_sequence(t: Tables, p: Params = DEFAULTS) -> DataFrame:
         PERSON,
         [BOUGHT_AT, "order_id"],
         {"montant_commande": "montant_commande_precedente", BOUGHT_AT: "_avant"},
-        members=kept,
-        row_bound=order_bound(t),
         task_rows=p.task_rows,
     )
     return sequence.select(
@@ -275,8 +264,7 @@ def order_sequence(t: Tables, p: Params = DEFAULTS) -> DataFrame:
 
 def trend(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     """Mean gap, mean change and value rank of customers with two or more orders with items."""
-    bound = order_bound(t)
-    base = (
+    base = settle(
         kept_orders(t, p)
         .join(item_totals(t), "order_id")
         .groupBy(PERSON)
@@ -289,11 +277,7 @@ def trend(t: Tables, p: Params = DEFAULTS) -> DataFrame:
             _mean_later_order().alias("_valeur"),
         )
     )
-    if bound > p.task_rows:
-        base = settle(base)
-    return with_rank(
-        base, PERSON, "_valeur", "rang_par_valeur", row_bound=bound, task_rows=p.task_rows
-    ).drop("_valeur")
+    return with_rank(base, PERSON, "_valeur", "rang_par_valeur", task_rows=p.task_rows).drop("_valeur")
 
 
 # --- the feature table ---------------------------------------------------------------
@@ -304,8 +288,8 @@ def customer_features(
 ) -> DataFrame:
     """The 18-column feature table, or some of its columns.
 
-    Only the tables behind the asked columns are read. Beyond ``p.task_rows`` orders, the
-    kept orders and the customer aggregates, which several branches read, are staged.
+    Only the tables behind the asked columns are read. Kept orders that several branches
+    read, and the customer aggregates that are ranked, are staged, whatever their size.
     """
     wanted = [c for c in FEATURE_COLUMNS if columns is None or c in set(columns) | {PERSON}]
     need = {
@@ -320,11 +304,9 @@ def customer_features(
         }.items()
     }
     ranked = "rang_par_valeur" in wanted
-    bound = order_bound(t)
-    large = bound > p.task_rows
 
     kept = kept_orders(t, p)
-    if large and (need["diversity"] or need["payments"]):
+    if need["diversity"] or need["payments"]:
         kept = settle(kept)
 
     facts, aggregates = kept, _recency_aggregates()
@@ -340,11 +322,7 @@ def customer_features(
     people = facts.groupBy(PERSON).agg(*aggregates)
     if ranked:
         people = people.withColumn("_valeur", _mean_later_order())
-        if large:
-            people = settle(people)
-        people = with_rank(
-            people, PERSON, "_valeur", "rang_par_valeur", row_bound=bound, task_rows=p.task_rows
-        )
+        people = with_rank(settle(people), PERSON, "_valeur", "rang_par_valeur", task_rows=p.task_rows)
     if need["diversity"]:
         people = people.join(diversity(t, p, kept), PERSON, "left")
     if need["payments"]:

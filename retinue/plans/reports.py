@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retinue.functions.dates import month_start
@@ -224,9 +225,20 @@ def behaviour_stats(features: DataFrame, p: Params = DEFAULTS) -> DataFrame:
 
 
 def rfm_sample(features: DataFrame, p: Params = DEFAULTS) -> DataFrame:
-    """Exactly ``sample_size`` customers (or all), the same ones for the same seed."""
+    """Exactly ``sample_size`` customers (or all), the same ones for the same seed.
+
+    The customers with the smallest hashes are drawn. Counting the first 16 bits of all
+    hashes shows where the sample ends, so only few more rows than it holds are sorted.
+    """
     draw = F.md5(F.concat(F.lit(f"{p.sample_seed}:"), F.col(PERSON)))
-    return top(features.select(PERSON, *SAMPLE_COLUMNS), p.sample_size, draw, F.col(PERSON))
+    drawn = features.select(PERSON, *SAMPLE_COLUMNS).withColumn("_draw", draw)
+    head = F.substring("_draw", 1, 4)
+    # At most 65,536 rows.
+    sizes = drawn.groupBy(head.alias("_head")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    needed = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    last = needed.where(F.col("_before") < p.sample_size).agg(F.max("_head")).scalar()
+    return top(drawn.where(head <= last), p.sample_size, F.col("_draw"), F.col(PERSON)).drop("_draw")
 
 
 def at_risk_top(features: DataFrame, rows: int = 15) -> DataFrame:

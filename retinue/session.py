@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -18,8 +21,6 @@ def build_session(app: str = "retinue", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Joins whose every partition proves small at run time hash it instead of sorting both sides.
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         **conf,
@@ -42,9 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), "retinue-shared")
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
+
 def run_folder(spark: SparkSession) -> str:
-    """Everything this application stages lies under one folder."""
-    return f"{shared_dir(spark).rstrip('/')}/retinue-{spark.sparkContext.applicationId}"
+    """Everything this application stages lies under one folder, a scope's below that."""
+    return f"{shared_dir(spark).rstrip('/')}/retinue-{spark.sparkContext.applicationId}{_scope.get()}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside, at the end and after a failure too."""
+    token = _scope.set(f"{_scope.get()}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        clear_staged(spark)
+        _scope.reset(token)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -53,6 +68,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def clear_staged(spark: SparkSession) -> None:
-    """Delete what this application staged; frames that read from it are unusable afterwards."""
+    """Delete what this application, or the present scope, staged; frames that read it are unusable then."""
     path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,4 +1,4 @@
-"""Business thresholds and the sizes at which a job changes its plan."""
+"""Business thresholds and the size of a task."""
 
 from __future__ import annotations
 
@@ -29,8 +29,7 @@ class Params:
     sample_size: int = 5000
     sample_seed: int = 42
     city_patterns: tuple[str, ...] = ("sao paulo", "rio de janeiro", "belo horizonte")
-    # Rows one task may sort on its own. Jobs whose whole input is proven to stay
-    # below it use a plain window; above it they stage and split their input.
+    # Rows one task may sort on its own. It sizes ranges; it never changes a plan.
     task_rows: int = 1_000_000
 
 

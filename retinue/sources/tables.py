@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import ChainMap
 from collections.abc import Callable, Iterator, Mapping
 
@@ -64,9 +65,9 @@ def load_tables(spark: SparkSession, folder: str) -> Tables:
     return LazyTables({name: opener(name) for name in TABLES})
 
 
-def register_views(tables: Tables) -> None:
+def register_views(tables: Tables, prefix: str = "") -> None:
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(f"{prefix}{name}")
 
 
 def create_view(df: DataFrame, name: str = "v_customer_features") -> DataFrame:
@@ -84,9 +85,16 @@ def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def refresh(df: DataFrame, path: str, partition_by: str | None = None) -> int:
-    """Rewrite the snapshot from current data and return its number of rows."""
-    return materialize(df, path, partition_by).count()
+def refresh(df: DataFrame, path: str, partition_by: str | None = None, view: str | None = None) -> int:
+    """Rewrite the snapshot from current data and return its number of rows.
+
+    Each run writes a folder of its own below ``path`` and only then points ``view`` to
+    it: readers see the former snapshot or the new one, and ``df`` may read the former.
+    """
+    fresh = materialize(df, f"{path}/version-{uuid.uuid4().hex}", partition_by)
+    if view:
+        fresh.createOrReplaceTempView(view)
+    return fresh.count()
 
 
 def heaviest_bucket_share(df: DataFrame, key: str, buckets: int) -> float:

@@ -101,3 +101,15 @@ def test_display(spark):
     assert one(spark, fixed(F.lit(41.04), 1, suffix="%")) == "41.0%"
     assert one(spark, label_of(F.lit("a"), {"a": "Alpha"})) == "Alpha"
     assert one(spark, label_of(F.lit("z"), {"a": "Alpha"})) == "z"
+
+
+def test_number_text_is_that_of_the_exact_binary_value(spark):
+    from retinue.functions.display import fixed
+
+    values = [12.25, 2.675, 162.5, 0.25, 0.05, 0.15, 0.005, 0.015, 0.5, 1.5, 2.5, -0.04, -2.5, 0.0, 999.995, 9.95, 1e15, 0.999]
+    values += [n / 16 for n in range(-40, 41)] + [n / 1000 for n in range(0, 400, 5)]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "v double")
+    got = df.select("v", *[fixed(df.v, d).alias(f"d{d}") for d in range(4)]).collect()
+    for r in got:
+        for d in range(4):
+            assert r[f"d{d}"] == (None if r.v is None else format(r.v, f".{d}f"))

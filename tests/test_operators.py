@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retinue import session
@@ -72,7 +73,7 @@ def test_previous_across_ranges_equals_the_window(spark, kind, task_rows):
     names = {"v": "v_before", "at": "at_before"}
 
     def run(limit):
-        out = with_previous(df, "g", ["at", "id"], names, members=df, row_bound=len(rows), task_rows=limit)
+        out = with_previous(df, "g", ["at", "id"], names, task_rows=limit)
         return sorted(tuple(r) for r in out.select("g", "at", "id", "v", "v_before", "at_before").collect())
 
     def key(r):
@@ -96,7 +97,7 @@ def test_rank_across_ranges_equals_the_window(spark, ties, task_rows):
     values = [v for _, v in rows if v is not None]
     expected = {k: None if v is None else 1 + sum(w > v for w in values) for k, v in rows}
     for limit in (task_rows, 10**6):
-        out = with_rank(df, "k", "v", "r", row_bound=len(rows), task_rows=limit)
+        out = with_rank(df, "k", "v", "r", task_rows=limit)
         assert {r["k"]: r["r"] for r in out.collect()} == expected
         assert dict(out.dtypes)["r"] == "bigint"
 
@@ -131,7 +132,27 @@ def test_staged_data_can_be_cleared(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.glob("retinue-*"))
 
 
-def test_window_is_used_for_small_inputs_only(spark):
-    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
-    small = with_rank(df, "k", "v", "r", row_bound=1, task_rows=10)
-    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
+def test_every_range_is_a_task_of_its_own_and_bounded(spark):
+    rows = 40_000
+    df = spark.range(rows).select((F.col("id") % 7).alias("v"), "id")
+    ranged = in_ranges(df, [F.col("v"), F.col("id")], rows, 800)
+    by_task = ranged.groupBy(F.spark_partition_id().alias("task"))
+    tasks = by_task.agg(F.count_distinct(RANGE).alias("ranges"), F.count("*").alias("n")).collect()
+    assert len(tasks) >= 95 and {t["ranges"] for t in tasks} == {1}
+    assert max(t["n"] for t in tasks) <= 800 and sum(t["n"] for t in tasks) == rows
+
+
+def test_a_window_over_ranges_needs_no_other_shuffle(spark):
+    ranged = in_ranges(spark.range(100).toDF("v"), [F.col("v")], 100, 10)
+    ranked = ranged.withColumn("r", F.rank().over(Window.partitionBy(RANGE).orderBy("v")))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+
+
+def test_rank_has_one_plan_at_every_size(spark):
+    def shape(rows):
+        df = settle(spark.range(rows).select(F.col("id").cast("string").alias("k"), F.rand(1).alias("v")))
+        plan = with_rank(df, "k", "v", "r", task_rows=1000)._jdf.queryExecution().optimizedPlan()
+        return [line.strip(" +-:").split(" ")[0] for line in plan.toString().splitlines()]
+
+    assert shape(10) == shape(100_000)

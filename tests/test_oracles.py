@@ -13,8 +13,7 @@ from retinue.catalog import ORACLES, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
-# LIMIT without an order may return any rows.
-WITHOUT_ORACLE = {"src_head", "lim"}
+WITHOUT_ORACLE = set()
 
 
 @pytest.fixture(scope="module")
