@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 
 from retinue.llm.eliasfano import EliasFano
 from retinue.llm.frames import carried
-from retinue.llm.tasks import pieces, spans, worker_memory
+from retinue.llm.tasks import gathered, pieces, worker_memory
 from retinue.operators.staging import settle
 
 _HEADER = "<8sBQqQ"
 _MAGIC = b"TOKENEF1"
 #: Text that is tokenized at a time.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 #: Words whose ids a worker process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 # Characters that fold to lower case one by one and are already composed.
 _SIMPLE = "[^\x00-įĲ-ňŊ-ž]"
 _LETTER_STOP = "([a-zß-öø-ɏ])([.,!?;:])"
@@ -95,23 +95,20 @@ class _Words:
 
     def __init__(self):
         self.places: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.starts: list[int] = []
-        self.lengths: list[int] = []
+        self.flat = np.empty(0, np.uint32)
+        self.starts = np.zeros(1, np.int64)
 
     def add(self, words: list[str], tokenizer) -> None:
-        for first in range(0, len(words), 4096):
-            some = words[first : first + 4096]
-            for word, encoding in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                ids = encoding.ids
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.places[word] = len(self.starts)
-                self.starts.append(self.used)
-                self.lengths.append(len(ids))
-                self.used += len(ids)
+        parts, sizes = [self.flat], []
+        for first in range(0, len(words), 2048):
+            found = tokenizer.encode_batch_fast(words[first : first + 2048], add_special_tokens=False)
+            ids = [encoding.ids for encoding in found]
+            sizes += map(len, ids)
+            parts.append(np.fromiter((i for own in ids for i in own), np.uint32))
+        self.places.update(zip(words, range(len(self.places), len(self.places) + len(words)), strict=True))
+        self.flat = np.concatenate(parts)
+        ends = self.starts[-1] + np.cumsum(np.array(sizes, np.int64))
+        self.starts = np.concatenate([self.starts, ends])
 
 
 def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -137,8 +134,8 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     words.add([word for word in distinct if word not in words.places], tokenizer)
     places = np.fromiter(map(words.places.__getitem__, distinct), np.int64, len(distinct))
     chosen = places[encoded.indices.to_numpy()]
-    lengths = np.asarray(words.lengths, np.int64)[chosen]
-    ids = words.flat[spans(np.asarray(words.starts, np.int64)[chosen], lengths)]
+    lengths = np.diff(words.starts)[chosen]
+    ids = gathered(words.flat, words.starts[chosen], lengths)
     ends = np.concatenate([[0], np.cumsum(lengths)])
     bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
     return ids, ends[bounds[1:]] - ends[bounds[:-1]]
@@ -152,7 +149,7 @@ def write_token_files(
     end_id: int = 1,
     doc_id: str = "doc_id",
     text: str = "text",
-    most_ids: int = 1 << 24,
+    most_ids: int = 1 << 23,
 ) -> DataFrame:
     """Tokenize every text and write token files into ``folder``, in ascending order of ids.
 
