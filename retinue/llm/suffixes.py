@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retinue.llm.frames import carried, words_of
-from retinue.llm.tasks import list_pieces
+from retinue.llm.tasks import list_pieces, spans
 from retinue.operators.staging import settle
 
 #: Words that are handled at a time.
@@ -46,23 +47,44 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions whose hash is the smallest of some ``window`` neighbouring ones, the leftmost on a tie.
+    """For each ``window`` neighbouring hashes the place of the smallest, the leftmost on a tie.
 
-    Equal runs of grams have their minimisers at equal places, wherever they stand. A
-    shorter sequence keeps its smallest.
+    Equal runs of grams have their minimisers at equal places, wherever they stand.
     """
-    if not len(grams):
-        return np.empty(0, np.int64)
-    width = min(window, len(grams))
-    # Smallest of each window, by doubling the reach of (hash, place) pairs.
+    # By doubling the reach of (hash, place) pairs.
     value, place, reach = grams, np.arange(len(grams)), 1
-    while reach < width:
-        step = min(reach, width - reach)
-        n = len(value) - step
+    while reach < window:
+        step = min(reach, window - reach)
+        n = max(0, len(value) - step)
         later = value[step:] < value[:n]
         value, place = np.where(later, value[step:], value[:n]), np.where(later, place[step:], place[:n])
         reach += step
-    return np.unique(place)
+    return place
+
+
+def retained(
+    words: np.ndarray, sizes: np.ndarray, least: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes of texts that lie side by side: text number, place, ``key`` and ``before``.
+
+    All texts have ``least`` words or more. Windows over the seam of two texts are left out.
+    """
+    window = max(1, (least - gram) // 2)
+    ahead = least - window + 1
+    words = words.astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    heads = window_hashes(words, ahead)
+    smallest = minimisers(window_hashes(words, gram), window)
+    inside = spans(starts, sizes - gram - window + 2)
+    places = np.unique(smallest[inside])
+    text = np.searchsorted(starts, places, side="right") - 1
+    fits = places + ahead <= (starts + sizes)[text]
+    places, text = places[fits], text[fits]
+    before = np.zeros(len(places), np.uint64)
+    for k in range(1, 5):
+        word = np.where(places - k >= starts[text], words[np.maximum(places - k, 0)], 0)
+        before = (before << np.uint64(16)) | (word.astype(np.uint64) & np.uint64(0xFFFF))
+    return text, places - starts[text], heads[places], before
 
 
 def suffixes(texts: DataFrame, least: int, gram: int) -> DataFrame:
@@ -73,29 +95,19 @@ def suffixes(texts: DataFrame, least: int, gram: int) -> DataFrame:
     holds 16 bits of each of the four words ahead of the place, nearest first: by it,
     suffixes with the same key are sorted like the reversed texts before them.
     """
-    window = max(1, (least - gram) // 2)
-    ahead = least - window + 1
 
     def retain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in list_pieces(batches, "words", PIECE_WORDS):
-            nodes = piece.column("node").to_numpy()
-            out = []
-            for n in range(piece.num_rows):
-                words = piece.column("words")[n].values.to_numpy().view(np.uint32).astype(np.uint64)
-                heads = window_hashes(words, ahead)
-                places = minimisers(window_hashes(words, gram), window)
-                places = places[places < len(heads)]
-                padded = np.concatenate([np.zeros(4, np.uint64), words])
-                before = np.zeros(len(places), np.uint64)
-                for k in range(4):
-                    before = (before << np.uint64(16)) | (padded[places + 3 - k] & np.uint64(0xFFFF))
-                out.append((np.full(len(places), nodes[n]), places, heads[places], before))
+            lists = piece.column("words")
+            words = pc.list_flatten(lists).to_numpy().view(np.uint32)
+            sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+            text, place, key, before = retained(words, sizes, least, gram)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([o[2] for o in out]).view(np.int64)),
-                    pa.array(np.concatenate([o[3] for o in out]).view(np.int64)),
-                    pa.array(np.concatenate([o[0] for o in out])),
-                    pa.array(np.concatenate([o[1] for o in out]).astype(np.int32)),
+                    pa.array(key.view(np.int64)),
+                    pa.array(before.view(np.int64)),
+                    pa.array(piece.column("node").to_numpy()[text]),
+                    pa.array(place.astype(np.int32)),
                 ],
                 ["key", "before", "node", "place"],
             )
@@ -224,9 +236,9 @@ def united(found: DataFrame) -> DataFrame:
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for node, spans in zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            for node, found in zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 whole: list[list[int]] = []
-                for span in sorted(spans, key=lambda s: (s["start"], s["end"])):
+                for span in sorted(found, key=lambda s: (s["start"], s["end"])):
                     if whole and span["start"] <= whole[-1][1]:
                         whole[-1][1] = max(whole[-1][1], span["end"])
                         whole[-1][2] = min(whole[-1][2], span["other"])
