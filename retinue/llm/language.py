@@ -224,7 +224,8 @@ def fit(
     """
     spark = labelled.sparkSession
     rows = carried(labelled, lang=lang, body=text).select("lang", "body").dropna()
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("documents"))
+    # One row per language: a small written table, so that the join moves no text.
+    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("documents")))
     share = F.pmod(F.xxhash64("body"), F.lit(1 << 20)) * F.col("documents") < F.lit(train_docs << 20)
     chosen = rows.join(sizes, "lang").where(share).select("lang", "body")
     counts = settle(word_counts(chosen))
