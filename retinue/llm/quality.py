@@ -167,8 +167,8 @@ def mcd(
     """
     dims = len(floors)
     x = [F.col("x")[i] for i in range(dims)]
-    middle = points.groupBy("team").agg(
-        F.array(*[F.percentile_approx(c, 0.5, accuracy) for c in x]).alias("mean"),
+    middle = settle(
+        points.groupBy("team").agg(F.array(*[F.percentile_approx(c, 0.5, accuracy) for c in x]).alias("mean"))
     )
     off = [F.percentile_approx(F.abs(c - F.col("mean")[i]), 0.5, accuracy) for i, c in enumerate(x)]
     # 1.4826 makes the median deviation of normal data its standard deviation.
@@ -252,7 +252,7 @@ def judge(
     teams = settle(own.unionByName(rest))
     together = F.col("a.lang").eqNullSafe(F.col("b.lang")) & F.col("a.source").eqNullSafe(F.col("b.source"))
     points = settle(passing.alias("a").join(teams.alias("b"), together).select("team", "x"))
-    sizes = points.groupBy("team").count().where(F.col("count") >= least_team).select("team")
+    sizes = settle(points.groupBy("team").count().where(F.col("count") >= least_team).select("team"))
     estimates = mcd(points.join(sizes, "team", "left_semi"), **estimation)
     dims = len(estimation.get("floors", FLOORS))
     cut = chi_square_quantile(1 - tail, dims)
