@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from retinue.operators.staging import settle
 
 
-def _print(edges: DataFrame) -> tuple:
-    """Two sets of edges with the same print are the same set."""
-    mixed = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mixed")
-    return tuple(edges.agg(F.count("*"), mixed).first())
+#: Edges that one task of a round handles.
+TASK_EDGES = 200_000
+
+
+def _shape(stars: DataFrame) -> tuple[int, int]:
+    """How many edges there are, and how many keep them from being separate stars.
+
+    Disjoint stars have one edge for each ``a``, and no ``b`` is an ``a`` as well.
+    """
+    sources = stars.groupBy("a").agg(F.count("*").alias("edges"))
+    inner = stars.select(F.col("b").alias("a")).distinct().join(sources, "a", "left_semi")
+    edges, several = sources.agg(F.sum("edges"), F.sum((F.col("edges") > 1).cast("int"))).first()
+    return edges or 0, (several or 0) + inner.count()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,26 +30,27 @@ def components(edges: DataFrame) -> DataFrame:
     of them, until the edges are stars around the smallest nodes. Minima combine on the map
     side and no node's neighbours are ever gathered; the joins go back to written tables,
     so that adaptive execution can split a hub. A chain of n edges needs about log n rounds.
+    Written tables have a file for each ``TASK_EDGES`` edges: rounds on few edges are short.
     """
     greater = F.greatest("a", "b").alias("a")
     smaller = F.least("a", "b").alias("b")
     stars = settle(edges.where("a <> b").select(greater, smaller).distinct())
-    known = _print(stars)
-    while known[0]:
+    count, loose = _shape(stars)
+    while loose:
+        few = lambda df, n=count: settle(df.coalesce(1 + 2 * n // TASK_EDGES))
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = settle(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")))
-        large = settle(
+        lowest = few(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")))
+        large = few(
             both.join(lowest, "a")
             .where(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
             .where("a <> b")
             .distinct()
         )
-        lowest = settle(large.groupBy("a").agg(F.min("b").alias("low")))
+        lowest = few(large.groupBy("a").agg(F.min("b").alias("low")))
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        stars = settle(small.unionByName(lowest.withColumnRenamed("low", "b")).distinct())
-        before, known = known, _print(stars)
-        if known == before:
-            break
+        stars = few(small.unionByName(lowest.withColumnRenamed("low", "b")).distinct())
+        count, loose = _shape(stars)
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return settle(stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots))
+    members = stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    return settle(members.coalesce(1 + 2 * count // TASK_EDGES))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.llm.components import components
@@ -16,7 +16,7 @@ from retinue.llm.tasks import list_pieces
 from retinue.operators.staging import settle
 
 #: Words whose shingles are handled at a time.
-PIECE_WORDS = 2 << 20
+PIECE_WORDS = 1 << 19
 #: Leaders of a bucket in the second and later rounds: this many, then four times as many, and so on.
 LEADERS = 8
 
@@ -123,15 +123,15 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 
 def _words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``words`` (hashes of lower-case words) and two hashes of the word sequence."""
+    """``doc_id``, ``words`` (32-bit hashes of lower-case words) and two hashes of their sequence."""
     rows = carried(docs, doc_id=F.col(doc_id), body=F.lower(F.coalesce(F.col(text), F.lit(""))))
-    hashed = rows.select("doc_id", F.transform(words_of(F.col("body")), lambda w: F.xxhash64(w)).alias("words"))
+    hashed = rows.select("doc_id", F.transform(words_of(F.col("body")), lambda w: F.hash(w)).alias("words"))
     return hashed.withColumns({"c1": F.xxhash64("words"), "c2": F.xxhash64(F.lit(1), "words")})
 
 
 def _sized(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     words = batch.column("words")
-    return pc.list_flatten(words).to_numpy().view(np.uint64), pc.list_value_length(words).to_numpy().astype(np.int64)
+    return pc.list_flatten(words).to_numpy().view(np.uint32), pc.list_value_length(words).to_numpy().astype(np.int64)
 
 
 def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
@@ -152,24 +152,27 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id bigint, c1 bigint, c2 bigint, keys array<bigint>")
 
 
-def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """``node`` and its weighted shingles, as binary arrays of hashes and counts."""
+def profiles(docs: DataFrame, width: int, registers: int) -> DataFrame:
+    """``node``, its weighted shingles as binary arrays of hashes and counts, and 8 bits of each register."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in list_pieces(batches, "words", PIECE_WORDS):
             words, sizes = _sized(piece)
             text, value, count = shingles(words, sizes, width)
+            holder = signatures(text, value, count, len(sizes), registers).astype(np.uint8).view(np.int8)
+            offsets = np.arange(0, holder.size + 1, registers, dtype=np.int32)
             cuts = np.searchsorted(text, np.arange(len(sizes) + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("doc_id"),
                     pa.array([value[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
                     pa.array([count[i:j].astype("<u4").tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(holder.ravel())),
                 ],
-                ["node", "elements", "weights"],
+                ["node", "elements", "weights", "registers"],
             )
 
-    return docs.mapInArrow(profile, "node bigint, elements binary, weights binary")
+    return docs.mapInArrow(profile, "node bigint, elements binary, weights binary, registers array<tinyint>")
 
 
 def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFrame:
@@ -199,6 +202,11 @@ def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFram
     return settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a bigint, b bigint"))
 
 
+def _rank(count: str, name: str) -> Column:
+    """Orders by count, then by a hash of the name: one number, so that aggregates need no sort."""
+    return F.col(count) * F.lit(1 << 20) + F.pmod(F.xxhash64(name), F.lit(1 << 20))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -206,8 +214,8 @@ def near_duplicates(
     text: str = "text",
     width: int = 5,
     threshold: float = 0.8,
-    bands: int = 24,
-    rows: int = 5,
+    bands: int = 32,
+    rows: int = 6,
 ) -> DataFrame:
     """Classes of documents linked by a similarity of ``threshold`` or more.
 
@@ -221,11 +229,12 @@ def near_duplicates(
 
     1. Equal word sequences collapse into the one with the smallest id, by an aggregate.
     2. Of the others, those that share all ``rows`` registers of one of ``bands`` bands meet
-       in a bucket. At similarity 0.8 a pair misses all 24 buckets with probability 0.00007.
+       in a bucket. At similarity 0.8 a pair misses all 32 buckets with probability 0.00006.
     3. Each bucket compares its members with one leader only, the text with most copies.
     4. A bucket whose members are not in one class then needs more: members outside its
-       largest class, some in each round, lead until all have led. Each pair of a bucket is
-       either compared or already in one class, and no link is lost, while the pairs of a
+       largest class, some in each round, lead until all have led. A pair is not compared
+       if its texts are in one class, or agree in so few registers as a pair at the
+       threshold does with probability 0.000003. So no link is lost, and the pairs of a
        group of copies are never all made.
     """
     words = _words(docs, doc_id, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
@@ -235,21 +244,31 @@ def near_duplicates(
         .groupBy("c1", "c2")
         .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
     )
+    # Texts of one id belong together, whatever they are.
+    again = table.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    owned = table.join(settle(again), "doc_id").join(texts, ["c1", "c2"]).select("doc_id", "node")
+    same = settle(
+        owned.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
+    )
     entries = texts.select("node", "copies", F.explode("keys").alias("key"))
     leaders = (
         entries.groupBy("key")
-        .agg(F.count("*").alias("members"), F.max(F.struct("copies", -F.col("node"))).alias("best"))
+        .agg(F.count("*").alias("members"), F.max_by("node", _rank("copies", "node")).alias("leader"))
         .where("members > 1")
-        .select("key", (-F.col("best")["col2"]).alias("leader"))
+        .select("key", "leader")
     )
     buckets = settle(entries.select("key", "node").join(settle(leaders), "key"))
     tried = settle(
         buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     )
     nodes = tried.select(F.col("a").alias("doc_id")).union(tried.select("b")).distinct()
-    profile = settle(profiles(words.select("doc_id", "words").join(nodes, "doc_id", "left_semi"), width))
+    # The same plan at every size: hashed words are too large to broadcast, ids may become so.
+    involved = words.select("doc_id", "words").join(nodes.hint("merge"), "doc_id", "left_semi")
+    profile = settle(profiles(involved, width, bands * rows))
+    # Registers agree like coins with this chance; 4.5 standard deviations below their mean.
+    agreeing = bands * rows * threshold - 4.5 * (bands * rows * threshold * (1 - threshold)) ** 0.5
     links = verified(tried, profile, threshold)
-    found = components(links)
+    found = components(links.unionByName(same))
     members = buckets.select("key", "node", (F.col("node") == F.col("leader")).alias("led"))
     leading = LEADERS
     while True:
@@ -261,24 +280,34 @@ def near_duplicates(
         by_class = classed.groupBy("key", "component").agg(F.count("*").alias("n"))
         mixed = (
             by_class.groupBy("key")
-            .agg(F.count("*").alias("classes"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("big"))
+            .agg(
+                F.count("*").alias("classes"),
+                F.sum("n").alias("members"),
+                F.max_by("component", _rank("n", "component")).alias("big"),
+            )
             .where("classes > 1")
-            .select("key", "members", F.col("big.component").alias("big"))
+            .select("key", "members", "big")
         )
-        open_ = settle(classed.join(settle(mixed), "key"))
+        open_ = settle(classed.join(settle(mixed), "key").join(profile.select("node", "registers"), "node"))
         chance = F.pmod(F.xxhash64("node", F.lit(leading)), F.lit(1 << 20)) * F.col("members")
-        chosen = (
-            (F.col("component") != F.col("big")) & ~F.col("led") & (chance < F.lit(leading << 20))
-        )
-        ahead = open_.withColumn("leads", chosen)
-        waiting = ahead.where((F.col("component") != F.col("big")) & ~F.col("led"))
-        if waiting.isEmpty():
+        waiting = (F.col("component") != F.col("big")) & ~F.col("led")
+        if open_.where(waiting).isEmpty():
             break
-        front = settle(ahead.where("leads").select("key", F.col("node").alias("a"), F.col("component").alias("ac")))
+        ahead = open_.withColumn("leads", waiting & (chance < F.lit(leading << 20)))
+        front = settle(
+            ahead.where("leads").select(
+                "key", F.col("node").alias("a"), F.col("component").alias("ac"), F.col("registers").alias("ar")
+            )
+        )
+        agree = F.aggregate(
+            F.zip_with("ar", "br", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, one: total + one
+        )
+        others = open_.select(
+            "key", F.col("node").alias("b"), F.col("component").alias("bc"), F.col("registers").alias("br")
+        ).alias("o")
+        meet = (F.col("o.key") == F.col("f.key")) & (F.col("ac") != F.col("bc")) & (agree >= F.lit(agreeing))
         pairs = (
-            open_.select("key", F.col("node").alias("b"), F.col("component").alias("bc"))
-            .join(front, "key")
-            .where("ac <> bc")
+            others.join(front.alias("f"), meet)
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
             .distinct()
         )
@@ -291,10 +320,10 @@ def near_duplicates(
         tried = settle(tried.unionByName(fresh))
         members = ahead.select("key", "node", (F.col("led") | F.col("leads")).alias("led"))
         leading *= 4
+    # An id that is nobody's smallest has its class by its texts.
     classes = settle(
         texts.join(found, "node", "left").select("c1", "c2", F.coalesce("component", "node").alias("component"))
     )
-    # An id whose texts are in several classes has the smallest of them, and joins them.
     return (
         table.join(classes, ["c1", "c2"], "left")
         .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
