@@ -24,6 +24,9 @@ WORDS = 4096
 UNKNOWN = "und"
 # A word's beginning in the vocabulary.
 _START = "▁"
+# Words whose chance is below this are summed in logarithms: what smaller numbers lose of
+# their digits is far below the last digit of any chance above it.
+_FAINT = 1e-150
 
 
 class Vocabulary:
@@ -117,6 +120,22 @@ def _forward(found: np.ndarray, chances: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def _log_forward(found: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """As :func:`_forward` in logarithms: slower, for words of any chance."""
+    alpha = np.full((found.shape[0], found.shape[1], logs.shape[1]), -np.inf)
+    alpha[:, 0] = 0
+    present = (found >= 0).any(axis=0)
+    for end in range(1, found.shape[1]):
+        for length in np.flatnonzero(present[end]).tolist():
+            alpha[:, end] = np.logaddexp(alpha[:, end], alpha[:, end - length] + logs[found[:, end, length]])
+    return alpha
+
+
+def _logs(table: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(table)
+
+
 def _batches_by_length(words: list[str]) -> Iterator[np.ndarray]:
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
     for first in range(0, len(words), WORDS):
@@ -128,8 +147,13 @@ def log_chances(words: list[str], vocabulary: Vocabulary, chances: np.ndarray) -
     out = np.empty((len(words), chances.shape[1]))
     for rows in _batches_by_length(words):
         found, lengths, extra = vocabulary.edges([words[i] for i in rows.tolist()])
-        alpha = _forward(found, vocabulary.extended(chances, extra))
-        out[rows] = np.log(alpha[np.arange(len(rows)), lengths])
+        table = vocabulary.extended(chances, extra)
+        whole = _forward(found, table)[np.arange(len(rows)), lengths]
+        out[rows] = _logs(whole)
+        faint = np.flatnonzero((whole < _FAINT).any(axis=1))
+        if len(faint):
+            alpha = _log_forward(found[faint], _logs(table))
+            out[rows[faint]] = alpha[np.arange(len(faint)), lengths[faint]]
     return out
 
 
@@ -140,11 +164,17 @@ def expected_counts(words: list[str], counts: np.ndarray, vocabulary: Vocabulary
         found, lengths, extra = vocabulary.edges([words[i] for i in rows.tolist()])
         table = vocabulary.extended(chances[:, None], extra)
         alpha = _forward(found, table)[:, :, 0]
+        whole = alpha[np.arange(len(rows)), lengths]
+        faint = whole < _FAINT
+        sums = np.zeros(len(table))
+        if faint.any():
+            sums += _log_expected(found[faint], lengths[faint], counts[rows[faint]], _logs(table))
+            clear = ~faint
+            found, lengths, alpha, whole, rows = found[clear], lengths[clear], alpha[clear], whole[clear], rows[clear]
         table = table[:, 0]
         beta = np.zeros_like(alpha)
-        beta[np.arange(len(rows)), lengths] = counts[rows] / alpha[np.arange(len(rows)), lengths]
+        beta[np.arange(len(rows)), lengths] = counts[rows] / whole
         present = (found >= 0).any(axis=0)
-        sums = np.zeros(len(table))
         for end in range(found.shape[1] - 1, 0, -1):
             for length in np.flatnonzero(present[end]).tolist():
                 piece = found[:, end, length]
@@ -157,6 +187,27 @@ def expected_counts(words: list[str], counts: np.ndarray, vocabulary: Vocabulary
     return total
 
 
+def _log_expected(found: np.ndarray, lengths: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Expected counts of the rows of ``logs``, one column, for words of any chance."""
+    alpha = _log_forward(found, logs)[:, :, 0]
+    whole = alpha[np.arange(len(found)), lengths]
+    # A word that no segmentation can spell teaches nothing.
+    spelt = np.isfinite(whole)
+    found, lengths, counts, alpha, whole = found[spelt], lengths[spelt], counts[spelt], alpha[spelt], whole[spelt]
+    logs = logs[:, 0]
+    beta = np.full_like(alpha, -np.inf)
+    beta[np.arange(len(found)), lengths] = -whole
+    sums = np.zeros(len(logs))
+    present = (found >= 0).any(axis=0)
+    for end in range(found.shape[1] - 1, 0, -1):
+        for length in np.flatnonzero(present[end]).tolist():
+            piece = found[:, end, length]
+            share = beta[:, end] + logs[piece]
+            beta[:, end - length] = np.logaddexp(beta[:, end - length], share)
+            sums += np.bincount(piece % len(logs), counts * np.exp(alpha[:, end - length] + share), len(logs))
+    return sums
+
+
 def _word_lists(texts: pa.Array) -> pa.Array:
     """Runs of letters in lower case, cut every ``LONGEST`` letters, for each text."""
     letters = pc.replace_substring_regex(pc.utf8_lower(texts.cast(pa.large_string())), r"[^\pL]+", " ")

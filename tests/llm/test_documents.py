@@ -214,6 +214,58 @@ def test_forward_sums_all_segmentations():
     assert covered == pytest.approx(sum(map(len, words)) - 1)
 
 
+def outside(vocabulary, first, n):
+    """Letters that only bytes can spell."""
+    letters = [chr(c) for c in range(first, first + 4000) if chr(c).isalpha() and not vocabulary._letters[c]]
+    return "".join(letters[:n])
+
+
+def test_long_words_of_letters_outside_the_vocabulary():
+    import public_tokenizers
+
+    vocabulary = language.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(2)
+    even = np.full((vocabulary.size, 1), 1 / vocabulary.size)
+    for chances in (even, rng.dirichlet(np.ones(vocabulary.size), 2).T):
+        start = np.log(chances[vocabulary.edges(["▁"])[0][0, 1, 1]])
+        # Chinese, Ethiopic and mathematical letters: three and four bytes each.
+        for first in (0x4E00, 0x1200, 0x1D400):
+            word = outside(vocabulary, first, 32)
+            assert len(word) == 32
+            numbers = vocabulary.bytes[list(word.encode())]
+            got = language.log_chances(["▁" + word, "▁the"], vocabulary, chances)
+            assert got[0] == pytest.approx(start + np.log(chances[numbers]).sum(axis=0))
+            assert np.isfinite(got[1]).all()
+            counts = language.expected_counts(["▁" + word, "▁the"], np.array([3.0, 1.0]), vocabulary, chances[:, 0])
+            assert counts[np.unique(numbers)].sum() == pytest.approx(3 * len(numbers))
+    # Where both ways can say a word, they say the same.
+    words = ["▁the", "▁und", "▁çaïx", "▁ꙮa", "▁international"]
+    found, lengths, extra = vocabulary.edges(words)
+    table = vocabulary.extended(chances, extra)
+    plain = language._forward(found, table)[np.arange(5), lengths]
+    logs = language._log_forward(found, np.log(np.maximum(table, 1e-320)))[np.arange(5), lengths]
+    assert logs == pytest.approx(np.log(plain))
+
+
+def test_letters_outside_the_vocabulary_in_training_and_prediction(spark):
+    import public_tokenizers
+
+    vocabulary = language.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    chinese, mathematical = outside(vocabulary, 0x4E00, 32), outside(vocabulary, 0x1D400, 32)
+    rows = [(i, "the and of to in is that", "en", "s", 1) for i in range(8)]
+    rows += [(i, "der die und das ist nicht", "de", "s", 1) for i in range(8, 16)]
+    rows += [(16, f"the {chinese} and", "en", "s", 1), (17, f"und {mathematical}", "de", "s", 1)]
+    rows += [(18, f"das ist {outside(vocabulary, 0x1200, 32)}", None, "s", 1)]
+    docs = table(spark, rows)
+    model = language.fit(docs, path=public_tokenizers.path("piece_bpe_32k.model"))
+    assert np.isfinite(model.chances).all()
+    got = {r.doc_id: r for r in language.predict(docs, model, doc_id="doc_id").collect()}
+    assert all(got[i].lang_pred == "en" for i in [*range(8), 16])
+    assert [got[i].lang_pred for i in [*range(8, 16), 17]] == ["de"] * 9
+    assert got[18].lang_pred in ("en", "de")
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
 def test_languages_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     from retinue.llm.queries import QUERIES
