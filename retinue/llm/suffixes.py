@@ -170,86 +170,140 @@ def neighbours(found: DataFrame) -> DataFrame:
     return compared.where("end IS NULL").select(*columns).unionByName(border.select(*columns))
 
 
-def extend(a: np.ndarray, b: np.ndarray, at_a: int, at_b: int) -> tuple[int, int]:
-    """How many words agree before the two places, and from there on."""
-    n = min(at_a, at_b)
-    left = a[at_a - n : at_a][::-1] != b[at_b - n : at_b][::-1]
-    m = min(len(a) - at_a, len(b) - at_b)
-    right = a[at_a : at_a + m] != b[at_b : at_b + m]
-    return (int(left.argmax()) if left.any() else n), (int(right.argmax()) if right.any() else m)
+def windows(pairs: DataFrame, texts: DataFrame, least: int, gram: int) -> DataFrame:
+    """Runs of ``least`` words whose minimiser is a suffix with a neighbour: two hashes, ``node`` and ``start``.
 
+    A run that occurs twice has the same key at its minimiser in both places, so all such
+    runs are among these.
+    """
+    window = max(1, (least - gram) // 2)
+    salt = np.uint64(0x5BD1E995)
 
-_SPANS = ["node", "start", "end", "other"]
-_SPAN_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in list_pieces(batches, "words", PIECE_WORDS):
+            lists, places = piece.column("words"), piece.column("places")
+            words = pc.list_flatten(lists).to_numpy().view(np.uint32).astype(np.uint64)
+            sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+            starts = np.cumsum(sizes) - sizes
+            marked = np.zeros(len(words), bool)
+            marked[pc.list_flatten(places).to_numpy() + np.repeat(starts, pc.list_value_length(places).to_numpy())] = True
+            begin = spans(starts, sizes - least + 1)
+            begin = begin[marked[minimisers(window_hashes(words, gram), window)[begin]]]
+            text = np.searchsorted(starts, begin, side="right") - 1
+            # The second hash makes equal pairs of different runs improbable at any size.
+            check = window_hashes(words ^ salt, least)[begin] >> np.uint64(33)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(window_hashes(words, least)[begin].view(np.int64)),
+                    pa.array(check.astype(np.int32)),
+                    pa.array(piece.column("node").to_numpy()[text]),
+                    pa.array((begin - starts[text]).astype(np.int32)),
+                ],
+                ["hash", "check", "node", "start"],
+            )
 
-def _span_rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _SPAN_TYPES, strict=True)], _SPANS)
+    both = pairs.selectExpr("a AS node", "at_a AS place").unionByName(pairs.selectExpr("b AS node", "at_b AS place"))
+    placed = settle(both.groupBy("node").agg(F.collect_set("place").alias("places")))
+    met = texts.join(placed, "node").select("node", "words", "places")
+    return met.mapInArrow(cut, "hash bigint, check int, node bigint, start int")
 
 
-def matches(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """Extend neighbours to both sides: spans of ``least`` words or more, for both texts.
+def shared(found: DataFrame) -> DataFrame:
+    """Of :func:`windows` those that occur twice: ``node``, ``start`` and the two smallest ids, ``lowest`` and ``second``.
 
-    Each two texts meet once, in one row, with all the places where they are neighbours.
+    ``second`` is null where one text alone has the run. Sorted in ranges, whatever the
+    number of texts that share a run. Runs that may go on in another range, the first and
+    the last one of each, take the ids from a table with two rows a range.
     """
+    order = ["hash", "check", "node", "start"]
+    schema = "hash bigint, check int, node bigint, start int, lowest bigint, second bigint, n bigint"
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    names = [*order, "lowest", "second", "n"]
+
+    def rows_of(**columns) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        arrays = [columns[c].cast(k) if c in columns else pa.nulls(size, k) for c, k in zip(names, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for n in range(batch.num_rows):
-                a = batch.column("wa")[n].values.to_numpy()
-                b = batch.column("wb")[n].values.to_numpy()
-                node_a, node_b = batch.column("a")[n].as_py(), batch.column("b")[n].as_py()
-                seen: dict[int, int] = {}
-                for spot in sorted(batch.column("spots")[n].as_py(), key=lambda s: (s["at_a"], s["at_b"])):
-                    at_a, at_b = spot["at_a"], spot["at_b"]
-                    # A match that an earlier place on the same diagonal covers already.
-                    if seen.get(at_a - at_b, -1) > at_a:
-                        continue
-                    left, right = extend(a, b, at_a, at_b)
-                    seen[at_a - at_b] = at_a + right
-                    if left + right >= least:
-                        out.append((node_a, at_a - left, at_a + right, node_b))
-                        out.append((node_b, at_b - left, at_b + right, node_a))
-            yield _span_rows(out)
-
-    listed = settle(pairs.groupBy("a", "b").agg(F.collect_set(F.struct("at_a", "at_b")).alias("spots")))
-    asked = listed.select(F.col("a").alias("node"), "a", "b", "spots").unionByName(
-        listed.where("a <> b").select(F.col("b").alias("node"), "a", "b", F.lit(None).alias("spots"))
-    )
-    words = lambda n: F.first(F.when(F.col("node") == F.col(n), F.col("words")), ignorenulls=True)
-    met = (
-        texts.join(asked, "node")
-        .groupBy("a", "b")
-        .agg(F.first("spots", ignorenulls=True).alias("spots"), words("a").alias("wa"), words("b").alias("wb"))
-    )
-    return met.mapInArrow(compare, "node bigint, start int, end int, other bigint")
+        parts = [[batch.column(c).to_numpy() for c in order] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        value, check, node, start = (np.concatenate(c) for c in zip(*parts, strict=True))
+        heads = np.flatnonzero((value[1:] != value[:-1]) | (check[1:] != check[:-1])) + 1
+        heads = np.concatenate([[0], heads])
+        sizes = np.diff(np.append(heads, len(value)))
+        group = np.repeat(np.arange(len(heads)), sizes)
+        lowest = node[heads]
+        # The ids of a run are sorted: the first other one is the second smallest.
+        at = np.minimum.reduceat(np.where(node != lowest[group], np.arange(len(node)), len(node)), heads)
+        alone = at == len(node)
+        second = node[np.minimum(at, len(node) - 1)]
+        border = (group == 0) | (group == group[-1])
+        inner = np.flatnonzero(~border & (sizes[group] > 1))
+        own = group[inner]
+        yield rows_of(
+            node=pa.array(node[inner]),
+            start=pa.array(start[inner]),
+            lowest=pa.array(lowest[own]),
+            second=pa.array(second[own], mask=alone[own]),
+        )
+        yield rows_of(**{c: pa.array(v[border]) for c, v in zip(order, (value, check, node, start), strict=True)})
+        ends = np.unique([0, len(heads) - 1])
+        yield rows_of(
+            hash=pa.array(value[heads[ends]]),
+            check=pa.array(check[heads[ends]]),
+            lowest=pa.array(lowest[ends]),
+            second=pa.array(second[ends], mask=alone[ends]),
+            n=pa.array(sizes[ends]),
+        )
 
+    ranged = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    compared = settle(ranged.mapInArrow(compare, schema))
+    ids = F.array_compact(F.flatten(F.collect_list(F.array("lowest", "second"))))
+    ends = (
+        compared.where("n IS NOT NULL")
+        .groupBy("hash", "check")
+        .agg(F.sum("n").alias("n"), F.array_sort(F.array_distinct(ids)).alias("ids"))
+        .where("n > 1")
+        .select("hash", "check", F.get("ids", F.lit(0)).alias("lowest"), F.get("ids", F.lit(1)).alias("second"))
+    )
+    border = compared.where("hash IS NOT NULL AND start IS NOT NULL").select(order).join(F.broadcast(ends), ["hash", "check"])
+    columns = ["node", "start", "lowest", "second"]
+    return compared.where("hash IS NULL").select(columns).unionByName(border.select(columns))
 
-def united(found: DataFrame) -> DataFrame:
-    """Spans of a text that overlap or touch become one, with the smallest partner.
 
-    A text has no more spans than minimisers, so they meet in one row.
-    """
+def united(found: DataFrame, least: int) -> DataFrame:
+    """Runs of a text that overlap or touch become one, with the smallest partner."""
+    none = np.iinfo(np.int64).max
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            out = []
-            for node, found in zip(batch.column("node").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                whole: list[list[int]] = []
-                for span in sorted(found, key=lambda s: (s["start"], s["end"])):
-                    if whole and span["start"] <= whole[-1][1]:
-                        whole[-1][1] = max(whole[-1][1], span["end"])
-                        whole[-1][2] = min(whole[-1][2], span["other"])
-                    else:
-                        whole.append([span["start"], span["end"], span["other"]])
-                out += [(node, *span) for span in whole]
-            yield _span_rows(out)
-
-    per_span = found.groupBy("node", "start", "end").agg(F.min("other").alias("other"))
-    listed = per_span.groupBy("node").agg(F.collect_list(F.struct("start", "end", "other")).alias("spans"))
-    return listed.mapInArrow(unite, "node bigint, start int, end int, other bigint")
+            if not batch.num_rows:
+                continue
+            node, start, other = (batch.column(c).to_numpy() for c in ("node", "start", "other"))
+            end = start + least
+            other = np.where(other == node, none, other)
+            if last is not None:
+                node, start, end, other = (np.insert(c, 0, v) for c, v in zip((node, start, end, other), last, strict=True))
+            new = (node[1:] != node[:-1]) | (start[1:] > end[:-1])
+            heads = np.concatenate([[0], np.flatnonzero(new) + 1])
+            tails = np.append(heads[1:], len(node)) - 1
+            whole = (node[heads], start[heads], end[tails], np.minimum.reduceat(other, heads))
+            last = tuple(c[-1] for c in whole)
+            yield rows_of(*[c[:-1] for c in whole])
+        if last is not None:
+            yield rows_of(*[np.array([v]) for v in last])
+
+    def rows_of(node, start, end, other) -> pa.RecordBatch:
+        other = np.where(other == none, node, other)
+        columns = [pa.array(node), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(other)]
+        return pa.RecordBatch.from_arrays(columns, ["node", "start", "end", "other"])
+
+    other = F.when(F.col("lowest") < F.col("node"), F.col("lowest")).otherwise(F.coalesce("second", "node"))
+    placed = found.select("node", "start", other.alias("other")).repartition("node").sortWithinPartitions("node", "start")
+    return placed.mapInArrow(unite, "node bigint, start int, end int, other bigint")
 
 
 def repeated_passages(
@@ -259,7 +313,7 @@ def repeated_passages(
 
     Words are compared in lower case. Returns one row per document and run: ``doc_id``,
     ``start`` and ``end`` (words, end excluded), ``n_words``, ``other_id`` (the smallest id
-    of the texts it was compared with; its own id where a run repeats within the text only)
+    of the texts that share a part of it; its own id where a run repeats within the text only)
     and ``first`` (``other_id`` is not smaller, so that a filter may keep the run here).
     Runs that overlap or touch are one. A copy is a run like any other.
 
@@ -271,9 +325,10 @@ def repeated_passages(
        whose hash is the smallest among their neighbours. Equal passages keep equal places.
     2. They are sorted by the hash of their first words, then by the words before, then by
        text, in ranges: a passage that a third of all texts share spreads over many tasks.
-    3. Each is compared with its neighbour in that order, also across the borders of
-       ranges, and extended word by word to both sides. There are no more pairs than
-       suffixes, however many texts share a passage.
+    3. Suffixes whose neighbour in that order has the same first words are looked at
+       closely: the runs of ``least`` words around them are sorted by their hash, again in
+       ranges. Each run that occurs twice is found, with the smallest ids that have it,
+       however many texts share it and whatever stands beside it.
     """
     rows = carried(docs, node=F.col(doc_id).cast("bigint"), body=F.col(text)).select("node", "body").dropna()
     again = settle(rows.groupBy("node").agg(F.count("*").alias("rows")).where("rows > 1").select("node"))
@@ -281,8 +336,8 @@ def repeated_passages(
     whole = rows.join(again, "node", "left_anti").unionByName(joined.select("node", F.array_join("all", "\n").alias("body")))
     hashed = F.transform(words_of(F.lower("body")), lambda w: F.hash(w))
     texts = whole.select("node", hashed.alias("words")).where(F.size("words") >= least)
-    pairs = neighbours(suffixes(texts, least, gram))
-    spans = united(matches(pairs, texts, least))
+    pairs = neighbours(settle(suffixes(texts, least, gram)))
+    spans = united(shared(settle(windows(pairs, texts, least, gram))), least)
     return spans.select(
         F.col("node").alias("doc_id"),
         "start",

@@ -114,3 +114,18 @@ def test_a_passage_of_all_texts_makes_few_pairs(spark):
     got = suffixes.repeated_passages(docs).collect()
     assert sorted(r.doc_id for r in got) == list(range(400))
     assert {(r.start, r.end) for r in got} == {(1, 61)} and sum(r.first for r in got) == 1
+
+
+def test_long_passages_around_a_run_of_all_texts(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    footer = prose(45)
+    texts = [f"{prose(rng.randint(5, 40))} {footer} {prose(rng.randint(0, 40))}" for _ in range(400)]
+    for _ in range(12):  # longer passages that hold the footer, each in two texts
+        before, after = prose(rng.randint(0, 8)), prose(rng.randint(10, 15))
+        texts += [f"{prose(20)} {before} {footer} {after} {prose(20)}" for _ in range(2)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = suffixes.repeated_passages(docs).collect()
+    assert covered(got) == runs(rows, 50) and len(got) == 24
