@@ -274,7 +274,11 @@ def shared(found: DataFrame) -> DataFrame:
 
 
 def united(found: DataFrame, least: int) -> DataFrame:
-    """Runs of a text that overlap or touch become one, with the smallest partner."""
+    """Runs of a text that overlap or touch and have one ``holder`` become one, with the smallest partner.
+
+    The holder is the smallest id that has the run. Runs that different texts hold first
+    stay apart, so that each word's first place is known.
+    """
     none = np.iinfo(np.int64).max
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,28 +286,31 @@ def united(found: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            node, start, other = (batch.column(c).to_numpy() for c in ("node", "start", "other"))
+            node, start, other, holder = (batch.column(c).to_numpy() for c in ("node", "start", "other", "holder"))
             end = start + least
             other = np.where(other == node, none, other)
             if last is not None:
-                node, start, end, other = (np.insert(c, 0, v) for c, v in zip((node, start, end, other), last, strict=True))
-            new = (node[1:] != node[:-1]) | (start[1:] > end[:-1])
+                columns = (node, start, end, other, holder)
+                node, start, end, other, holder = (np.insert(c, 0, v) for c, v in zip(columns, last, strict=True))
+            new = (node[1:] != node[:-1]) | (start[1:] > end[:-1]) | (holder[1:] != holder[:-1])
             heads = np.concatenate([[0], np.flatnonzero(new) + 1])
             tails = np.append(heads[1:], len(node)) - 1
-            whole = (node[heads], start[heads], end[tails], np.minimum.reduceat(other, heads))
+            whole = (node[heads], start[heads], end[tails], np.minimum.reduceat(other, heads), holder[heads])
             last = tuple(c[-1] for c in whole)
             yield rows_of(*[c[:-1] for c in whole])
         if last is not None:
             yield rows_of(*[np.array([v]) for v in last])
 
-    def rows_of(node, start, end, other) -> pa.RecordBatch:
+    def rows_of(node, start, end, other, holder) -> pa.RecordBatch:
         other = np.where(other == none, node, other)
-        columns = [pa.array(node), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(other)]
-        return pa.RecordBatch.from_arrays(columns, ["node", "start", "end", "other"])
+        start, end = start.astype(np.int32), end.astype(np.int32)
+        columns = [pa.array(c) for c in (node, start, end, other, holder)]
+        return pa.RecordBatch.from_arrays(columns, ["node", "start", "end", "other", "holder"])
 
     other = F.when(F.col("lowest") < F.col("node"), F.col("lowest")).otherwise(F.coalesce("second", "node"))
-    placed = found.select("node", "start", other.alias("other")).repartition("node").sortWithinPartitions("node", "start")
-    return placed.mapInArrow(unite, "node bigint, start int, end int, other bigint")
+    placed = found.select("node", "start", other.alias("other"), F.col("lowest").alias("holder"))
+    ordered = placed.repartition("node").sortWithinPartitions("node", "start")
+    return ordered.mapInArrow(unite, "node bigint, start int, end int, other bigint, holder bigint")
 
 
 def repeated_passages(
@@ -314,8 +321,10 @@ def repeated_passages(
     Words are compared in lower case. Returns one row per document and run: ``doc_id``,
     ``start`` and ``end`` (words, end excluded), ``n_words``, ``other_id`` (the smallest id
     of the texts that share a part of it; its own id where a run repeats within the text only)
-    and ``first`` (``other_id`` is not smaller, so that a filter may keep the run here).
-    Runs that overlap or touch are one. A copy is a run like any other.
+    and ``first`` (no text with a smaller id has any part of it, so that a filter may keep
+    the run here). Runs that overlap or touch are one if the same text is the first to hold
+    them, and rows of their own otherwise, which may overlap. A filter that drops the rows
+    that are not first leaves each run in one text. A copy is a run like any other.
 
     Null and shorter texts have no rows. Rows without an id are left out. Rows with the
     same id are one document: their texts, in order, one after the other. An empty table
@@ -344,5 +353,5 @@ def repeated_passages(
         "end",
         (F.col("end") - F.col("start")).alias("n_words"),
         F.col("other").alias("other_id"),
-        (F.col("other") >= F.col("node")).alias("first"),
+        (F.col("holder") == F.col("node")).alias("first"),
     )

@@ -129,3 +129,27 @@ def test_long_passages_around_a_run_of_all_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     got = suffixes.repeated_passages(docs).collect()
     assert covered(got) == runs(rows, 50) and len(got) == 24
+
+
+def test_adjoining_passages_keep_a_first_place_each(spark):
+    p, q = (" ".join(f"{x}{i}" for i in range(60)) for x in "pq")
+    texts = {1: f"a b {p} c", 2: f"{p} {q}", 3: f"d {q} e"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = suffixes.repeated_passages(docs).collect()
+    assert sorted((r.doc_id, r.start, r.end, r.other_id, r.first) for r in got) == [
+        (1, 2, 62, 2, True),
+        (2, 0, 60, 1, False),
+        (2, 60, 120, 3, True),
+        (3, 1, 61, 2, False),
+    ]
+
+
+def test_partners_are_the_smallest_of_all_and_not_only_of_neighbours(spark):
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(55))
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(9)) + f" {passage}") for i in range(1, 60)],
+        "doc_id bigint, text string",
+    )
+    got = {r.doc_id: (r.other_id, r.first) for r in suffixes.repeated_passages(docs).collect()}
+    assert got == {1: (2, True)} | {i: (1, False) for i in range(2, 60)}
