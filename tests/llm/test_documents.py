@@ -162,6 +162,30 @@ def test_junk_goes_and_prose_stays(spark):
     assert quality.judge(table(spark, [])).count() == 0
 
 
+def test_each_statistic_alone_rejects_below_the_base_limit(spark):
+    rng = random.Random(8)
+    word = lambda n=6: "".join(rng.choices("abcdefghijklmnop", k=n))
+    prose = lambda n, size=6: [word(size + rng.choice([-1, 0, 1])) for _ in range(n)]
+    rows = [(i, " ".join(prose(rng.randint(150, 300))), "en", "s", 1) for i in range(300)]
+    # A third of the words in repeated windows, 4 % symbols, five repeated lines, longer words.
+    half = prose(40)
+    odd = {
+        1000: " ".join(prose(80) + half + prose(80) + half),
+        1001: " ".join(prose(100) + ["#" + w for w in prose(50)] + prose(50)),
+        1002: "\n".join(" ".join(prose(30)) + ("\nsix" if i else "") for i in range(7)),
+        1003: " ".join(prose(200, 8)),
+    }
+    rows += [(i, t, "en", "s", 1) for i, t in odd.items()]
+    got = {r.doc_id: r for r in quality.judge(table(spark, rows)).collect()}
+    assert all(got[i].kept for i in range(300))
+    assert not any(got[i].base_failed for i in odd)
+    assert [i for i in odd if got[i].kept] == []
+    assert got[1000].n_symbols == got[1000].n_dup_lines == 0 and got[1000].n_repeat_words == 80
+    assert got[1001].n_dup_lines == got[1001].n_repeat_words == 0 and got[1001].n_symbols == 50
+    assert got[1002].n_symbols == got[1002].n_repeat_words == 0 and got[1002].n_dup_lines == 5
+    assert got[1003].n_symbols == got[1003].n_repeat_words == got[1003].n_dup_lines == 0
+
+
 def test_estimates_withstand_outliers(spark):
     rng = np.random.default_rng(2)
     x = rng.multivariate_normal([1, 2], [[1, 0.6], [0.6, 2]], 4000)
