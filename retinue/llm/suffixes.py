@@ -268,9 +268,30 @@ def shared(found: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("hash", "check", F.get("ids", F.lit(0)).alias("lowest"), F.get("ids", F.lit(1)).alias("second"))
     )
-    border = compared.where("hash IS NOT NULL AND start IS NOT NULL").select(order).join(F.broadcast(ends), ["hash", "check"])
-    columns = ["node", "start", "lowest", "second"]
-    return compared.where("hash IS NULL").select(columns).unionByName(border.select(columns))
+    # At most two rows a range.
+    known = {(r.hash, r.check): (r.lowest, r.second) for r in ends.collect()}
+
+    def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            value, check, node, start = (batch.column(c).to_numpy() for c in order)
+            heads = np.flatnonzero((value[1:] != value[:-1]) | (check[1:] != check[:-1])) + 1
+            heads = np.concatenate([[0], heads])
+            ids = [known.get(key) for key in zip(value[heads].tolist(), check[heads].tolist(), strict=True)]
+            group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(value))))
+            twice = np.array([pair is not None for pair in ids])[group]
+            lowest = pa.array([pair and pair[0] for pair in ids], pa.int64())
+            second = pa.array([pair and pair[1] for pair in ids], pa.int64())
+            own = pa.array(group[twice])
+            columns = [pa.array(node[twice]), pa.array(start[twice]), lowest.take(own), second.take(own)]
+            yield pa.RecordBatch.from_arrays(columns, columns_of)
+
+    columns_of = ["node", "start", "lowest", "second"]
+    border = compared.where("hash IS NOT NULL AND start IS NOT NULL").select(order)
+    return compared.where("hash IS NULL").select(columns_of).unionByName(
+        border.mapInArrow(complete, "node bigint, start int, lowest bigint, second bigint")
+    )
 
 
 def united(found: DataFrame, least: int) -> DataFrame:
