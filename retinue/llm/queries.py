@@ -9,7 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retinue.llm import embeddings, language, lines, mixing, probminhash, quality, suffixes, tokenfiles, urls
+from retinue.llm import (
+    alignment,
+    embeddings,
+    importance,
+    language,
+    lines,
+    mixing,
+    probminhash,
+    quality,
+    suffixes,
+    tokenfiles,
+    topk,
+    urls,
+)
 from retinue.llm.defaults import bpe_digests, held_out, language_model
 from retinue.llm.frames import read
 from retinue.session import new_folder
@@ -182,4 +195,42 @@ def op8_hnsw_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_vectors(read(spark, folder, "embeddings"))
 
 
+@query(
+    "op11_bit_sliced_top_k",
+    """
+    WITH v AS (
+        SELECT row_number() OVER () AS place, vec_id,
+            list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), s AS (
+        SELECT a.place, a.vec_id AS query_id, b.vec_id,
+            coalesce(list_sum(list_transform(list_zip(a.q, b.q), z -> coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id
+    ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s
+    )
+    SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 10
+    """,
+)
+def op11_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"))
+
+
+@query("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.importance(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(
+        read(spark, folder, "documents"),
+        path_a=public_tokenizers.path("byte_bpe_50k.json"),
+        path_b=public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
