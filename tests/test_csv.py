@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import Shop, rows_by
+from shop import Shop, rows_by
 from retinue.plans.build import build, preview
 from retinue.plans.features import customer_features
 from retinue.sources import csv_files

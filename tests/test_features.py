@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_by
+from shop import rows_by
 from retinue.plans import features
 from retinue.settings import Params
 from retinue.sources.schemas import FEATURE_COLUMNS, FEATURE_SCHEMA

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows_by
+from shop import rows_by
 from retinue.plans import reports, segments
 from retinue.plans.features import customer_features, features_preview
 from retinue.settings import Params
