@@ -200,13 +200,13 @@ def op8_hnsw_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH v AS (
         SELECT row_number() OVER () AS place, vec_id,
-            list_transform(embedding, x -> floor(1024 * x::DOUBLE)::BIGINT) AS q
+            list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
         FROM embeddings
         WHERE embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     ), s AS (
         SELECT a.place, a.vec_id AS query_id, b.vec_id,
-            coalesce(list_sum(list_transform(list_zip(a.q, b.q), z -> coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+            coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
         FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id
     ), r AS (
         SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id NULLS LAST) AS n FROM s
