@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from itertools import chain
 
 import numpy as np
@@ -21,6 +21,8 @@ from retinue.operators.staging import settle
 
 #: Text of one block of documents, in bytes. A block's words are aligned once.
 BLOCK_BYTES = 16 << 20
+#: Words that are encoded and aligned side by side.
+SLICE_WORDS = 32_768
 #: Longer texts are cut into ranges of about this many bytes, which any task may align.
 RANGE_BYTES = 64 << 10
 #: Neighbouring ranges that one step of the tree composes.
@@ -116,6 +118,22 @@ class Words:
 
 
 def align(words: list[str], t: Tokenizers) -> Words:
+    """Align words, ``SLICE_WORDS`` at a time."""
+    starts = range(0, max(len(words), 1), SLICE_WORDS)
+    parts = [_align(words[start : start + SLICE_WORDS], t) for start in starts]
+    if len(parts) == 1:
+        return parts[0]
+    return Words(
+        **{
+            f.name: list(chain.from_iterable(getattr(p, f.name) for p in parts))
+            if f.name == "groups"
+            else np.concatenate([getattr(p, f.name) for p in parts])
+            for f in fields(Words)
+        }
+    )
+
+
+def _align(words: list[str], t: Tokenizers) -> Words:
     """Lay the tokens of both sides over the bytes of each word behind a space.
 
     Between two neighbouring token ends of either side lie bytes of one token of A and one
@@ -129,8 +147,7 @@ def align(words: list[str], t: Tokenizers) -> Words:
     a_ends, b_ends = np.cumsum(t.a_lengths[a]), np.cumsum(t.b_lengths[b])
     ends = np.union1d(a_ends, b_ends)
     of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-    word_of_a = np.repeat(np.arange(len(words)), n_a)
-    word = word_of_a[of_a] if len(ends) else np.empty(0, np.int64)
+    word = np.repeat(np.arange(len(words)), n_a)[of_a] if len(ends) else np.empty(0, np.int64)
     both = (a_ends[of_a] == ends) & (b_ends[of_b] == ends) if len(ends) else np.empty(0, bool)
     n_links = np.bincount(word, minlength=len(words))
     n_groups = np.bincount(word[both], minlength=len(words))
@@ -147,21 +164,23 @@ def align(words: list[str], t: Tokenizers) -> Words:
 def _sound(words: list[str], a, n_a, b, n_b, t: Tokenizers) -> np.ndarray:
     """Whether the tokens of each word join to a space and the word, on both sides."""
     whole = [f" {word}".encode() for word in words]
-    lengths = np.fromiter(map(len, whole), np.int64, len(whole))
+    data = np.frombuffer(b"".join(whole), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
     out = np.ones(len(words), bool)
     for ids, n, table, sizes in ((a, n_a, t.a_bytes, t.a_lengths), (b, n_b, t.b_bytes, t.b_lengths)):
-        joined = b"".join(table.take(pa.array(ids, pa.int64())).to_pylist())
-        if joined == b"".join(whole) and _ends_meet(sizes[ids], n, lengths):
+        joined = np.frombuffer(_joined(table, ids), np.uint8)
+        own_ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.cumsum(n)]
+        if np.array_equal(own_ends, ends) and np.array_equal(joined, data):
             continue
-        token_ends = np.concatenate([[0], np.cumsum(sizes[ids])])
-        bounds = token_ends[np.concatenate([[0], np.cumsum(n)])].tolist()
-        out &= np.array([joined[i:j] == w for i, j, w in zip(bounds, bounds[1:], whole)], bool)
+        parts = zip(np.concatenate([[0], own_ends]).tolist(), own_ends.tolist(), whole)
+        out &= np.fromiter((joined[i:j].tobytes() == w for i, j, w in parts), bool, len(words))
     return out
 
 
-def _ends_meet(sizes: np.ndarray, n: np.ndarray, lengths: np.ndarray) -> bool:
-    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(n)]
-    return bool(np.array_equal(ends, np.cumsum(lengths)))
+def _joined(table: pa.Array, ids: np.ndarray) -> bytes:
+    flat = table.take(pa.array(ids, pa.int64()))
+    ends = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, flat.offset * 8)
+    return flat.buffers()[2].to_pybytes()[ends[0] : ends[-1]] if len(flat) else b""
 
 
 # --- fragments -----------------------------------------------------------------------------------
