@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from retinue.catalog.model_sql import SKEWED
 from retinue.catalog.registry import Context, query
-from retinue.plans import audit, build, cleaning, features, quality, reports, segments
+from retinue.plans import audit, build, cleaning, features, quality, reports, segments, states
 from retinue.session import new_folder
 from retinue.settings import Params
 from retinue.sources.schemas import REPORT_NAMES, TABLES
+from retinue.sources.stored import StoredTable
 from retinue.sources.tables import materialize, refresh, save_bucketed, with_tables
 
 # SQL views of the model tables.
@@ -340,6 +341,17 @@ def _(c: Context):
     return features.customer_features(c.skewed, c.at_scale)
 
 
+@query("job_customer_features_incremental", "SELECT * FROM m_features")
+def _(c: Context):
+    """All but the last orders, then three loads of the rest; payments and reviews come in any order."""
+    batches = [c.batch(n) for n in range(4)]
+    table = StoredTable(c.spark, new_folder(c.spark, "states"))
+    states.start(table, batches[0])
+    for n in range(1, 4):
+        states.advance(table, batches[n], c.batches_before(n))
+    return states.features_of(table.read(), features.reference_date(c.t))
+
+
 @query("job_customer_features_bucketed", "SELECT * FROM m_features")
 def _(c: Context):
     folder = new_folder(c.spark, "bucketed")
@@ -376,10 +388,10 @@ def _(c: Context):
 
 @query("job_refresh", "SELECT * FROM m_features")
 def _(c: Context):
-    """Refreshed from the table and then from its own former snapshot."""
+    """Refreshed from the table and then from its own former snapshot, of which it is the next version."""
     path, view = new_folder(c.spark, "mv_customer_features"), "retinue_mv_customer_features"
-    refresh(c.features(), path, partition_by="segment_client", view=view)
-    refresh(c.spark.table(view), path, partition_by="segment_client", view=view)
+    refresh(c.features(), path, sort_by="segment_client", view=view)
+    refresh(c.spark.table(view), path, sort_by="segment_client", view=view)
     return c.spark.table(view)
 
 
@@ -393,6 +405,13 @@ def _(c: Context):
     return build.preview(c.features(*features.RECENCY))
 
 
+def even_sql(column: str, digits: int) -> str:
+    """Half-to-even rounding spelled out, on the value scaled by a power of ten."""
+    scaled = f"(cast({column} AS double) * {10**digits}.0)"
+    return f"""(CASE WHEN abs({scaled} - trunc({scaled})) = 0.5 THEN 2 * round({scaled} / 2)
+        ELSE round({scaled}) END / {10**digits}.0)"""
+
+
 # --- reports -------------------------------------------------------------------------
 
 REVENUE = "SELECT * FROM m_revenue ORDER BY mois"
@@ -427,6 +446,11 @@ def _(c: Context):
     return reports.review_histogram(c.t)
 
 
+@query("job_score_card", "SELECT format('{:.2f}', avg(review_score)) AS score_moyen FROM m_reviews")
+def _(c: Context):
+    return reports.score_card(c.t)
+
+
 @query("job_mean_review_score", "SELECT avg(review_score) AS score_moyen FROM m_reviews")
 def _(c: Context):
     return reports.mean_review_score(c.t)
@@ -471,6 +495,20 @@ def _(c: Context):
     return reports.segment_profile(c.features(*reports.PROFILE_COLUMNS))
 
 
+@query(
+    "job_segment_bars",
+    f"""SELECT libelle, mesure, valeur FROM (
+            SELECT libelle, {even_sql("valeur_totale_moy", 1)} AS "Valeur totale moy. (R$)",
+                   {even_sql("score_moy", 1)} AS "Score review moyen",
+                   {even_sql("recence_moy", 1)} AS "Récence moy. (jours)",
+                   {even_sql("nb_commandes_moy", 1)} AS "Nb commandes moyen" FROM ({PROFILE}))
+        UNPIVOT INCLUDE NULLS (valeur FOR mesure IN ("Valeur totale moy. (R$)", "Score review moyen",
+                "Récence moy. (jours)", "Nb commandes moyen"))""",
+)
+def _(c: Context):
+    return reports.segment_bars(c.features(*reports.PROFILE_COLUMNS))
+
+
 @query("job_segment_total", "SELECT count(*) AS total_clients FROM m_features")
 def _(c: Context):
     return reports.segment_total(c.features("segment_client")).select(
@@ -495,6 +533,32 @@ def _(c: Context):
     return reports.behaviour_stats(c.features(*reports.BEHAVIOUR_COLUMNS))
 
 
+@query(
+    "job_behaviour_cards",
+    f"""SELECT unnest([
+            {{'libelle': 'Délai inter-commandes moyen', 'valeur': concat(format('{{:.0f}}', delai_moyen), ' jours'),
+              'signal': 'neutral'}},
+            {{'libelle': '% mauvaises reviews (≤2)', 'valeur': concat(format('{{:.1f}}', pct_mauvaises), '%'),
+              'signal': signal}},
+            {{'libelle': 'Catégories / client (moy.)', 'valeur': format('{{:.1f}}', categories_moy),
+              'signal': 'neutral'}},
+            {{'libelle': 'Mode paiement dominant', 'valeur': mode_paiement_dominant, 'signal': 'neutral'}},
+            {{'libelle': 'Clients multi-commandes', 'valeur': concat(format('{{:.1f}}', pct_multi_commandes), '%'),
+              'signal': 'positive'}}], recursive := true) FROM ({BEHAVIOUR})""",
+)
+def _(c: Context):
+    return reports.behaviour_cards(c.features(*reports.BEHAVIOUR_COLUMNS))
+
+
+@query(
+    "job_at_risk_caption",
+    f"""SELECT concat('⚠️ ', format('{{:,}}', nb_a_risque), ' clients à risque sur ', format('{{:,}}', total_clients),
+               ' (', format('{{:.1f}}', pct_a_risque), '%)') AS legende FROM ({KPIS})""",
+)
+def _(c: Context):
+    return reports.at_risk_caption(c.features(*reports.KPI_COLUMNS))
+
+
 SAMPLE = """SELECT customer_unique_id, jours_depuis_derniere_commande, valeur_totale,
     score_moyen_reviews, nb_commandes, panier_moyen_par_commande, segment_client
     FROM m_features ORDER BY md5(concat('42:', customer_unique_id)), customer_unique_id
@@ -506,13 +570,6 @@ def _(c: Context):
     return reports.rfm_sample(c.features(*reports.SAMPLE_COLUMNS))
 
 
-def even_sql(column: str, digits: int) -> str:
-    """Half-to-even rounding spelled out, on the value scaled by a power of ten."""
-    scaled = f"(cast({column} AS double) * {10**digits}.0)"
-    return f"""(CASE WHEN abs({scaled} - trunc({scaled})) = 0.5 THEN 2 * round({scaled} / 2)
-        ELSE round({scaled}) END / {10**digits}.0)"""
-
-
 AT_RISK = f"""SELECT concat(substr(customer_unique_id, 1, 20), '...') AS client_id,
     nb_commandes AS commandes, jours_depuis_derniere_commande AS inactivite_jours,
     cast({even_sql("valeur_totale", 0)} AS bigint) AS ca_total,

@@ -11,8 +11,6 @@ from retinue.catalog.jobs import (
     AT_RISK,
     CATEGORIES,
     CITY_TOP,
-    CLEAN_ORDERS,
-    DEDUP_REVIEWS,
     KPIS,
     MANY_IDS,
     PROFILE,
@@ -40,7 +38,9 @@ from retinue.plans import audit, cleaning, features, quality, reports, segments
 from retinue.session import new_folder
 from retinue.settings import SEGMENT_LABELS, UNKNOWN_CATEGORY
 from retinue.sources import csv_files
+from retinue.sources.results import remembered
 from retinue.sources.schemas import TABLES
+from retinue.sources.stored import StoredTable
 from retinue.sources.tables import create_view, load_tables, materialize, register_views, save_tables
 
 # Columns that the benchmark tables cannot fill.
@@ -57,6 +57,14 @@ EMPTY_COLUMNS = {
 # The caller's own views keep their names.
 VIEW_PREFIX = "retinue_"
 
+REVIEWS = """SELECT review_id, order_id, review_score, cast(NULL AS varchar) AS review_comment_title,
+    cast(NULL AS varchar) AS review_comment_message, review_creation_date,
+    cast(NULL AS timestamp) AS review_answer_timestamp FROM m_reviews"""
+
+WHOLE_CLEAN_ORDERS = """SELECT * REPLACE (
+    CASE WHEN order_status = 'delivered' AND order_delivered_customer_date IS NULL
+         THEN 'shipped' ELSE order_status END AS order_status) FROM m_orders"""
+
 KEPT = "order_status NOT IN ('canceled', 'unavailable')"
 
 
@@ -88,9 +96,64 @@ def _(c: Context):
     return csv_files.read_typed(c.spark, as_csv(c, "order_items"), "order_items")
 
 
-@query("src_csv_typed_multiline", "SELECT * FROM m_sellers")
+NOTED = """SELECT review_id, order_id, review_score,
+    concat('say "', review_id, '", please') AS review_comment_title,
+    concat('one', chr(10), chr(10), 'two "', order_id, '"', chr(10), '.') AS review_comment_message,
+    review_creation_date, cast(NULL AS timestamp) AS review_answer_timestamp FROM m_reviews"""
+
+
+@query("src_csv_typed_multiline", NOTED)
 def _(c: Context):
-    return csv_files.read_typed(c.spark, as_csv(c, "sellers"), "sellers", multi_line=True)
+    """Reviews with quotes and line breaks in their texts, as one file that many tasks may read."""
+    line, order = F.lit("\n"), F.col("order_id")
+    noted = c.t["order_reviews"].withColumns(
+        {
+            "review_comment_title": F.concat(F.lit('say "'), "review_id", F.lit('", please')),
+            "review_comment_message": F.concat(F.lit("one"), line, line, F.lit('two "'), order, F.lit('"'), line, F.lit(".")),
+        }
+    )
+    path = new_folder(c.spark, "csv-reviews")
+    noted.coalesce(1).write.csv(path, header=True, quote='"', escape='"')
+    return csv_files.read_reviews(c.spark, path).drop(csv_files.POSITION)
+
+
+@query(
+    "src_csv_typed_all",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{field.name}' AS colonne,
+                   '{field.dataType.simpleString()}' AS type, count({column}) AS non_null,
+                   count(DISTINCT {column}) AS valeurs FROM {VIEWS[name]}"""
+        for name, spec in TABLES.items()
+        for field in spec.schema.fields
+        for column in ["NULL" if field.name in EMPTY_COLUMNS else field.name]
+    ),
+)
+def _(c: Context):
+    """All tables read from CSV with their declared types; what each column holds."""
+    lines = []
+    for name in TABLES:
+        rows = csv_files.read_typed(c.spark, as_csv(c, name), name)
+        lines.append(_column_report(rows, name, F.count, F.count_distinct))
+    return reduce(DataFrame.unionByName, lines)
+
+
+def _column_report(rows: DataFrame, name: str, *counts) -> DataFrame:
+    """Type, values and distinct values of each column, from one pass."""
+    kinds = dict(rows.dtypes)
+    found = rows.agg(*[f(c).alias(f"{i}|{c}") for c in rows.columns for i, f in enumerate(counts)])
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("table_name"),
+                F.lit(c).alias("colonne"),
+                F.lit(kinds[c]).alias("type"),
+                F.col(f"`0|{c}`").alias("non_null"),
+                F.col(f"`1|{c}`").alias("valeurs"),
+            )
+            for c in rows.columns
+        ]
+    )
+    return found.select(F.inline(cells))
 
 
 @query(
@@ -109,20 +172,33 @@ def _(c: Context):
     return reduce(DataFrame.unionByName, counts)
 
 
+def _inferred_sql(name: str, column: str) -> str:
+    """The type that all values of a column can be read as."""
+    if column in EMPTY_COLUMNS:
+        kind = "'string'"
+    else:
+        value = f"cast({column} AS varchar)"
+        kind = f"""CASE WHEN count({column}) = 0 THEN 'string'
+            WHEN bool_and(regexp_full_match({value}, '-?[0-9]{{1,9}}')) THEN 'int'
+            WHEN count(try_cast({value} AS double)) = count({column}) THEN 'double'
+            WHEN count(try_cast({value} AS timestamp)) = count({column}) THEN 'timestamp'
+            ELSE 'string' END"""
+    counted = "NULL" if column in EMPTY_COLUMNS else column
+    return f"""SELECT '{name}' AS table_name, '{column}' AS colonne, {kind} AS type,
+        count({counted}) AS non_null, count(*) AS nb_lignes FROM {VIEWS[name]}"""
+
+
 @query(
     "src_csv_infer_all",
-    " UNION ALL ".join(
-        f"""SELECT '{name}' AS table_name, count(*) AS nb_lignes, {len(spec.schema.fields)} AS nb_colonnes
-            FROM {VIEWS[name]}"""
-        for name, spec in TABLES.items()
-    ),
+    " UNION ALL ".join(_inferred_sql(name, c) for name, spec in TABLES.items() for c in spec.schema.names),
 )
 def _(c: Context):
+    """Names, types and values that a first look at each file finds."""
     lines = []
     for name in TABLES:
         rows = csv_files.read_inferred(c.spark, as_csv(c, name))
-        counted = rows.agg(F.count("*").alias("nb_lignes"))
-        lines.append(counted.select(F.lit(name).alias("table_name"), "nb_lignes", F.lit(len(rows.columns)).alias("nb_colonnes")))
+        report = _column_report(rows, name, F.count, lambda _: F.count("*"))
+        lines.append(report.withColumnRenamed("valeurs", "nb_lignes"))
     return reduce(DataFrame.unionByName, lines)
 
 
@@ -156,12 +232,17 @@ def _(c: Context):
     return reduce(DataFrame.unionByName, lines)
 
 
-@query("snk_insert_ignore", DEDUP_REVIEWS)
+@query("snk_insert_ignore", REVIEWS)
 def _(c: Context):
-    kept = first_per_key(c.raw_reviews, ["review_id"], csv_files.POSITION)
-    path = new_folder(c.spark, "reviews")
-    columns = ["review_id", "order_id", "review_score", "review_creation_date"]
-    return materialize(kept.select(*columns), path)
+    """Two imports into one table: the first half of the reviews, then all of them."""
+    reviews = c.whole_reviews
+    half = reviews.agg(F.floor(F.percentile(csv_files.POSITION, 0.5))).scalar()
+    columns = TABLES["order_reviews"].schema.names
+    table = StoredTable(c.spark, new_folder(c.spark, "reviews"))
+    table.replace(reviews.select(*columns).limit(0), key=["review_id"])
+    table.insert_ignore(reviews.where(F.col(csv_files.POSITION) <= half), csv_files.POSITION)
+    table.insert_ignore(reviews, csv_files.POSITION)
+    return table.read()
 
 
 @query("snk_view", "SELECT * FROM m_features")
@@ -178,11 +259,13 @@ def _(c: Context):
     )
 
 
-@query("snk_update", CLEAN_ORDERS)
+@query("snk_update", WHOLE_CLEAN_ORDERS)
 def _(c: Context):
-    cleaned = cleaning.clean_orders(c.t["orders"])
-    columns = ["order_id", "order_status", "order_delivered_customer_date"]
-    return materialize(cleaned.select(*columns), new_folder(c.spark, "orders"))
+    """All columns; only files with an order to correct are written again."""
+    table = StoredTable(c.spark, new_folder(c.spark, "orders"))
+    table.replace(c.t["orders"])
+    cleaning.correct_orders(table)
+    return table.read()
 
 
 @query("src_frame", "SELECT * FROM m_features")
@@ -201,15 +284,16 @@ def _(c: Context):
        FROM m_features GROUP BY segment_client""",
 )
 def _(c: Context):
-    """The cached feature table feeds several reports; their results outlive the cache."""
-    cached = c.features().cache()
+    """The kept feature table feeds several reports; a second call with the same files reads it again."""
+    folder = new_folder(c.spark, "results")
+    sources = [c.t[name] for name in TABLES]
+    kept = [remembered(c.spark, folder, "customer features", sources, c.features) for _ in range(2)]
     reports_of = [
-        settle(audit.distribution(cached, axis, "nb_clients")).select(
+        audit.distribution(features_again, axis, "nb_clients").select(
             F.lit(axis).alias("axe"), F.col(axis).cast("string").alias("valeur"), "nb_clients", "pct"
         )
-        for axis in ("est_churne", "segment_client")
+        for axis, features_again in zip(("est_churne", "segment_client"), kept, strict=True)
     ]
-    cached.unpersist()
     return reduce(DataFrame.unionByName, reports_of)
 
 

@@ -6,12 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.catalog.model_sql import oracle
+from retinue.operators.staging import settle
 from retinue.plans.features import customer_features
 from retinue.settings import Params
+from retinue.sources.csv_files import POSITION
+from retinue.sources.schemas import TABLES
 from retinue.sources.tables import Tables, with_tables
 from retinue.sources.testdata import load_model, raw_reviews
 
@@ -31,6 +34,16 @@ class Context:
     def raw_reviews(self) -> DataFrame:
         return raw_reviews(self.spark, self.folder)
 
+    @property
+    def whole_reviews(self) -> DataFrame:
+        """Reviews as delivered, with all columns of the table and their place."""
+        raw = self.raw_reviews
+        columns = [
+            (F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in TABLES["order_reviews"].schema.fields
+        ]
+        return raw.select(*columns, POSITION)
+
     @cached_property
     def skewed(self) -> Tables:
         """The same tables, but one customer owns a third of all accounts."""
@@ -39,6 +52,39 @@ class Context:
         person = F.when(hot, F.lit("hot")).otherwise(F.col("customer_unique_id"))
         return with_tables(self.t, customers=customers.withColumn("customer_unique_id", person))
 
+    @cached_property
+    def _loads(self) -> DataFrame:
+        """The load that brings each order, 0 to 3: the first three quarters by time, then the rest in three."""
+        orders = self.t["orders"].select("order_id", "customer_id", "order_purchase_timestamp")
+        day = F.datediff("order_purchase_timestamp", F.lit("1970-01-01").cast("date"))
+        cuts = orders.agg(F.percentile_approx(day, [0.75, 0.85, 0.95])).first()[0]
+        load = sum(((day > cut).cast("int") for cut in cuts), F.lit(0))
+        return settle(orders.select("order_id", "customer_id", load.alias("load")))
+
+    def _loaded(self, name: str) -> DataFrame:
+        """Rows of a table with the load that brings them."""
+        table, loads = self.t[name], self._loads
+        if name == "order_reviews":
+            return table.withColumn("load", F.pmod(F.xxhash64("review_id"), F.lit(4)).cast("int"))
+        if name == "order_payments":
+            late = F.least(F.col("load") + F.col("payment_sequential") - 1, F.lit(3))
+            return table.join(loads.drop("customer_id"), "order_id").withColumn("load", late)
+        key = "customer_id" if name == "customers" else "order_id"
+        return table.join(loads.select(key, "load"), key)
+
+    def batch(self, load: int) -> Tables:
+        """What one load brings; a second payment comes a load later, reviews come in any."""
+        return self._loads_where(F.col("load") == load)
+
+    def batches_before(self, load: int) -> Tables:
+        return self._loads_where(F.col("load") < load)
+
+    def _loads_where(self, chosen: Column) -> Tables:
+        names = ("customers", "orders", "order_items", "order_payments", "order_reviews")
+        return with_tables(
+            self.t, **{n: self._loaded(n).where(chosen).select(self.t[n].columns) for n in names}
+        )
+
     @property
     def at_scale(self) -> Params:
         """A task size so small that these tables are cut into many ranges."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retinue.operators.keyed import first_per_key
 from retinue.plans.audit import delivered_without_date
 from retinue.sources.csv_files import POSITION
+from retinue.sources.stored import Change, StoredTable
 from retinue.sources.tables import Tables, with_tables
 
 
@@ -22,6 +23,11 @@ def clean_orders(orders: DataFrame) -> DataFrame:
     return orders.withColumn("order_status", status)
 
 
+def correct_orders(table: StoredTable) -> Change:
+    """The same rule on a stored table: only files with such an order are written again."""
+    return table.update(delivered_without_date(), order_status=F.lit("shipped"))
+
+
 def clean(t: Tables) -> Tables:
     """Cleaned tables.
 

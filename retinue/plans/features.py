@@ -4,15 +4,18 @@ Everything starts from the kept orders and works in three steps: facts shrink to
 per order, orders to one row per customer in a single aggregate, and the few features that
 need another grouping (categories, payment types, global rank) join on the customer.
 
-Two properties of the model are relied on and checked by ``plans.quality``: ``order_id`` is
-unique in orders, and prices and purchase times are not NULL.
+Three properties of the model are relied on and checked by ``plans.quality``: ``order_id`` is
+unique in orders and ``product_id`` in products, and prices and purchase times are not NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retinue.functions.dates import day_gap
@@ -56,16 +59,62 @@ def kept_orders(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     return orders.join(accounts, "customer_id").select(PERSON, "order_id", BOUGHT_AT)
 
 
-def item_totals(t: Tables) -> DataFrame:
-    """Amount and number of lines of every order; combines on the map side."""
+def item_totals(t: Tables, categories: Categories | None = None) -> DataFrame:
+    """Amount and number of lines of every order, and its categories; combines on the map side."""
     amount = F.col("price") + F.col("freight_value")
-    return (
-        t["order_items"]
-        .groupBy("order_id")
-        .agg(F.sum(amount).alias("montant_commande"), F.count(amount).alias("nb_lignes"))
+    items, bits = t["order_items"], []
+    if categories:
+        items = items.join(categories.products, "product_id", "left")
+        bits = categories.collected(F.col("_numero"))
+    return items.groupBy("order_id").agg(
+        F.sum(amount).alias("montant_commande"), F.count(amount).alias("nb_lignes"), *bits
     )
 
 
+@dataclass(frozen=True)
+class Categories:
+    """Numbered categories, as bits of 64-bit words: sets of them are united by OR.
+
+    ``products`` has the number of each product's category; products without one share a
+    number. There are as many words as the categories need, so a set is exact whatever
+    their number.
+    """
+
+    products: DataFrame
+    words: int
+
+    @classmethod
+    def of(cls, t: Tables) -> Categories:
+        category = F.coalesce("product_category_name", F.lit(UNKNOWN_CATEGORY)).alias("_categorie")
+        named = t["products"].select("product_id", category)
+        # One row per category.
+        numbers = settle(
+            named.select("_categorie")
+            .distinct()
+            .select("_categorie", (F.row_number().over(Window.orderBy("_categorie")) - 1).alias("_numero"))
+        )
+        return cls(named.join(numbers, "_categorie").drop("_categorie"), ceil(numbers.count() / 64))
+
+    @property
+    def names(self) -> list[str]:
+        return [f"_categories_{w}" for w in range(self.words)]
+
+    def collected(self, number: Column) -> list[Column]:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number % 64)
+        return [
+            F.bit_or(F.when(F.floor(number / 64) == w, bit)).alias(name) for w, name in enumerate(self.names)
+        ]
+
+    def united(self) -> list[Column]:
+        return [F.bit_or(name).alias(name) for name in self.names]
+
+    def size(self) -> Column:
+        """Categories in a set; NULL for none."""
+        counts = [F.bit_count(F.coalesce(name, F.lit(0).cast("bigint"))) for name in self.names]
+        total = reduce(Column.__add__, counts, F.lit(0))
+        return F.nullif(total.cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def review_totals(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     bad = F.col("review_score") <= p.bad_score
     return (
@@ -83,11 +132,11 @@ def review_totals(t: Tables, p: Params = DEFAULTS) -> DataFrame:
 # --- customer aggregates, and what is read from them ---------------------------------
 
 
-def _recency_aggregates() -> list[Column]:
+def recency_aggregates() -> list[Column]:
     return [F.count("*").alias("nb_commandes"), F.max(BOUGHT_AT).alias("derniere_commande")]
 
 
-def _monetary_aggregates() -> list[Column]:
+def monetary_aggregates() -> list[Column]:
     return [
         F.sum("montant_commande").alias("valeur_totale"),
         F.sum("nb_lignes").alias("nb_lignes"),
@@ -95,7 +144,7 @@ def _monetary_aggregates() -> list[Column]:
     ]
 
 
-def _satisfaction_aggregates() -> list[Column]:
+def satisfaction_aggregates() -> list[Column]:
     return [
         F.coalesce(F.sum("nb_avis"), F.lit(0)).alias("nb_reviews"),
         F.coalesce(F.sum("nb_mauvais_avis"), F.lit(0)).alias("nb_mauvaises_reviews"),
@@ -104,7 +153,7 @@ def _satisfaction_aggregates() -> list[Column]:
     ]
 
 
-def _border_aggregates() -> list[Column]:
+def border_aggregates() -> list[Column]:
     """First and last order with items; equal times fall back on the order id."""
     order = F.when(
         F.col("montant_commande").isNotNull(), F.struct(BOUGHT_AT, "order_id", "montant_commande")
@@ -146,7 +195,7 @@ def _mean_change() -> Column:
     return decimal_ratio(change, _steps())
 
 
-def _mean_later_order() -> Column:
+def mean_later_order() -> Column:
     """Average amount of all orders but the first, the value customers are ranked by."""
     later = F.col("valeur_totale") - F.col("premiere")["montant_commande"]
     return decimal_ratio(later, _steps())
@@ -159,7 +208,7 @@ def recency_frequency(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     return (
         kept_orders(t, p)
         .groupBy(PERSON)
-        .agg(*_recency_aggregates())
+        .agg(*recency_aggregates())
         .withColumn(
             "jours_depuis_derniere_commande", day_gap(reference_date(t), F.col("derniere_commande"))
         )
@@ -171,7 +220,7 @@ def monetary(t: Tables, p: Params = DEFAULTS) -> DataFrame:
         kept_orders(t, p)
         .join(item_totals(t), "order_id")
         .groupBy(PERSON)
-        .agg(*_monetary_aggregates())
+        .agg(*monetary_aggregates())
         .select(
             PERSON,
             money(F.col("valeur_totale")).alias("valeur_totale"),
@@ -186,7 +235,7 @@ def satisfaction(t: Tables, p: Params = DEFAULTS) -> DataFrame:
         kept_orders(t, p)
         .join(review_totals(t, p), "order_id", "left")
         .groupBy(PERSON)
-        .agg(*_satisfaction_aggregates())
+        .agg(*satisfaction_aggregates())
         .select(
             PERSON,
             _mean_score().alias("score_moyen_reviews"),
@@ -197,17 +246,26 @@ def satisfaction(t: Tables, p: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def diversity(t: Tables, p: Params = DEFAULTS, kept: DataFrame | None = None) -> DataFrame:
-    """Distinct raw categories; products without one count together as one category."""
-    kept = kept_orders(t, p) if kept is None else kept
-    category = F.coalesce("product_category_name", F.lit(UNKNOWN_CATEGORY)).alias("categorie")
-    return (
+def diversity(t: Tables, p: Params = DEFAULTS) -> DataFrame:
+    """Distinct raw categories; products without one count together as one category.
+
+    Item lines shrink to the categories of an order on the map side; no distinct rows are
+    shuffled a second time.
+    """
+    categories = Categories.of(t)
+    per_order = (
         t["order_items"]
         .select("order_id", "product_id")
-        .join(kept.select("order_id", PERSON), "order_id")
-        .join(t["products"].select("product_id", category), "product_id")
+        .join(categories.products, "product_id")
+        .groupBy("order_id")
+        .agg(*categories.collected(F.col("_numero")))
+    )
+    return (
+        kept_orders(t, p)
+        .join(per_order, "order_id")
         .groupBy(PERSON)
-        .agg(F.countDistinct("categorie").alias("nb_categories_distinctes"))
+        .agg(*categories.united())
+        .select(PERSON, categories.size().alias("nb_categories_distinctes"))
     )
 
 
@@ -268,13 +326,13 @@ def trend(t: Tables, p: Params = DEFAULTS) -> DataFrame:
         kept_orders(t, p)
         .join(item_totals(t), "order_id")
         .groupBy(PERSON)
-        .agg(*_monetary_aggregates(), *_border_aggregates())
+        .agg(*monetary_aggregates(), *border_aggregates())
         .where(F.col("nb_commandes_avec_items") > 1)
         .select(
             PERSON,
             _mean_gap().alias("delai_moyen_inter_commandes"),
             _mean_change().alias("tendance_panier"),
-            _mean_later_order().alias("_valeur"),
+            mean_later_order().alias("_valeur"),
         )
     )
     return with_rank(base, PERSON, "_valeur", "rang_par_valeur", task_rows=p.task_rows).drop("_valeur")
@@ -306,30 +364,37 @@ def customer_features(
     ranked = "rang_par_valeur" in wanted
 
     kept = kept_orders(t, p)
-    if need["diversity"] or need["payments"]:
+    if need["payments"]:
         kept = settle(kept)
 
-    facts, aggregates = kept, _recency_aggregates()
-    if need["monetary"] or need["trend"]:
-        facts = facts.join(item_totals(t), "order_id", "left")
-        aggregates += _monetary_aggregates()
+    facts, aggregates = kept, recency_aggregates()
+    categories = Categories.of(t) if need["diversity"] else None
+    if need["monetary"] or need["trend"] or categories:
+        facts = facts.join(item_totals(t, categories), "order_id", "left")
+        aggregates += monetary_aggregates()
+    if categories:
+        aggregates += categories.united()
     if need["satisfaction"]:
         facts = facts.join(review_totals(t, p), "order_id", "left")
-        aggregates += _satisfaction_aggregates()
+        aggregates += satisfaction_aggregates()
     if need["trend"]:
-        aggregates += _border_aggregates()
+        aggregates += border_aggregates()
 
     people = facts.groupBy(PERSON).agg(*aggregates)
+    if categories:
+        people = people.withColumn("nb_categories_distinctes", categories.size()).drop(*categories.names)
     if ranked:
-        people = people.withColumn("_valeur", _mean_later_order())
+        people = people.withColumn("_valeur", mean_later_order())
         people = with_rank(settle(people), PERSON, "_valeur", "rang_par_valeur", task_rows=p.task_rows)
-    if need["diversity"]:
-        people = people.join(diversity(t, p, kept), PERSON, "left")
     if need["payments"]:
         people = people.join(payments(t, p, kept), PERSON, "left")
 
-    days = day_gap(reference_date(t), F.col("derniere_commande"))
-    people = people.withColumn("jours_depuis_derniere_commande", days)
+    return feature_columns(people, reference_date(t), p, wanted)
+
+
+def feature_columns(people: DataFrame, today: Column, p: Params, wanted: Iterable[str]) -> DataFrame:
+    """The final, rounded columns from the sums of each customer, its rank and what it is joined with."""
+    people = people.withColumn("jours_depuis_derniere_commande", day_gap(today, F.col("derniere_commande")))
     values = {
         PERSON: F.col(PERSON),
         "nb_commandes": F.col("nb_commandes"),

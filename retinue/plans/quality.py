@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.operators.keyed import duplicate_keys
-from retinue.operators.staging import settle
 from retinue.sources.schemas import TABLES
 from retinue.sources.tables import Tables
 
@@ -119,77 +118,83 @@ def range_report(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
-def value_report(t: Tables, table: str) -> DataFrame:
-    """Missing values and values out of range of one table, from one pass."""
+# --- all rules in one pass -------------------------------------------------------------
+
+# Every row becomes a few counted facts: its own key, each parent it names, and its faulty
+# values. Facts about one key meet in one group, whichever table they come from:
+# ``n0`` counts rows that have the key, ``n1`` and on rows of the tables that refer to it.
+_VALUES = "values of "
+
+
+def _children(table: str) -> list[tuple[str, str]]:
+    """Tables and columns that refer to a table, in order."""
+    return [
+        (name, column) for name, spec in TABLES.items() for column, (parent, _) in spec.references.items() if parent == table
+    ]
+
+
+def _faults(table: str) -> dict[tuple[str, str], Column]:
     spec = TABLES[table]
-    faults = {("non_null", c): F.col(c).isNull() for c in spec.required} | {
+    return {("non_null", c): F.col(c).isNull() for c in spec.required} | {
         ("domaine", c): ~F.col(c).between(low, high) for c, (low, high) in spec.ranges.items()
     }
-    counts = t[table].agg(*[F.count_if(bad).alias(f"{check}|{c}") for (check, c), bad in faults.items()])
-    lines = counts.unpivot([], counts.columns, "regle", "nb_violations")
-    part = F.split("regle", r"\|")
-    return lines.select(
-        part[0].alias("controle"),
-        F.lit(table).alias("table_name"),
-        part[1].alias("colonnes"),
-        F.col("nb_violations").cast("bigint").alias("nb_violations"),
-    )
 
 
-def composite_report(t: Tables, table: str) -> DataFrame:
-    """Repeated keys, and unknown parents of the key's first column, from one pass.
+_COUNTERS = max(max(1 + len(_children(name)), len(spec.required) + len(spec.ranges)) for name, spec in TABLES.items())
 
-    Rows per key add up to rows per parent: one row of each parent is staged.
-    """
-    key = TABLES[table].key
-    parent, parent_key = TABLES[table].references[key[0]]
-    missing = reduce(Column.__or__, [F.col(c).isNull() for c in key])
-    per_parent = settle(
-        t[table]
-        .groupBy(*key)
-        .agg(F.count("*").alias("n"))
-        .groupBy(key[0])
-        .agg(F.sum("n").alias("nb_lignes"), F.count_if((F.col("n") > 1) | missing).alias("nb_cles"))
-    )
-    known = t[parent].select(F.col(parent_key).alias(key[0]))
-    orphans = per_parent.where(F.col(key[0]).isNotNull()).join(known, key[0], "left_anti")
-    return _line(
-        "cle", table, key, per_parent.agg(F.coalesce(F.sum("nb_cles"), F.lit(0)).alias("nb_violations"))
-    ).unionByName(
-        _line(
-            "reference",
-            table,
-            [key[0]],
-            orphans.agg(F.coalesce(F.sum("nb_lignes"), F.lit(0)).alias("nb_violations")),
-        )
-    )
 
+def _fact(domain: str, values: Sequence[Column], counts: dict[int, Column]) -> Column:
+    keys = [v.cast("string") for v in values] + [F.lit(None).cast("string")] * (2 - len(values))
+    counters = [counts.get(i, F.lit(0)).cast("bigint").alias(f"n{i}") for i in range(_COUNTERS)]
+    return F.struct(F.lit(domain).alias("domaine"), keys[0].alias("v1"), keys[1].alias("v2"), *counters)
 
-def parent_report(t: Tables, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rows with an unknown parent for several references, whose keys are counted in one pass."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])).alias("p")
-    named = t[table].select(pairs).select("p.c", "p.v").where("v IS NOT NULL")
-    counted = settle(named.groupBy("c", "v").agg(F.count("*").alias("nb_lignes")))
-    lines = []
-    for column in columns:
-        parent, parent_key = TABLES[table].references[column]
-        known = t[parent].select(F.col(parent_key).alias("v"))
-        orphans = counted.where(F.col("c") == column).join(known, "v", "left_anti")
-        total = F.coalesce(F.sum("nb_lignes"), F.lit(0)).alias("nb_violations")
-        lines.append(_line("reference", table, [column], orphans.agg(total)))
-    return reduce(DataFrame.unionByName, lines)
+
+def _facts(t: Tables, table: str) -> DataFrame:
+    spec = TABLES[table]
+    facts = [_fact(table, [F.col(c) for c in spec.key], {0: F.lit(1)})]
+    for column, (parent, _) in spec.references.items():
+        place = 1 + _children(parent).index((table, column))
+        facts.append(_fact(parent, [F.col(column)], {place: F.lit(1)}))
+    faults = {i: F.coalesce(bad.cast("int"), F.lit(0)) for i, bad in enumerate(_faults(table).values())}
+    if faults:
+        facts.append(_fact(_VALUES + table, [], faults))
+    return t[table].select(F.inline(F.array(*facts)))
+
+
+def _rules() -> list[tuple[str, str, str, str, str]]:
+    """Rule, table, columns, and where its violations are counted: domain and measure."""
+    rules = []
+    for name, spec in TABLES.items():
+        rules.append(("cle", name, ",".join(spec.key), name, "cles"))
+        for i, (check, column) in enumerate(_faults(name)):
+            rules.append((check, name, column, _VALUES + name, f"s{i}"))
+        for column, (parent, _) in spec.references.items():
+            rules.append(("reference", name, column, parent, f"r{1 + _children(parent).index((name, column))}"))
+    return rules
 
 
 def constraints(t: Tables) -> DataFrame:
-    """All rules in one report: rule, table, columns, violations. No table is read more than three times."""
-    lines = [key_report(t, composite=False)]
-    for name, spec in TABLES.items():
-        if spec.required or spec.ranges:
-            lines.append(value_report(t, name))
-        composite = len(spec.key) > 1 and spec.key[0] in spec.references
-        if composite:
-            lines.append(composite_report(t, name))
-        parents = [c for c in spec.references if not (composite and c == spec.key[0])]
-        if parents:
-            lines.append(parent_report(t, name, parents))
-    return reduce(DataFrame.unionByName, lines)
+    """All rules in one report: rule, table, columns, violations.
+
+    Each table is read once. Facts are counted per key on the map side and once more after
+    the only shuffle of keys; no table is joined with another, and hot keys are one row a task.
+    """
+    facts = reduce(DataFrame.unionByName, [_facts(t, name) for name in TABLES])
+    counters = [f"n{i}" for i in range(_COUNTERS)]
+    per_key = facts.groupBy("domaine", "v1", "v2").agg(*[F.sum(c).alias(c) for c in counters])
+    composite = [name for name, spec in TABLES.items() if len(spec.key) > 1]
+    missing = F.col("v1").isNull() | (F.col("domaine").isin(composite) & F.col("v2").isNull())
+    orphan = (F.col("n0") == 0) & F.col("v1").isNotNull()
+    per_domain = per_key.groupBy("domaine").agg(
+        F.count_if((F.col("n0") > 1) | ((F.col("n0") == 1) & missing)).alias("cles"),
+        *[F.sum(F.when(orphan, F.col(c))).alias(f"r{c[1:]}") for c in counters[1:]],
+        *[F.sum(c).alias(f"s{c[1:]}") for c in counters],
+    )
+    measures = [c for c in per_domain.columns if c != "domaine"]
+    counted = per_domain.unpivot(["domaine"], measures, "mesure", "nb_violations")
+    names = ("controle", "table_name", "colonnes", "domaine", "mesure")
+    rules = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in _rules()]
+    listed = facts.sparkSession.range(1).select(F.inline(F.array(*rules)))
+    return listed.join(counted, ["domaine", "mesure"], "left").select(
+        *names[:3], F.coalesce("nb_violations", F.lit(0)).cast("bigint").alias("nb_violations")
+    )

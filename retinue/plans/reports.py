@@ -12,7 +12,7 @@ from retinue.functions.numeric import mean, money, percent, ratio, round_half_ev
 from retinue.operators.keyed import top
 from retinue.plans.features import BOUGHT_AT, PERSON, is_kept, item_totals
 from retinue.plans.segments import business_rank
-from retinue.settings import DEFAULTS, SEGMENT_LABELS, UNKNOWN_CATEGORY, Params
+from retinue.settings import BEHAVIOUR_LABELS, DEFAULTS, MEASURE_LABELS, SEGMENT_LABELS, UNKNOWN_CATEGORY, Params
 from retinue.sources.tables import Tables
 
 # Feature columns each report reads; ask ``customer_features`` for no more.
@@ -257,3 +257,55 @@ def at_risk_top(features: DataFrame, rows: int = 15) -> DataFrame:
         round_half_even(F.col("score_moyen_reviews"), 2).alias("score_moyen"),
         round_half_even(F.col("pct_mauvaises_reviews"), 1).alias("pct_negatif"),
     )
+
+
+# --- texts on cards --------------------------------------------------------------------
+
+
+def score_card(t: Tables) -> DataFrame:
+    """The mean score as shown in the middle of the review chart."""
+    return mean_review_score(t).select(fixed(F.col("score_moyen"), 2).alias("score_moyen"))
+
+
+def segment_bars(features: DataFrame) -> DataFrame:
+    """The means of each segment as shown on its bars, one row a segment and measure."""
+    measures = ["valeur_totale_moy", "score_moy", "recence_moy", "nb_commandes_moy"]
+    profile = segment_profile(features).select(
+        "libelle", *[round_half_even(F.col(c), 1).alias(c) for c in measures]
+    )
+    return profile.unpivot(["libelle"], measures, "mesure", "valeur").select(
+        "libelle", label_of(F.col("mesure"), MEASURE_LABELS).alias("mesure"), "valeur"
+    )
+
+
+def behaviour_cards(features: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """The behaviour of all customers as labelled texts, each with its signal."""
+    stats = behaviour_stats(features, p)
+    values = {
+        "delai_moyen": (fixed(F.col("delai_moyen"), 0, suffix=" jours"), F.lit("neutral")),
+        "pct_mauvaises": (fixed(F.col("pct_mauvaises"), 1, suffix="%"), F.col("signal")),
+        "categories_moy": (fixed(F.col("categories_moy"), 1), F.lit("neutral")),
+        "mode_paiement_dominant": (F.col("mode_paiement_dominant"), F.lit("neutral")),
+        "pct_multi_commandes": (fixed(F.col("pct_multi_commandes"), 1, suffix="%"), F.lit("positive")),
+    }
+    cards = [
+        F.struct(F.lit(BEHAVIOUR_LABELS[name]).alias("libelle"), value.alias("valeur"), sign.alias("signal"))
+        for name, (value, sign) in values.items()
+    ]
+    return stats.select(F.inline(F.array(*cards)))
+
+
+def at_risk_caption(features: DataFrame) -> DataFrame:
+    """How many customers are at risk, of how many, in words."""
+    found = kpis(features)
+    return found.select(
+        F.concat(
+            F.lit("⚠️ "),
+            with_thousands(F.col("nb_a_risque")),
+            F.lit(" clients à risque sur "),
+            with_thousands(F.col("total_clients")),
+            F.lit(" ("),
+            fixed(F.col("pct_a_risque"), 1),
+            F.lit("%)"),
+        ).alias("legende")
+    )

@@ -6,14 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.operators.keyed import first_per_key
+from retinue.sources.csv_records import POSITION, read_records
 from retinue.sources.schemas import TABLES
 
-# Only these hold free text with line breaks. A file read with multiLine cannot be
-# split, so every other table keeps the splittable reader.
+# Only these hold free text with line breaks; the others are read line by line.
 MULTILINE_TABLES = {"order_reviews"}
 
-POSITION = "file_position"
-
 
 def read_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header and types taken from the data. For profiling: codes lose leading zeros."""
@@ -23,7 +21,10 @@ def read_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> D
 
 
 def read_typed(spark: SparkSession, path: str, table: str, multi_line: bool | None = None) -> DataFrame:
-    """Load one table with its declared schema; a malformed row fails the job."""
+    """Load one table with its declared schema; a malformed row fails the job.
+
+    With ``multi_line`` one task reads each file whole; :func:`read_reviews` does not need that.
+    """
     if multi_line is None:
         multi_line = table in MULTILINE_TABLES
     return spark.read.schema(TABLES[table].schema).csv(
@@ -37,25 +38,14 @@ def read_typed(spark: SparkSession, path: str, table: str, multi_line: bool | No
     )
 
 
-def with_position(df: DataFrame) -> DataFrame:
-    """Add the place of each row: the file, then the order of rows inside it.
-
-    Ids grow along each partition and a multi-line file is never split, so inside a
-    file they follow the order of its rows.
-    """
-    return df.withColumn(
-        POSITION,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
+def read_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """Reviews with the place of each row; a file of any size is read by many tasks."""
+    return read_records(spark, path, TABLES["order_reviews"].schema)
 
 
 def import_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Reviews with the first row of every ``review_id``; later copies are ignored."""
-    rows = with_position(read_typed(spark, path, "order_reviews"))
-    return first_per_key(rows, TABLES["order_reviews"].key, POSITION).drop(POSITION)
+    return first_per_key(read_reviews(spark, path), TABLES["order_reviews"].key, POSITION).drop(POSITION)
 
 
 def import_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections import ChainMap
 from collections.abc import Callable, Iterator, Mapping
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retinue.sources.schemas import TABLES
+from retinue.sources.stored import StoredTable
 
 Tables = Mapping[str, DataFrame]
 
@@ -76,25 +77,34 @@ def create_view(df: DataFrame, name: str = "v_customer_features") -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write a snapshot, replacing the former one, and read it back."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+def materialize(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
+    """Write a snapshot as the next version of the table at ``path``, and read it back.
+
+    Readers of any session see the former version until the new one is complete; ``df`` may
+    read the former one.
+    """
+    table = StoredTable(df.sparkSession, path)
+    return table.read(table.replace(df, sort_by=sort_by).version)
 
 
-def refresh(df: DataFrame, path: str, partition_by: str | None = None, view: str | None = None) -> int:
+def refresh(
+    df: DataFrame,
+    path: str,
+    sort_by: str | None = None,
+    view: str | None = None,
+    keep: timedelta = timedelta(days=7),
+) -> int:
     """Rewrite the snapshot from current data and return its number of rows.
 
-    Each run writes a folder of its own below ``path`` and only then points ``view`` to
-    it: readers see the former snapshot or the new one, and ``df`` may read the former.
+    ``view`` is pointed to the new version, which other sessions find by ``path``. Versions
+    that were replaced more than ``keep`` ago are deleted.
     """
-    fresh = materialize(df, f"{path}/version-{uuid.uuid4().hex}", partition_by)
+    table = StoredTable(df.sparkSession, path)
+    change = table.replace(df, sort_by=sort_by)
     if view:
-        fresh.createOrReplaceTempView(view)
-    return fresh.count()
+        table.read(change.version).createOrReplaceTempView(view)
+    table.vacuum(keep)
+    return change.rows
 
 
 def heaviest_bucket_share(df: DataFrame, key: str, buckets: int) -> float:
@@ -109,10 +119,11 @@ def heaviest_bucket_share(df: DataFrame, key: str, buckets: int) -> float:
 def save_bucketed(tables: Tables, folder: str, buckets: int, prefix: str, max_share: float | None = None) -> Tables:
     """Store the order-keyed tables in buckets so that joins on ``order_id`` skip the shuffle.
 
-    A table with a bucket far above its fair share is stored unbucketed: its joins then
-    shuffle, where adaptive execution can split the hot partition.
+    A table whose fullest bucket has over ``max_share`` of all rows is stored unbucketed: its
+    joins then shuffle, where adaptive execution can split the hot partition. By default that
+    is halfway between a fair share and all rows, and four fair shares at most.
     """
-    limit = 4.0 / buckets if max_share is None else max_share
+    limit = min(4.0 / buckets, (1 + 1 / buckets) / 2) if max_share is None else max_share
     stored = {}
     for name, key in JOIN_KEYS.items():
         df = tables[name]

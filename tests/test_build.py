@@ -7,6 +7,7 @@ import pytest
 from retinue.plans.build import broken, build
 from retinue.session import run_folder
 from retinue.sources.schemas import TABLES
+from retinue.sources.stored import StoredTable
 
 
 def write(spark, tables, folder):
@@ -51,4 +52,24 @@ def test_broken_rules_stop_the_run(spark, shop, model, tmp_path, fault):
     with pytest.raises(ValueError, match="rules are broken"):
         build(spark, write(spark, model(**rows), tmp_path), str(tmp_path / "out"))
     assert not (tmp_path / "out" / "mv_customer_features").exists()
-    assert broken(spark.read.parquet(str(tmp_path / "out" / "violations"))).count() > 0
+    assert broken(StoredTable(spark, str(tmp_path / "out" / "violations")).read()).count() > 0
+
+
+def test_a_second_import_keeps_the_reviews_stored_first(spark, shop, model, tmp_path):
+    rows = small(shop)
+    build(spark, write(spark, model(**rows), tmp_path / "a"), str(tmp_path / "out"))
+    rows["order_reviews"][0] = {**rows["order_reviews"][0], "review_score": 1}
+    rows["order_reviews"].append({"review_id": "later", "order_id": "o2", "review_score": 2})
+    result = build(spark, write(spark, model(**rows), tmp_path / "b"), str(tmp_path / "out"))
+    scores = {r.review_id: r.review_score for r in result.tables["order_reviews"].collect()}
+    assert scores == {"r-o1-1": 4, "r-o2-1": 5, "later": 2}
+
+
+def test_a_failed_run_leaves_the_former_snapshot(spark, shop, model, tmp_path):
+    rows = small(shop)
+    build(spark, write(spark, model(**rows), tmp_path / "a"), str(tmp_path / "out"))
+    rows["order_items"][0]["price"] = None
+    with pytest.raises(ValueError, match="rules are broken"):
+        build(spark, write(spark, model(**rows), tmp_path / "b"), str(tmp_path / "out"))
+    other = spark.newSession()
+    assert StoredTable(other, str(tmp_path / "out" / "mv_customer_features")).read().count() == 1

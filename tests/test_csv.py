@@ -1,5 +1,6 @@
 """CSV ingestion and the run from files to snapshot."""
 
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from retinue.plans.build import build, preview
 from retinue.plans.features import customer_features
 from retinue.sources import csv_files
 from retinue.sources.schemas import FEATURE_COLUMNS, TABLES
+from retinue.sources.stored import StoredTable
 from retinue.sources.tables import create_view, heaviest_bucket_share, materialize, refresh, save_bucketed
 
 REVIEWS = (
@@ -112,10 +114,11 @@ def test_build_from_csv_to_snapshot(spark, csv_folder, tmp_path):
 def test_snapshot_is_frozen_until_refreshed(spark, tmp_path):
     source, snapshot = str(tmp_path / "source"), str(tmp_path / "snapshot")
     spark.range(5).write.parquet(source)
-    materialize(spark.read.parquet(source), snapshot)
+    first = materialize(spark.read.parquet(source), snapshot)
     spark.range(5, 8).write.mode("append").parquet(source)
-    assert spark.read.parquet(snapshot).count() == 5
-    assert refresh(spark.read.parquet(source), snapshot) == 8
+    assert first.count() == 5
+    assert refresh(spark.read.parquet(source), snapshot, keep=timedelta(0)) == 8
+    assert StoredTable(spark.newSession(), snapshot).read().count() == 8
 
 
 def test_view_is_lazy(spark, tmp_path):
@@ -144,15 +147,16 @@ def test_bucketed_tables_join_without_a_shuffle(spark, model, tmp_path):
     assert got.count() == 0
 
 
-def test_a_table_with_a_hot_key_is_not_bucketed(spark, model, tmp_path):
+@pytest.mark.parametrize("buckets", [2, 4, 16])
+def test_a_table_with_a_hot_key_is_not_bucketed(spark, model, tmp_path, buckets):
     shop = Shop()
-    shop.order("hot", "a", "2020-01-01", [("p", 1, 1)] * 100)
+    shop.order("hot", "a", "2020-01-01", [("p", 1, 1)] * 900)
     for n in range(200):
         shop.order(f"o{n}", "b", "2020-01-01", [("p", 1, 1)])
     t = model(**shop.rows)
-    assert heaviest_bucket_share(t["order_items"], "order_id", 16) > 1 / 3
-    stored = save_bucketed(t, str(tmp_path / "b"), 16, f"h{tmp_path.name.replace('-', '_')}")
-    assert stored["order_items"].count() == 300
+    assert heaviest_bucket_share(t["order_items"], "order_id", buckets) > 4 / 5
+    stored = save_bucketed(t, str(tmp_path / "b"), buckets, f"h{tmp_path.name.replace('-', '_')}")
+    assert stored["order_items"].count() == 1100
     scan = stored["order_items"]._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" not in scan
     assert set(stored) == set(TABLES)

@@ -11,7 +11,7 @@ from retinue import session
 from retinue.operators.keyed import duplicate_keys, first_per_key, most_frequent, top
 from retinue.operators.ordered import with_previous
 from retinue.operators.ranking import with_rank
-from retinue.operators.staging import RANGE, in_ranges, settle
+from retinue.operators.staging import RANGE, in_ranges, settle, sums_before, with_range
 from retinue.session import shared_dir
 
 
@@ -145,8 +145,34 @@ def test_every_range_is_a_task_of_its_own_and_bounded(spark):
 def test_a_window_over_ranges_needs_no_other_shuffle(spark):
     ranged = in_ranges(spark.range(100).toDF("v"), [F.col("v")], 100, 10)
     ranked = ranged.withColumn("r", F.rank().over(Window.partitionBy(RANGE).orderBy("v")))
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
+
+
+def test_ranges_stay_bounded_when_there_are_very_many(spark):
+    rows, ranges = 200_000, 100_000
+    df = spark.range(rows).select(F.lit("a").alias("v"), (F.col("id") * 7919 % rows).alias("id"))
+    numbered = with_range(df, [F.col("v"), F.col("id")], rows, ranges).withColumnRenamed(RANGE, "r")
+    found = numbered.groupBy("r").agg(F.count("*").alias("n")).agg(F.max("n"), F.count("*"), F.max("r")).first()
+    assert found[0] <= 4 and found[1] > 0.9 * ranges and found[2] < ranges
+
+
+def test_sums_before_on_two_levels(spark):
+    df = spark.range(0, 5000, 3).select(F.col("id").alias("i"), (F.col("id") % 7).alias("v"))
+    got = {r["i"]: r["s"] for r in sums_before(df, "i", "v", "s", block=100).collect()}
+    total = 0
+    for i in range(0, 5000, 3):
+        assert got[i] == total
+        total += i % 7
+
+
+def test_no_operator_forces_a_broadcast(spark):
+    df = settle(spark.range(1000).select(F.col("id").cast("string").alias("k"), F.rand(1).alias("v"), "id"))
+    for out in (
+        with_rank(df, "k", "v", "r", task_rows=100),
+        with_previous(df, "k", ["id"], {"v": "before"}, task_rows=100),
+    ):
+        assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_rank_has_one_plan_at_every_size(spark):
