@@ -60,9 +60,9 @@ def _borders(lines: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """``record``, the text of each record, and its place; the header is a record too.
+    """``record``, the text of each record, its place, and whether it is the ``first`` of its file.
 
-    Lines are read once, marked block by block, and staged. Only records of several lines, or
+    Line breaks inside a record become ``\\n``. Lines are read once, marked block by block, and staged. Only records of several lines, or
     at the end of a block, are put together by a shuffle.
     """
     lines = settle(marked_lines(spark, path))
@@ -72,17 +72,19 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     owned = placed.withColumn("owner", F.when(number > 0, own).otherwise(F.col("begun")))
     alone = (F.col("inside") == F.col("open")) & F.coalesce(F.col("next") == F.col("open"), F.lit(False))
     place = F.struct(*_PLACE)
-    single = owned.where(alone).select(F.col("value").alias("record"), place.alias(POSITION))
+    first = (F.col("owner.block") == 0) & (F.col("owner.record") == 1)
+    single = owned.where(alone).select(F.col("value").alias("record"), place.alias(POSITION), first.alias("first"))
     parts = owned.where(~alone).groupBy("file", "owner").agg(
         F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts")
     )
-    first = F.col("parts")[0]
+    start = F.col("parts")[0]
     joined = parts.select(
-        F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("record"),
-        F.struct("file", first["block"].alias("block"), first["line"].alias("line")).alias(POSITION),
+        F.array_join(F.transform("parts", lambda part: F.rtrim(part["value"], F.lit("\r"))), "\n").alias("record"),
+        F.struct("file", start["block"].alias("block"), start["line"].alias("line")).alias(POSITION),
+        first.alias("first"),
     )
-    whole = F.regexp_replace("record", "\r$", "").alias("record")
-    return single.unionByName(joined).select(whole, POSITION).where(F.col("record") != "")
+    whole = F.rtrim(F.col("record"), F.lit("\r")).alias("record")
+    return single.unionByName(joined).select(whole, POSITION, "first").where(F.col("record") != "")
 
 
 def _fields(record: Column, schema: T.StructType) -> Column:
@@ -98,11 +100,11 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     grow along a file, whichever tasks read it. One record must fit a task.
     """
     rows = records(spark, path)
-    heads = rows.groupBy("file_position.file").agg(F.min(F.struct(POSITION, "record")).alias("head"))
-    names = F.transform(F.split("head.record", ","), lambda name: F.trim(F.replace(name, F.lit('"'), F.lit(""))))
+    names = F.transform(F.split("record", ","), lambda name: F.trim(F.replace(name, F.lit('"'), F.lit(""))))
     wanted = F.array(*[F.lit(name) for name in schema.names])
-    wrong = heads.where(names != wanted).select("head.record").first()
+    wrong = rows.where(F.col("first") & (names != wanted)).select("record").first()
     if wrong is not None:
         raise ValueError(f"a header does not name the columns {schema.names}: {wrong.record}")
-    body = rows.join(heads.select(F.col(f"head.{POSITION}").alias(POSITION)), POSITION, "left_anti")
-    return body.select(_fields(F.col("record"), schema).alias("row"), POSITION).select("row.*", POSITION)
+    # A filter on the parsed columns may be evaluated before the one on ``first``.
+    parsed = F.when(~F.col("first"), _fields(F.col("record"), schema))
+    return rows.where(~F.col("first")).select(parsed.alias("row"), POSITION).select("row.*", POSITION)
