@@ -99,7 +99,8 @@ def _(c: Context):
 NOTED = """SELECT review_id, order_id, review_score,
     concat('say "', review_id, '", please') AS review_comment_title,
     concat('one', chr(10), chr(10), 'two "', order_id, '"', chr(10), '.') AS review_comment_message,
-    review_creation_date, cast(NULL AS timestamp) AS review_answer_timestamp FROM m_reviews"""
+    date_trunc('second', review_creation_date) AS review_creation_date,
+    cast(NULL AS timestamp) AS review_answer_timestamp FROM m_reviews"""
 
 
 @query("src_csv_typed_multiline", NOTED)
@@ -109,6 +110,7 @@ def _(c: Context):
     noted = c.t["order_reviews"].withColumns(
         {
             "review_comment_title": F.concat(F.lit('say "'), "review_id", F.lit('", please')),
+            "review_creation_date": F.date_trunc("second", "review_creation_date").cast("timestamp_ntz"),
             "review_comment_message": F.concat(F.lit("one"), line, line, F.lit('two "'), order, F.lit('"'), line, F.lit(".")),
         }
     )

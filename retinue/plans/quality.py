@@ -120,10 +120,10 @@ def range_report(t: Tables) -> DataFrame:
 
 # --- all rules in one pass -------------------------------------------------------------
 
-# Every row becomes a few counted facts: its own key, each parent it names, and its faulty
-# values. Facts about one key meet in one group, whichever table they come from:
-# ``n0`` counts rows that have the key, ``n1`` and on rows of the tables that refer to it.
-_VALUES = "values of "
+# Every row becomes a few counted facts: its own key with its faulty values, and each parent
+# it names. Facts about one key meet in one group, whichever table they come from: ``n0``
+# counts rows that have the key, ``n1`` and on rows of the tables that refer to it, ``f0``
+# and on faulty values of the rows that have it.
 
 
 def _children(table: str) -> list[tuple[str, str]]:
@@ -133,32 +133,30 @@ def _children(table: str) -> list[tuple[str, str]]:
     ]
 
 
-def _faults(table: str) -> dict[tuple[str, str], Column]:
+def _faults(table: str) -> dict[tuple[str, str], str]:
     spec = TABLES[table]
-    return {("non_null", c): F.col(c).isNull() for c in spec.required} | {
-        ("domaine", c): ~F.col(c).between(low, high) for c, (low, high) in spec.ranges.items()
+    return {("non_null", c): f"{c} IS NULL" for c in spec.required} | {
+        ("domaine", c): f"NOT {c} BETWEEN {low} AND {high}" for c, (low, high) in spec.ranges.items()
     }
 
 
-_COUNTERS = max(max(1 + len(_children(name)), len(spec.required) + len(spec.ranges)) for name, spec in TABLES.items())
+_ROWS = [f"n{i}" for i in range(1 + max(len(_children(name)) for name in TABLES))]
+_FAULTS = [f"f{i}" for i in range(max(len(_faults(name)) for name in TABLES))]
 
 
-def _fact(domain: str, values: Sequence[Column], counts: dict[int, Column]) -> Column:
-    keys = [v.cast("string") for v in values] + [F.lit(None).cast("string")] * (2 - len(values))
-    counters = [counts.get(i, F.lit(0)).cast("bigint").alias(f"n{i}") for i in range(_COUNTERS)]
-    return F.struct(F.lit(domain).alias("domaine"), keys[0].alias("v1"), keys[1].alias("v2"), *counters)
+def _fact(domain: str, keys: Sequence[str], counts: dict[str, str]) -> str:
+    values = [f"cast({c} AS string)" for c in keys] + ["cast(NULL AS string)"] * (2 - len(keys))
+    counters = ", ".join(f"'{c}', {counts.get(c, '0')}" for c in _ROWS + _FAULTS)
+    return f"named_struct('domaine', '{domain}', 'v1', {values[0]}, 'v2', {values[1]}, {counters})"
 
 
 def _facts(t: Tables, table: str) -> DataFrame:
     spec = TABLES[table]
-    facts = [_fact(table, [F.col(c) for c in spec.key], {0: F.lit(1)})]
+    faults = {f: f"if({bad}, 1, 0)" for f, bad in zip(_FAULTS, _faults(table).values())}
+    facts = [_fact(table, spec.key, {"n0": "1", **faults})]
     for column, (parent, _) in spec.references.items():
-        place = 1 + _children(parent).index((table, column))
-        facts.append(_fact(parent, [F.col(column)], {place: F.lit(1)}))
-    faults = {i: F.coalesce(bad.cast("int"), F.lit(0)) for i, bad in enumerate(_faults(table).values())}
-    if faults:
-        facts.append(_fact(_VALUES + table, [], faults))
-    return t[table].select(F.inline(F.array(*facts)))
+        facts.append(_fact(parent, [column], {f"n{1 + _children(parent).index((table, column))}": "1"}))
+    return t[table].selectExpr(f"inline(array({', '.join(facts)}))")
 
 
 def _rules() -> list[tuple[str, str, str, str, str]]:
@@ -166,10 +164,9 @@ def _rules() -> list[tuple[str, str, str, str, str]]:
     rules = []
     for name, spec in TABLES.items():
         rules.append(("cle", name, ",".join(spec.key), name, "cles"))
-        for i, (check, column) in enumerate(_faults(name)):
-            rules.append((check, name, column, _VALUES + name, f"s{i}"))
+        rules += [(check, name, column, name, f) for f, (check, column) in zip(_FAULTS, _faults(name))]
         for column, (parent, _) in spec.references.items():
-            rules.append(("reference", name, column, parent, f"r{1 + _children(parent).index((name, column))}"))
+            rules.append(("reference", name, column, parent, f"n{1 + _children(parent).index((name, column))}"))
     return rules
 
 
@@ -180,21 +177,20 @@ def constraints(t: Tables) -> DataFrame:
     the only shuffle of keys; no table is joined with another, and hot keys are one row a task.
     """
     facts = reduce(DataFrame.unionByName, [_facts(t, name) for name in TABLES])
-    counters = [f"n{i}" for i in range(_COUNTERS)]
-    per_key = facts.groupBy("domaine", "v1", "v2").agg(*[F.sum(c).alias(c) for c in counters])
-    composite = [name for name, spec in TABLES.items() if len(spec.key) > 1]
-    missing = F.col("v1").isNull() | (F.col("domaine").isin(composite) & F.col("v2").isNull())
-    orphan = (F.col("n0") == 0) & F.col("v1").isNotNull()
+    per_key = facts.groupBy("domaine", "v1", "v2").agg(*[F.sum(c).alias(c) for c in _ROWS + _FAULTS])
+    composite = ", ".join(f"'{name}'" for name, spec in TABLES.items() if len(spec.key) > 1)
+    missing = f"(v1 IS NULL OR (domaine IN ({composite}) AND v2 IS NULL))"
     per_domain = per_key.groupBy("domaine").agg(
-        F.count_if((F.col("n0") > 1) | ((F.col("n0") == 1) & missing)).alias("cles"),
-        *[F.sum(F.when(orphan, F.col(c))).alias(f"r{c[1:]}") for c in counters[1:]],
-        *[F.sum(c).alias(f"s{c[1:]}") for c in counters],
+        F.expr(f"count_if(n0 > 1 OR (n0 = 1 AND {missing}))").alias("cles"),
+        *[F.expr(f"sum(if(n0 = 0 AND v1 IS NOT NULL, {c}, 0))").alias(c) for c in _ROWS[1:]],
+        *[F.sum(c).alias(c) for c in _FAULTS],
     )
-    measures = [c for c in per_domain.columns if c != "domaine"]
-    counted = per_domain.unpivot(["domaine"], measures, "mesure", "nb_violations")
+    counted = per_domain.unpivot(["domaine"], per_domain.columns[1:], "mesure", "nb_violations")
     names = ("controle", "table_name", "colonnes", "domaine", "mesure")
-    rules = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in _rules()]
-    listed = facts.sparkSession.range(1).select(F.inline(F.array(*rules)))
+    rules = ", ".join(
+        f"named_struct({', '.join(f"'{n}', '{v}'" for n, v in zip(names, rule, strict=True))})" for rule in _rules()
+    )
+    listed = facts.sparkSession.range(1).selectExpr(f"inline(array({rules}))")
     return listed.join(counted, ["domaine", "mesure"], "left").select(
         *names[:3], F.coalesce("nb_violations", F.lit(0)).cast("bigint").alias("nb_violations")
     )
