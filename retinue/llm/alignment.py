@@ -89,7 +89,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 def _tokenizers(paths: tuple[str, str]) -> Tokenizers:
-    memory = worker_memory()
+    memory = worker_memory("alignment")
     key = ("alignment", *paths)
     if key not in memory:
         memory[key] = Tokenizers(*paths)

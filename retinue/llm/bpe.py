@@ -43,7 +43,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    memory = worker_memory()
+    memory = worker_memory("bpe")
     key = ("bpe", path, pattern)
     if key not in memory:
         memory[key] = tiktoken.Encoding(
@@ -331,7 +331,7 @@ def decode(encoded: DataFrame, *, path: str) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("content", T.BinaryType())])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = worker_memory()
+        memory = worker_memory("bpe")
         key = ("token bytes", path)
         if key not in memory:
             ranks = load_ranks(path)

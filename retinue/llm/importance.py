@@ -62,7 +62,7 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    memory = worker_memory()
+    memory = worker_memory("importance")
     if "checksum shifts" not in memory:
         memory["checksum shifts"] = _powers()
     return memory["checksum shifts"]

@@ -103,7 +103,7 @@ class Vocabulary:
 
 
 def _vocabulary(path: str) -> Vocabulary:
-    memory = worker_memory()
+    memory = worker_memory("language")
     if ("pieces", path) not in memory:
         memory["pieces", path] = Vocabulary(path)
     return memory["pieces", path]

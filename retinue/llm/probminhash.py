@@ -17,8 +17,9 @@ from retinue.operators.staging import settle
 
 #: Words whose shingles are handled at a time.
 PIECE_WORDS = 1 << 19
-#: Leaders of a bucket in the second and later rounds: this many, then four times as many, and so on.
-LEADERS = 8
+#: Texts of one block of an open group, and bytes of their shingles; a task holds two blocks.
+BLOCK_TEXTS = 2048
+BLOCK_BYTES = 16 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -202,6 +203,94 @@ def verified(pairs: DataFrame, profile: DataFrame, threshold: float) -> DataFram
     return settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a bigint, b bigint"))
 
 
+def _bounds(elements: np.ndarray, weights: np.ndarray, others: np.ndarray, heavy: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """An upper bound of the similarity of one weighted set with several that lie side by side.
+
+    In the inner sum of :func:`probability_jaccard` the shared elements count as the greater
+    of the two sums over them, which is at most the sum of the greater ones. With equal
+    weights the bound is the similarity itself.
+    """
+    x, y = weights.astype(float), heavy.astype(float)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    place = np.minimum(np.searchsorted(elements, others), len(elements) - 1)
+    shared = elements[place] == others
+    owner_, x_, y_ = owner[shared], x[place[shared]], y[shared]
+    n = len(starts) - 1
+    sum_x, sum_y = np.bincount(owner_, x_, n), np.bincount(owner_, y_, n)
+    only_x, only_y = x.sum() - sum_x, np.bincount(owner, y, n) - sum_y
+    inner = only_x[owner_] / x_ + only_y[owner_] / y_ + np.maximum(sum_x[owner_] / x_, sum_y[owner_] / y_)
+    return np.bincount(owner_, 1 / inner, n)
+
+
+def _united(rows: pa.Table, threshold: float, agreeing: float | None) -> dict[int, int]:
+    """Classes that links between two blocks unite: each class with the smallest of its new one.
+
+    Compared are texts of different classes that share a band and agree in ``agreeing``
+    registers or more.
+    """
+    rows = rows.sort_by("node")
+    get = lambda name: rows.column(name).combine_chunks()
+    keys, registers = (get(c).flatten().to_numpy().reshape(rows.num_rows, -1) for c in ("keys", "registers"))
+    lists = [np.frombuffer(e.as_buffer(), np.uint64) for e in get("elements")]
+    heavy = [np.frombuffer(w.as_buffer(), "<u4") for w in get("weights")]
+    block, lo, hi = (get(c).to_numpy() for c in ("block", "lo", "hi"))
+    names, own = np.unique(get("component").to_numpy(), return_inverse=True)
+    root = np.arange(len(names))
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    within = lo[0] == hi[0]
+    for a in np.flatnonzero(block == lo[0]).tolist():
+        near = own != own[a]
+        near &= np.arange(len(own)) > a if within else block == hi[0]
+        near[near] = (keys[near] == keys[a]).any(axis=1)
+        if agreeing is not None:
+            near[near] = (registers[near] == registers[a]).sum(axis=1) >= agreeing
+        chosen = np.flatnonzero(near)
+        if not len(chosen):
+            continue
+        starts = np.concatenate([[0], np.cumsum([len(lists[c]) for c in chosen])])
+        others, weights = np.concatenate([lists[c] for c in chosen]), np.concatenate([heavy[c] for c in chosen])
+        bound = _bounds(lists[a], heavy[a], others, weights, starts)
+        for b in chosen[bound >= threshold - 1e-9].tolist():
+            low, high = sorted((find(own[a]), find(own[b])))
+            if low == high:
+                continue
+            if probability_jaccard(lists[a], heavy[a], lists[b], heavy[b]) >= threshold - 1e-9:
+                root[high] = low
+    return {int(names[c]): int(names[find(c)]) for c in range(len(names)) if find(c) != c}
+
+
+def linked_classes(people: DataFrame, threshold: float, agreeing: float | None) -> DataFrame:
+    """Links ``a``, ``b`` between classes whose texts are similar, at most one a class and task.
+
+    ``people`` has the ``group``, ``node``, ``component`` (class), band ``keys``,
+    ``registers``, ``elements`` and ``weights`` of texts. A group is dealt to blocks of
+    bounded size; a task compares two blocks and returns united classes, never pairs of texts.
+    """
+    size = F.octet_length("elements") + F.octet_length("weights") + 1024
+    per_group = people.groupBy("group").agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    dealt = people.join(per_group.select("group", blocks.alias("blocks")), "group").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    met = dealt.withColumn("other", F.explode(every)).withColumns(
+        {"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        found = _united(rows, threshold, agreeing)
+        return pa.table({"a": pa.array(list(found), pa.int64()), "b": pa.array(list(found.values()), pa.int64())})
+
+    columns = ["group", "node", "component", "block", "keys", "registers", "elements", "weights", "lo", "hi"]
+    return met.select(*columns).groupBy("group", "lo", "hi").applyInArrow(compare, "a bigint, b bigint")
+
+
 def _rank(count: str, name: str) -> Column:
     """Orders by count, then by a hash of the name: one number, so that aggregates need no sort."""
     return F.col(count) * F.lit(1 << 20) + F.pmod(F.xxhash64(name), F.lit(1 << 20))
@@ -216,6 +305,7 @@ def near_duplicates(
     threshold: float = 0.8,
     bands: int = 32,
     rows: int = 6,
+    filtered: bool = True,
 ) -> DataFrame:
     """Classes of documents linked by a similarity of ``threshold`` or more.
 
@@ -230,12 +320,16 @@ def near_duplicates(
     1. Equal word sequences collapse into the one with the smallest id, by an aggregate.
     2. Of the others, those that share all ``rows`` registers of one of ``bands`` bands meet
        in a bucket. At similarity 0.8 a pair misses all 32 buckets with probability 0.00006.
-    3. Each bucket compares its members with one leader only, the text with most copies.
-    4. A bucket whose members are not in one class then needs more: members outside its
-       largest class, some in each round, lead until all have led. A pair is not compared
-       if its texts are in one class, or agree in so few registers as a pair at the
-       threshold does with probability 0.000003. So no link is lost, and the pairs of a
-       group of copies are never all made.
+    3. Each bucket compares its members with one leader only, the text that meets most others
+       over all its buckets: the one that the others were made from, if it is there.
+    4. Buckets whose members are not in one class then are open. Texts that open buckets
+       connect form groups, and groups are compared block by block (:func:`linked_classes`):
+       texts of different classes that share a band. So no link is lost, and no row is ever
+       made for a pair of a group.
+
+    With ``filtered`` texts that agree in so few registers as a pair at the threshold does
+    with probability 0.000003 are not compared in step 4; without, all are. One text,
+    however long, is a row of a task; ties between leaders go by a hash of the id.
     """
     words = _words(docs, doc_id, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     table = settle(signed(words, width, bands, rows))
@@ -251,13 +345,13 @@ def near_duplicates(
         owned.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
     )
     entries = texts.select("node", "copies", F.explode("keys").alias("key"))
-    leaders = (
-        entries.groupBy("key")
-        .agg(F.count("*").alias("members"), F.max_by("node", _rank("copies", "node")).alias("leader"))
-        .where("members > 1")
-        .select("key", "leader")
-    )
-    buckets = settle(entries.select("key", "node").join(settle(leaders), "key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = settle(entries.join(settle(sizes), "key"))
+    # A text in the middle of a group falls into the group's largest buckets in most bands.
+    middle = shared.groupBy("node").agg(F.sum("members").alias("met"))
+    central = settle(shared.join(middle, "node").select("key", "node", "met"))
+    leaders = central.groupBy("key").agg(F.max_by("node", _rank("met", "node")).alias("leader"))
+    buckets = settle(central.select("key", "node").join(settle(leaders), "key"))
     tried = settle(
         buckets.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     )
@@ -269,57 +363,26 @@ def near_duplicates(
     agreeing = bands * rows * threshold - 4.5 * (bands * rows * threshold * (1 - threshold)) ** 0.5
     links = verified(tried, profile, threshold)
     found = components(links.unionByName(same))
-    members = buckets.select("key", "node", (F.col("node") == F.col("leader")).alias("led"))
-    leading = LEADERS
-    while True:
-        classed = settle(
-            members.join(found, "node", "left").select(
-                "key", "node", "led", F.coalesce("component", "node").alias("component")
-            )
-        )
-        by_class = classed.groupBy("key", "component").agg(F.count("*").alias("n"))
-        mixed = (
-            by_class.groupBy("key")
-            .agg(
-                F.count("*").alias("classes"),
-                F.sum("n").alias("members"),
-                F.max_by("component", _rank("n", "component")).alias("big"),
-            )
-            .where("classes > 1")
-            .select("key", "members", "big")
+    classed = settle(
+        buckets.join(found, "node", "left").select(
+            "key", "node", "leader", F.coalesce("component", "node").alias("component")
         )
-        open_ = settle(classed.join(settle(mixed), "key").join(profile.select("node", "registers"), "node"))
-        chance = F.pmod(F.xxhash64("node", F.lit(leading)), F.lit(1 << 20)) * F.col("members")
-        waiting = (F.col("component") != F.col("big")) & ~F.col("led")
-        if open_.where(waiting).isEmpty():
-            break
-        ahead = open_.withColumn("leads", waiting & (chance < F.lit(leading << 20)))
-        front = settle(
-            ahead.where("leads").select(
-                "key", F.col("node").alias("a"), F.col("component").alias("ac"), F.col("registers").alias("ar")
-            )
-        )
-        agree = F.aggregate(
-            F.zip_with("ar", "br", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, one: total + one
-        )
-        others = open_.select(
-            "key", F.col("node").alias("b"), F.col("component").alias("bc"), F.col("registers").alias("br")
-        ).alias("o")
-        meet = (F.col("o.key") == F.col("f.key")) & (F.col("ac") != F.col("bc")) & (agree >= F.lit(agreeing))
-        pairs = (
-            others.join(front.alias("f"), meet)
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    )
+    several = classed.groupBy("key").agg((F.min("component") < F.max("component")).alias("open"))
+    around = settle(classed.join(settle(several.where("open").select("key")), "key"))
+    if not around.isEmpty():
+        stars = around.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        groups = components(stars).withColumnRenamed("component", "group")
+        people = (
+            around.select("node", "component")
             .distinct()
+            .join(groups, "node")
+            .join(profile, "node")
+            .join(texts.select("node", "keys"), "node")
         )
-        done = tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        fresh = settle(pairs.join(done, ["a", "b"], "left_anti"))
-        links = verified(fresh, profile, threshold)
-        if not links.isEmpty():
-            stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = components(stars.unionByName(links))
-        tried = settle(tried.unionByName(fresh))
-        members = ahead.select("key", "node", (F.col("led") | F.col("leads")).alias("led"))
-        leading *= 4
+        more = settle(linked_classes(settle(people), threshold, agreeing if filtered else None))
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(known.unionByName(more))
     # An id that is nobody's smallest has its class by its texts.
     classes = settle(
         texts.join(found, "node", "left").select("c1", "c2", F.coalesce("component", "node").alias("component"))

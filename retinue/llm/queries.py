@@ -147,7 +147,7 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
-    return found.join(manifest, "file").select(
+    return found.join(tokenfiles.file_starts(spark, place), "file").select(
         "doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"
     )
 

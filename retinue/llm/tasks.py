@@ -12,12 +12,20 @@ import pyarrow.compute as pc
 import zstandard
 
 
-def worker_memory() -> dict:
+def worker_memory(owner: str) -> dict:
     """A dictionary that lives as long as the Python worker process, which Spark reuses for many tasks.
 
-    Only for what can be made again, such as a loaded vocabulary.
+    Only for what can be made again, such as a loaded vocabulary. It belongs to one operator
+    at a time: another ``owner`` finds it empty, so that the stages of a pipeline do not add
+    up in a worker.
     """
-    return sys.modules.setdefault("_retinue_worker", ModuleType("_retinue_worker")).__dict__
+    memory = sys.modules.setdefault("_retinue_worker", ModuleType("_retinue_worker")).__dict__
+    if memory.get("owner") != owner:
+        for name in [n for n in memory if not (isinstance(n, str) and n.startswith("__"))]:
+            del memory[name]
+        memory["owner"] = owner
+        release()
+    return memory
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -30,6 +31,10 @@ _SIMPLE = "[^\x00-įĲ-ňŊ-ž]"
 _LETTER_STOP = "([a-zß-öø-ɏ])([.,!?;:])"
 
 
+# Hadoop's names of a scheme that Arrow knows by another.
+_ARROW_SCHEMES = re.compile("^s3[an]://")
+
+
 def dump(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """One file: header, document ids, ends of documents, token ids.
 
@@ -79,17 +84,20 @@ class TokenFile:
 
 
 def _tokenizer(path: str):
-    memory = worker_memory()
+    memory = worker_memory("tokenfiles")
     if ("tokenizer", path) not in memory:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        memory["tokenizer", path] = tokenizer
+        memory["tokenizer", path] = Tokenizer.from_file(path)
     return memory["tokenizer", path]
 
 
+def _special(tokenizer) -> str:
+    """Matches texts that may hold the string of a special token, which the tokenizer takes as that token."""
+    return "|".join(re.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()) or "^$^"
+
+
 class _Words:
     """Ids of words this worker has met, side by side in one array."""
 
@@ -117,28 +125,47 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     The tokenizer drops white space and never joins what stands on both sides of it, so
     each distinct word is encoded once. A stop behind a letter starts a new piece for the
     tokenizer too and is set apart, and simple letters are put in lower case, as the
-    tokenizer does: fewer words are distinct then.
+    tokenizer does: fewer pieces are distinct then. A text with the string of a special
+    token is encoded whole.
     """
     tokenizer = _tokenizer(path)
-    memory = worker_memory()
+    memory = worker_memory("tokenfiles")
     words: _Words = memory.get(("words", path)) or _Words()
     if len(words.places) > REMEMBERED:
         words = _Words()
     memory["words", path] = words
     texts = texts.cast(pa.large_string())
-    plain = pc.invert(pc.match_substring_regex(texts, _SIMPLE))
-    apart = pc.replace_substring_regex(pc.utf8_lower(texts), _LETTER_STOP, r"\1 \2")
-    lists = pc.ascii_split_whitespace(pc.if_else(plain, apart, texts))
-    encoded = pc.list_flatten(lists).dictionary_encode()
+    special = pc.match_substring_regex(texts, _special(tokenizer), ignore_case=True)
+    whole = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+    lists = pc.ascii_split_whitespace(pc.if_else(special, pa.scalar("", pa.large_string()), texts))
+    counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    spoken = pc.list_flatten(lists).dictionary_encode()
+    # From here on distinct words only.
+    own = spoken.dictionary
+    plain = pc.invert(pc.match_substring_regex(own, _SIMPLE))
+    apart = pc.replace_substring_regex(pc.utf8_lower(own), _LETTER_STOP, r"\1 \2")
+    parts = pc.split_pattern(pc.if_else(plain, apart, own), " ")
+    encoded = pc.list_flatten(parts).dictionary_encode()
     distinct = encoded.dictionary.to_pylist()
     words.add([word for word in distinct if word not in words.places], tokenizer)
     places = np.fromiter(map(words.places.__getitem__, distinct), np.int64, len(distinct))
     chosen = places[encoded.indices.to_numpy()]
-    lengths = np.diff(words.starts)[chosen]
-    ids = gathered(words.flat, words.starts[chosen], lengths)
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-    return ids, ends[bounds[1:]] - ends[bounds[:-1]]
+    sizes = np.diff(words.starts)[chosen]
+    flat = gathered(words.flat, words.starts[chosen], sizes)
+    # Ids of each distinct word, then of each word in order.
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])
+    starts, lengths = ends[bounds[:-1]], ends[bounds[1:]] - ends[bounds[:-1]]
+    order = spoken.indices.to_numpy()
+    ids = gathered(flat, starts[order], lengths[order])
+    ends = np.concatenate([[0], np.cumsum(lengths[order])])
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    if not len(whole):
+        return ids, ends[bounds[1:]] - ends[bounds[:-1]]
+    pieces_ = [ids[ends[i] : ends[j]] for i, j in zip(bounds, bounds[1:])]
+    for n in whole.tolist():
+        pieces_[n] = np.array(tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids, np.uint32)
+    return np.concatenate(pieces_), np.array([len(p) for p in pieces_], np.int64)
 
 
 def write_token_files(
@@ -173,7 +200,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        store, place = fs.FileSystem.from_uri(folder)
+        store, place = fs.FileSystem.from_uri(_ARROW_SCHEMES.sub("s3://", folder))
         names: list[int | None] = []
         sizes: list[np.ndarray] = []
         arrays: list[np.ndarray] = []
@@ -245,3 +272,19 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     )
 
     return named.mapInArrow(unfold, "file string, doc_id bigint, first bigint, ids binary")
+
+
+def file_starts(spark: SparkSession, folder: str) -> DataFrame:
+    """``file``, ``start``: how many ids stand in all files before each, from the files' headers."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [struct.unpack_from(_HEADER, c.as_buffer(), 0)[4] for c in batch.column("content")]
+            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(sizes, pa.int64())], ["file", "n_ids"])
+
+    # One row per file.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    counted = named.mapInArrow(count, "file string, n_ids bigint")
+    return settle(counted.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start")))

@@ -91,20 +91,46 @@ def test_registers_agree_as_often_as_texts_are_similar():
     assert (holder[0] == holder[1]).mean() == pytest.approx(similarity(a, b), abs=0.015)
 
 
-@pytest.mark.parametrize(("seed", "hot"), [(1, 60)])
-def test_classes_by_brute_force(spark, seed, hot):
+def test_bounds_are_never_below_and_exact_for_equal_weights():
+    rng = random.Random(11)
+    for heaviest in (1, 1, 5):
+        sets = [{rng.randrange(30): rng.randint(1, heaviest) for _ in range(rng.randint(1, 25))} for _ in range(40)]
+        arrays = [(np.array(sorted(s), np.uint64), np.array([s[k] for k in sorted(s)], "<u4")) for s in sets]
+        others = arrays[1:]
+        starts = np.concatenate([[0], np.cumsum([len(e) for e, _ in others])])
+        bound = probminhash._bounds(
+            *arrays[0], np.concatenate([e for e, _ in others]), np.concatenate([w for _, w in others]), starts
+        )
+        exact = [probminhash.probability_jaccard(*arrays[0], *other) for other in others]
+        assert (bound >= np.array(exact) - 1e-12).all()
+        if heaviest == 1:
+            assert bound == pytest.approx(exact)
+
+
+@pytest.mark.parametrize(("seed", "hot", "filtered"), [(1, 40, True), (2, 120, True), (2, 120, False)])
+def test_classes_by_brute_force(spark, seed, hot, filtered):
     rows = corpus(seed, hot)
     docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], TABLE).repartition(4)
-    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs, filtered=filtered).collect()}
     assert got == classes(rows)
 
 
-def test_later_rounds_find_the_links_the_leader_does_not(spark, monkeypatch):
-    """With one register a band, texts of many classes share buckets."""
-    monkeypatch.setattr(probminhash, "LEADERS", 1)
-    rows = corpus(7, 12)
+def test_blocks_find_the_links_the_leader_does_not(spark, monkeypatch):
+    """With one register a band, texts of many classes share buckets; groups fill many blocks."""
+    monkeypatch.setattr(probminhash, "BLOCK_TEXTS", 7)
+    rows = corpus(7, 30)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs, bands=30, rows=1).collect()}
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs, bands=60, rows=1).collect()}
+    assert got == classes(rows)
+
+
+def test_a_group_below_the_threshold_makes_a_row_a_text_and_task(spark):
+    """Texts that resemble each other, but not enough: nothing is united and no pair leaves a task."""
+    rng = random.Random(9)
+    base = " ".join(f"w{rng.randrange(400)}" for _ in range(150))
+    rows = [(i, edited(rng, base, 7)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
     assert got == classes(rows)
 
 

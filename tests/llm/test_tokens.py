@@ -51,9 +51,7 @@ def encoding():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORDS)
 
 
 def block_ids(encoding, texts):
@@ -72,6 +70,16 @@ def test_blocks_give_the_ids_of_whole_texts(encoding):
 ALPHABET = st.sampled_from(list("abAB'stl .,!\n\t\r\x0b\x1c\x85\xa0 éÉßſİı́日½²_-") + ["<|endoftext|>"])
 
 
+def test_strings_of_special_tokens_are_those_tokens(tokenizer):
+    texts = [
+        "hello <|startoftext|> world", "x<|endoftext|>y", "<|EndOfText|> <|STARTOFTEXT|>", "plain. Text", "", "a <|startof",
+    ]
+    ids, lengths = tokenfiles.tokenize(pa.array(texts, pa.string()), WORDS)
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert np.split(ids, np.cumsum(lengths)[:-1])[0].tolist() == want[0] and 49406 in want[0]
+    assert lengths.tolist() == list(map(len, want)) and ids.tolist() == [i for own in want for i in own]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), min_size=1, max_size=5))
 def test_random_texts(texts):
