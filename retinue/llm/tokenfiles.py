@@ -25,7 +25,7 @@ _MAGIC = b"TOKENEF1"
 #: Text that is tokenized at a time.
 PIECE_BYTES = 4 << 20
 #: Words whose ids a worker process remembers.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 # Characters that fold to lower case one by one and are already composed.
 _SIMPLE = "[^\x00-įĲ-ňŊ-ž]"
 _LETTER_STOP = "([a-zß-öø-ɏ])([.,!?;:])"
@@ -93,9 +93,17 @@ def _tokenizer(path: str):
     return memory["tokenizer", path]
 
 
-def _special(tokenizer) -> str:
-    """Matches texts that may hold the string of a special token, which the tokenizer takes as that token."""
-    return "|".join(re.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()) or "^$^"
+def _may_be_special(texts: pa.Array, tokenizer) -> pa.Array:
+    """Texts that may hold the string of a special token, which the tokenizer takes as that token.
+
+    Looks for what all such strings begin with, which no change of case produces.
+    """
+    contents = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    lead = re.match("[^A-Za-z]*", os.path.commonprefix(contents)).group() if contents else ""
+    if lead:
+        return pc.match_substring(texts, lead)
+    pattern = "|".join(map(re.escape, contents)) or "^$^"
+    return pc.match_substring_regex(texts, pattern, ignore_case=True)
 
 
 class _Words:
@@ -135,7 +143,7 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         words = _Words()
     memory["words", path] = words
     texts = texts.cast(pa.large_string())
-    special = pc.match_substring_regex(texts, _special(tokenizer), ignore_case=True)
+    special = _may_be_special(texts, tokenizer)
     whole = np.flatnonzero(special.to_numpy(zero_copy_only=False))
     lists = pc.ascii_split_whitespace(pc.if_else(special, pa.scalar("", pa.large_string()), texts))
     counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
