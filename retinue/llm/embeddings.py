@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from retinue.operators.staging import settle
 
 #: How far single precision may be off; pairs are verified in double precision.
 SLACK = 1e-4
+#: Pairs that are verified at a time.
+PAIRS = 1 << 16
 
 
 def _usable(vector: Column) -> Column:
@@ -46,6 +49,55 @@ def lowest(first: np.ndarray, second: np.ndarray, names: np.ndarray) -> np.ndarr
         label = after
 
 
+def joined(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Labels after linking: each is the smallest node of its class, before and after."""
+    a, b = label[first], label[second]
+    edges = np.unique(np.stack([a, b])[:, a != b], axis=1)
+    return lowest(edges[0], edges[1], np.arange(len(label)))[label]
+
+
+@dataclass
+class Shard:
+    """A graph with ids, numbers of copies and unit vectors in double precision, all in the graph's order."""
+
+    graph: Graph
+    ids: np.ndarray
+    copies: np.ndarray
+    units: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict, dims: int) -> Shard:
+        ids, copies = (np.frombuffer(row[c], "<i8") for c in ("ids", "copies"))
+        return cls(Graph.frombytes(row["graph"]), ids, copies, np.frombuffer(row["units"], "<f8").reshape(-1, dims))
+
+    def found_in(self, other: Shard, least: float, block_rows: int) -> np.ndarray:
+        """A row of bits for each vector: which of the other shard's vectors its search finds."""
+        blocks = []
+        for first in range(0, len(self.ids), block_rows):
+            asked = self.units[first : first + block_rows].astype(np.float32)
+            found = np.zeros((len(asked), len(other.ids)), bool)
+            found[other.graph.within(asked, least, other.graph.beam)] = True
+            blocks.append(np.packbits(found, axis=1))
+        return np.concatenate(blocks)
+
+
+def linked_pairs(
+    a: Shard, b: Shard, there: np.ndarray, back: np.ndarray, first: int, end: int, least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows ``first`` to ``end`` of ``a`` with rows of ``b`` found from either side, verified in double precision."""
+    end = min(end, len(a.ids))
+    found = np.unpackbits(there[first:end], axis=1, count=len(b.ids)).astype(bool)
+    start = first // 8 * 8
+    bits = np.unpackbits(back[:, first // 8 : -(-end // 8)], axis=1)[:, first - start : end - start]
+    rows, points = np.nonzero(found | bits.T.astype(bool))
+    rows += first
+    good = np.empty(len(rows), bool)
+    for i in range(0, len(rows), PAIRS):
+        part = slice(i, i + PAIRS)
+        good[part] = np.einsum("nd,nd->n", a.units[rows[part]], b.units[points[part]]) >= least
+    return rows[good], points[good]
+
+
 def graphs(nodes: DataFrame, least: float, target: float) -> DataFrame:
     """One audited graph for each ``dims`` and ``shard`` of ``nodes``."""
 
@@ -74,56 +126,45 @@ def graphs(nodes: DataFrame, least: float, target: float) -> DataFrame:
     return nodes.select("dims", "shard", "node", "copies", "vector").groupBy("dims", "shard").applyInArrow(grow, schema)
 
 
-def found_links(nodes: DataFrame, shards: DataFrame, least: float, n_shards: int, n_blocks: int) -> DataFrame:
-    """Every vector against every shard: ``node``, ``links`` found there, ``low`` (smallest node it reaches there).
+def found_links(shards: DataFrame, least: float, n_shards: int, block_rows: int) -> DataFrame:
+    """All vectors of two shards against each other: ``node``, ``links`` between them, ``low`` (smallest node reached).
 
-    Queries come in blocks, so a task holds one shard and one block. A block's links become
-    one row per vector that has any, never a row per pair.
+    A task holds two shards, or one against itself. The vectors of each are looked up in the
+    graph of the other, and a pair found from either side is one link of both. What was found
+    is a bit for each pair, so that memory is bounded by the shards however many vectors are
+    alike. A task returns a row for each vector that has a link, never a row per pair.
     """
+    schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
-    def ask(key: tuple, queries: pa.Table, shard: pa.Table) -> pa.Table:
-        schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
-        if not queries.num_rows or not shard.num_rows:
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        dims, low, high = (k.as_py() for k in key)
+        held = {r["shard"]: r for r in table.to_pylist()}
+        if low not in held or high not in held:
             return schema.empty_table()
-        dims = key[0].as_py()
-        graph = Graph.frombytes(shard.column("graph")[0].as_py())
-        ids, copies = (np.frombuffer(shard.column(c)[0].as_py(), "<i8") for c in ("ids", "copies"))
-        units = np.frombuffer(shard.column("units")[0].as_py(), "<f8").reshape(-1, dims)
-        asked = queries.column("node").to_numpy()
-        own = _units(_flat(queries), dims)
-        rows, points = graph.within(own.astype(np.float32), least - SLACK, graph.beam)
-        exact = np.concatenate(
-            [
-                np.einsum("nd,nd->n", own[rows[i : i + 65536]], units[points[i : i + 65536]])
-                for i in range(0, len(rows), 65536)
-            ]
-            or [np.empty(0)]
-        )
-        good = (exact >= least) & (asked[rows] != ids[points])
-        rows, points = rows[good], points[good]
-        links = np.bincount(rows, copies[points], len(asked)).astype(np.int64)
-        names, place = np.unique(np.concatenate([asked, ids]), return_inverse=True)
-        low = lowest(place[rows], place[len(asked) + points], names)
-        tied = np.flatnonzero(low != names)
-        out = [
-            pa.array(np.concatenate([asked[links > 0], names[tied]])),
-            pa.array(np.concatenate([links[links > 0], np.zeros(len(tied), np.int64)])),
-            pa.array(np.concatenate([asked[links > 0], low[tied]])),
-        ]
-        return pa.table(out, schema=schema)
-
-    blocks = nodes.select(
-        "dims",
-        F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("node", F.lit("block")), F.lit(n_blocks)).cast("int").alias("block"),
-        "node",
-        "vector",
-    )
-    spread = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    keys = ["dims", "shard", "block"]
-    return (
-        blocks.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(ask, "node bigint, links bigint, low bigint")
+        a, b = (Shard.of(held[n], dims) for n in (low, high))
+        there = a.found_in(b, least - SLACK, block_rows)
+        back = there if low == high else b.found_in(a, least - SLACK, block_rows)
+        ids = a.ids if low == high else np.concatenate([a.ids, b.ids])
+        names, place = np.unique(ids, return_inverse=True)
+        place_a, place_b = place[: len(a.ids)], place[len(place) - len(b.ids) :]
+        links, label = np.zeros(len(names), np.int64), np.arange(len(names))
+        for first in range(0, len(a.ids), block_rows):
+            rows, points = linked_pairs(a, b, there, back, first, first + block_rows, least)
+            if low == high:
+                apart = rows != points
+                rows, points = rows[apart], points[apart]
+            else:
+                np.add.at(links, place_b[points], a.copies[rows])
+            np.add.at(links, place_a[rows], b.copies[points])
+            label = joined(label, place_a[rows], place_b[points])
+        some = np.flatnonzero(links)
+        return pa.table([pa.array(names[some]), pa.array(links[some]), pa.array(names[label[some]])], schema=schema)
+
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
+    both = shards.withColumn("other", other).withColumns(
+        {"low_shard": F.least("shard", "other"), "high_shard": F.greatest("shard", "other")}
     )
+    return both.groupBy("dims", "low_shard", "high_shard").applyInArrow(meet, "node bigint, links bigint, low bigint")
 
 
 def near_vectors(
@@ -135,7 +176,7 @@ def near_vectors(
     target: float = 0.99,
     shard_rows: int = 20_000,
     least_shards: int = 8,
-    block_rows: int = 8_192,
+    block_rows: int = 256,
 ) -> DataFrame:
     """Link vectors with a cosine of ``least`` or more, and take connected components.
 
@@ -149,9 +190,10 @@ def near_vectors(
     ``shard_rows`` (``least_shards`` at least, for parallel work) by a hash of their id. Each
     shard's graph is audited against brute force over the shard: its beam widens until a
     share ``target`` of the links of the probes is found. Every vector is then looked up in
-    every shard, with a beam that widens while all it holds is close. Found pairs are
-    verified in double precision: a pair can be missed, none is linked wrongly. Equal
-    vectors, and links found from either side, count for both; see the README for recall.
+    every shard, with a beam that widens while all it holds is close, ``block_rows`` vectors
+    at a time. Two shards meet in one task, so that a link found from either side counts for
+    both. Found pairs are verified in double precision: a pair can be missed, none is linked
+    wrongly; see the README for recall.
     """
     rows = carried(vectors, vec_id=F.col(vec_id).cast("bigint"), given=F.col(embedding).cast("array<double>")).drop("row")
     # Adding 0 makes -0 and 0 the same.
@@ -167,10 +209,9 @@ def near_vectors(
     )
     n = nodes.count()
     n_shards = max(least_shards, -(-n // shard_rows))
-    n_blocks = max(1, -(-n // block_rows))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(n_shards)).cast("int"))
     shards = settle(graphs(dealt, least, target))
-    found = settle(found_links(dealt, shards, least, n_shards, n_blocks))
+    found = settle(found_links(shards, least, n_shards, block_rows))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
     known = settle(

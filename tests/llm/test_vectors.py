@@ -98,3 +98,32 @@ def test_recall_of_the_query(spark, folder):
     assert sum(n for n, _ in got.values()) >= 0.99 * sum(n for n, _ in want.values())
     assert all(got[i][0] <= want[i][0] for i in want)
     assert sum(got[i][1] == want[i][1] for i in want) >= 0.99 * len(want)
+
+
+def test_a_link_found_from_one_side_counts_for_both():
+    rng = np.random.default_rng(7)
+    shards = []
+    for n, first in ((90, 0), (37, 1000)):
+        x = groups(rng, n, 8, [10, 20], 0.1)
+        x[:5] = np.eye(8)[:5]
+        units = x / np.linalg.norm(x, axis=1, keepdims=True)
+        graph = hnsw.build(units.astype(np.float32), np.zeros(n, int))
+        shards.append(embeddings.Shard(graph, np.arange(first, first + n), np.ones(n, np.int64), units))
+    a, b = shards
+    there, back = a.found_in(b, 0.9, 32), b.found_in(a, 0.9, 32)
+    want = set(zip(*(w.tolist() for w in np.nonzero(a.units @ b.units.T >= 0.9)), strict=True))
+    assert len(want) >= 5
+    blind = np.zeros_like(there), np.zeros_like(back)
+    for found in ((there, back), (there, blind[1]), (blind[0], back)):
+        pairs = [embeddings.linked_pairs(a, b, *found, i, i + 13, 0.9) for i in range(0, 90, 13)]
+        got = [p for rows, points in pairs for p in zip(rows.tolist(), points.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_classes_grow_block_by_block():
+    rng = np.random.default_rng(8)
+    first, second = rng.integers(0, 200, (2, 150))
+    label = np.arange(200)
+    for i in range(0, 150, 7):
+        label = embeddings.joined(label, first[i : i + 7], second[i : i + 7])
+    assert (label == embeddings.lowest(first, second, np.arange(200))).all()
