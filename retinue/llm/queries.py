@@ -182,7 +182,7 @@ URL_RULES = (
 
 @query("op10_url_filter")
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return urls.filter_urls(read(spark, folder, "pages"), URL_RULES)
+    return urls.filter_urls(read(spark, folder, "pages"), URL_RULES, block_words=())
 
 
 @query("op2_repeated_passages")

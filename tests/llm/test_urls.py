@@ -145,5 +145,6 @@ def test_query_covers_all_pages(spark):
         rule = rule_of(r.host, r.path)
         assert r.rule == (rule.where if rule else None)
         assert rule is None or r.verdict == rule.verdict
-        if rule is None and re.search("pills|casino|spam|adult|bets|track", r.host):
-            assert r.verdict == "block"
+        assert (r.score is None) == (rule is not None)
+        if rule is None:  # what the ruled pages teach decides, no list of words
+            assert r.verdict == ("block" if r.score > 0 else "allow")
