@@ -213,7 +213,8 @@ def shared(found: DataFrame) -> DataFrame:
 
     ``second`` is null where one text alone has the run. Sorted in ranges, whatever the
     number of texts that share a run. Runs that may go on in another range, the first and
-    the last one of each, take the ids from a table with two rows a range.
+    the last one of each, take the ids from a joined table with two rows a range; nothing
+    of it passes through the driver.
     """
     order = ["hash", "check", "node", "start"]
     schema = "hash bigint, check int, node bigint, start int, lowest bigint, second bigint, n bigint"
@@ -266,31 +267,20 @@ def shared(found: DataFrame) -> DataFrame:
         .groupBy("hash", "check")
         .agg(F.sum("n").alias("n"), F.array_sort(F.array_distinct(ids)).alias("ids"))
         .where("n > 1")
-        .select("hash", "check", F.get("ids", F.lit(0)).alias("lowest"), F.get("ids", F.lit(1)).alias("second"))
+        .select("hash", "check", F.get("ids", F.lit(0)).alias("low"), F.get("ids", F.lit(1)).alias("next"))
     )
-    # At most two rows a range.
-    known = {(r.hash, r.check): (r.lowest, r.second) for r in ends.collect()}
-
-    def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            value, check, node, start = (batch.column(c).to_numpy() for c in order)
-            heads = np.flatnonzero((value[1:] != value[:-1]) | (check[1:] != check[:-1])) + 1
-            heads = np.concatenate([[0], heads])
-            ids = [known.get(key) for key in zip(value[heads].tolist(), check[heads].tolist(), strict=True)]
-            group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(value))))
-            twice = np.array([pair is not None for pair in ids])[group]
-            lowest = pa.array([pair and pair[0] for pair in ids], pa.int64())
-            second = pa.array([pair and pair[1] for pair in ids], pa.int64())
-            own = pa.array(group[twice])
-            columns = [pa.array(node[twice]), pa.array(start[twice]), lowest.take(own), second.take(own)]
-            yield pa.RecordBatch.from_arrays(columns, columns_of)
-
-    columns_of = ["node", "start", "lowest", "second"]
-    border = compared.where("hash IS NOT NULL AND start IS NOT NULL").select(order)
-    return compared.where("hash IS NULL").select(columns_of).unionByName(
-        border.mapInArrow(complete, "node bigint, start int, lowest bigint, second bigint")
+    # Rows inside a range have no hash and keep their ids: keys that match nothing spread them.
+    # Spark sends ``ends`` to all tasks while it is small, and splits a run of many rows otherwise.
+    spread = {
+        "hash": F.coalesce("hash", F.xxhash64("node", "start")),
+        "check": F.coalesce("check", F.lit(-1)),
+    }
+    return (
+        compared.where("n IS NULL")
+        .withColumns(spread)
+        .join(settle(ends), ["hash", "check"], "left")
+        .select("node", "start", F.coalesce("low", "lowest").alias("lowest"), F.coalesce("next", "second").alias("second"))
+        .where("lowest IS NOT NULL")
     )
 
 
