@@ -47,7 +47,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays, the one with the smallest id.
 
-    Of rows with the same id one stays. Rows without an id all stay.
+    Of rows with the same id one stays, the same in every run: the smallest by a hash of its
+    text, then by all it holds. Rows without an id all stay.
     """
     classes = settle(probminhash.near_duplicates(docs))
     gone = classes.where("NOT kept").select("doc_id").distinct()
@@ -56,7 +57,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if again.isEmpty():
         return left
     once = left.join(again.select("doc_id"), "doc_id", "left_anti")
-    twice = left.join(again.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    several = left.join(again.select("doc_id"), "doc_id", "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    smallest = F.min_by(whole, F.struct(F.xxhash64("text"), "text", F.to_json(whole)))
+    twice = several.groupBy("doc_id").agg(smallest.alias("_row")).select("_row.*")
     return once.unionByName(twice).select(docs.columns)
 
 
