@@ -91,3 +91,15 @@ def test_an_empty_table_passes_all_stages(spark):
     for _, stage in pipeline.STAGES:
         docs = pipeline.settle(stage(spark, docs, None))
     assert docs.count() == 0
+
+
+def test_rows_with_the_same_id_leave_the_same_one_in_any_order(spark):
+    rows = [(1, f"text {i} " + " ".join(f"w{i}_{k}" for k in range(20)), "en", "s", 1) for i in range(6)]
+    rows += [(2, None, "en", "s", None), (2, None, "de", "s", None), (None, "a", "en", "s", 1), (None, "a", "en", "s", 1)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    kept = []
+    for given in (rows, rows[::-1]):
+        docs = spark.createDataFrame(given, schema).repartition(3)
+        kept.append(sorted(run_stage(spark, "MinHash near-dedup", docs).collect(), key=str))
+    assert kept[0] == kept[1]
+    assert [r.doc_id for r in kept[0]].count(1) == 1 and [r.doc_id for r in kept[0]].count(None) == 2
