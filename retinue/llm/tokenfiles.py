@@ -6,6 +6,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,25 +107,86 @@ def _may_be_special(texts: pa.Array, tokenizer) -> pa.Array:
     return pc.match_substring_regex(texts, pattern, ignore_case=True)
 
 
+class _Letters:
+    """Words of letters that a tokenizer neither changes nor cuts: its model alone gives their ids.
+
+    Left out are the steps before the model, which take most of the time of a short word.
+    """
+
+    def __init__(self, tokenizer):
+        self.model = tokenizer.model
+        self.table: dict[int, str] = {}
+        for letter in filter(str.islower, map(chr, range(0x250))):
+            if tokenizer.normalizer.normalize_str(letter) != letter:
+                continue
+            cut = tokenizer.pre_tokenizer.pre_tokenize_str(letter)
+            if len(cut) == 1:
+                self.table[ord(letter)] = cut[0][0]
+        letters = "".join(map(chr, self.table))
+        # Without such letters, or should they not stay together, no word is taken.
+        if letters and self.ids(letters) != tokenizer.encode(letters, add_special_tokens=False).ids:
+            letters = ""
+        self.match = re.compile(f"[{re.escape(letters)}]+" if letters else "(?!)").fullmatch
+
+    def ids(self, word: str) -> list[int]:
+        # The model sees bytes as characters.
+        return [token.id for token in self.model.tokenize(word.translate(self.table))]
+
+
 class _Words:
-    """Ids of words this worker has met, side by side in one array."""
+    """Ids of words this worker has met, side by side in one array.
+
+    At half of ``most`` new words those not met since the last such time are forgotten, so
+    that frequent words stay.
+    """
 
-    def __init__(self):
+    def __init__(self, tokenizer, most: int):
+        self.tokenizer, self.letters, self.most = tokenizer, _Letters(tokenizer), most
         self.places: dict[str, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
-
-    def add(self, words: list[str], tokenizer) -> None:
-        parts, sizes = [self.flat], []
+        self.met = np.empty(0, bool)
+        self.new = 0
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The words' numbers in ``starts``."""
+        if self.new > self.most // 2:
+            self._forget()
+        unknown = [word for word in words if word not in self.places]
+        if unknown:
+            self._add(unknown)
+        found = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        self.met[found] = True
+        return found
+
+    def _forget(self) -> None:
+        stay = np.flatnonzero(self.met)
+        names = np.array(list(self.places), object)[stay].tolist()
+        sizes = np.diff(self.starts)[stay]
+        self.flat = gathered(self.flat, self.starts[stay], sizes)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.places = dict(zip(names, range(len(names)), strict=True))
+        self.met = np.zeros(len(names), bool)
+        self.new = 0
+
+    def _add(self, words: list[str]) -> None:
+        parts = [self.flat]
+        sizes: list[int] = []
         for first in range(0, len(words), 2048):
-            found = tokenizer.encode_batch_fast(words[first : first + 2048], add_special_tokens=False)
-            ids = [encoding.ids for encoding in found]
+            own = words[first : first + 2048]
+            ids = [self.letters.ids(word) if self.letters.match(word) else None for word in own]
+            others = [n for n, found in enumerate(ids) if found is None]
+            if others:
+                found = self.tokenizer.encode_batch_fast([own[n] for n in others], add_special_tokens=False)
+                for n, encoding in zip(others, found, strict=True):
+                    ids[n] = encoding.ids
             sizes += map(len, ids)
-            parts.append(np.fromiter((i for own in ids for i in own), np.uint32))
+            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32))
         self.places.update(zip(words, range(len(self.places), len(self.places) + len(words)), strict=True))
         self.flat = np.concatenate(parts)
-        ends = self.starts[-1] + np.cumsum(np.array(sizes, np.int64))
-        self.starts = np.concatenate([self.starts, ends])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.array(sizes, np.int64))])
+        self.met = np.concatenate([self.met, np.ones(len(words), bool)])
+        self.new += len(words)
 
 
 def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -138,10 +200,9 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """
     tokenizer = _tokenizer(path)
     memory = worker_memory("tokenfiles")
-    words: _Words = memory.get(("words", path)) or _Words()
-    if len(words.places) > REMEMBERED:
-        words = _Words()
-    memory["words", path] = words
+    if ("words", path) not in memory:
+        memory["words", path] = _Words(tokenizer, REMEMBERED)
+    words: _Words = memory["words", path]
     texts = texts.cast(pa.large_string())
     special = _may_be_special(texts, tokenizer)
     whole = np.flatnonzero(special.to_numpy(zero_copy_only=False))
@@ -154,10 +215,8 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     apart = pc.replace_substring_regex(pc.utf8_lower(own), _LETTER_STOP, r"\1 \2")
     parts = pc.split_pattern(pc.if_else(plain, apart, own), " ")
     encoded = pc.list_flatten(parts).dictionary_encode()
-    distinct = encoded.dictionary.to_pylist()
-    words.add([word for word in distinct if word not in words.places], tokenizer)
-    places = np.fromiter(map(words.places.__getitem__, distinct), np.int64, len(distinct))
-    chosen = places[encoded.indices.to_numpy()]
+    distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    chosen = words.find(distinct)[encoded.indices.to_numpy()]
     sizes = np.diff(words.starts)[chosen]
     flat = gathered(words.flat, words.starts[chosen], sizes)
     # Ids of each distinct word, then of each word in order.

@@ -106,6 +106,28 @@ def test_random_words(tokenizer):
     assert [p.tolist() for p in parts] == want
 
 
+def test_words_of_every_letter_and_case(tokenizer):
+    letters = [chr(c) for c in range(1, 0x400) if not 0xD800 <= c < 0xE000]
+    texts = [a + b + "x" for a in letters[:0x250] for b in ("", "é", "Ž", "'s", "1")] + ["".join(letters)]
+    ids, lengths = tokenfiles.tokenize(pa.array(texts, pa.string()), WORDS)
+    own = np.split(ids, np.cumsum(lengths)[:-1])
+    assert [o.tolist() for o in own] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_frequent_words_stay_where_rare_ones_are_forgotten(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "REMEMBERED", 40)
+    tokenfiles.worker_memory("tokenfiles").clear()
+    for n in range(12):
+        texts = ["often met", f"rare{n} " * 3, *(f"w{n}x{k}" for k in range(15))]
+        ids, lengths = tokenfiles.tokenize(pa.array(texts, pa.string()), WORDS)
+        own = np.split(ids, np.cumsum(lengths)[:-1])
+        assert [o.tolist() for o in own] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        words = tokenfiles.worker_memory("tokenfiles")["words", WORDS]
+        assert "often" in words.places and len(words.places) < 80
+    assert "rare0" not in words.places
+    tokenfiles.worker_memory("tokenfiles").clear()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 10**6) | st.integers(0, 3), max_size=700))
 def test_elias_fano(gaps):
