@@ -198,6 +198,75 @@ def test_estimates_withstand_outliers(spark):
     assert np.linalg.inv(w.T @ w) == pytest.approx(np.array([[1, 0.6], [0.6, 2]]), abs=0.35)
 
 
+def plain_estimate(x, floors, support=0.75, steps=3):
+    """Centre and covariance by the steps of ``quality.mcd``, in plain numpy."""
+    ranked = lambda values, share: np.sort(values)[max(0, math.ceil(share * len(values)) - 1)]
+    floor = np.diag(np.square(floors))
+    centre = np.array([ranked(c, 0.5) for c in x.T])
+    spread = np.array([1.4826 * ranked(abs(c - m), 0.5) for c, m in zip(x.T, centre)])
+    best = None
+    for mean, cov in ((centre, np.diag(spread**2)), (x.mean(axis=0), np.cov(x.T, bias=True))):
+        for _ in range(steps):
+            away = x - mean
+            d = np.einsum("ni,ij,nj->n", away, np.linalg.inv(cov + floor), away)
+            inside = x[d <= ranked(d, support)]
+            mean, cov = inside.mean(axis=0), np.cov(inside.T, bias=True)
+        det = np.linalg.slogdet(cov + floor)[1]
+        if best is None or det < best[0] - 1e-9:
+            best = det, mean, cov
+    dims = len(floors)
+    shrunk = quality.chi_square_cdf(quality.chi_square_quantile(support, dims), dims + 2) / support
+    return best[1], best[2] / shrunk + floor
+
+
+def test_distances_and_verdicts_by_plain_steps(spark):
+    rng = random.Random(31)
+
+    def text():
+        words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(rng.randint(55, 140))]
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            words[rng.randrange(len(words))] += "#" * rng.randint(1, 4)
+        at = rng.randrange(len(words) - 12)
+        words += words[at : at + rng.choice([0, 3, 5, 12])]
+        return " ".join(words) + "\nsame line" * rng.choice([0, 0, 1, 2, 6])
+
+    teams = [("en", "web", 250), ("en", None, 130), (None, "web", 110)]  # teams of their own
+    teams += [("de", "a", 60), ("de", None, 70), ("fr", "b", 30), ("it", "c", 20)]  # pooled, and too few for it
+    rows = [(text(), lang, source) for lang, source, n in teams for _ in range(n)]
+    odd = " ".join(f"#$#$x{i}" for i in range(90))  # passes the base rules
+    rows += [(odd + f" z{i}", lang, source) for i, (lang, source, _) in enumerate(teams)]
+    rows += [("few words", "en", "web"), (None, "en", None), ("one two three " * 40, "de", "a")]
+    rows = [(i, t, lang, source, None) for i, (t, lang, source) in enumerate(rows)]
+    got = {r.doc_id: r for r in quality.judge(table(spark, rows)).collect()}
+    assert sorted(got) == [r[0] for r in rows]
+    own, points = {}, defaultdict(list)
+    sizes = Counter((r.lang, r.source) for r in got.values() if not r.base_failed)
+    for i, r in got.items():
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        if r.base_failed:
+            continue
+        chars = max(1, r.word_chars)
+        x = [math.log(chars / r.n_words), math.sqrt(r.n_symbols / chars)]
+        x += [math.log1p(r.n_dup_lines), math.sqrt(r.n_repeat_words / r.n_words)]
+        pool = sum(n for (lang, _), n in sizes.items() if lang == r.lang and n < 100)
+        team = (r.lang, r.source) if sizes[r.lang, r.source] >= 100 else (r.lang,) if pool >= 100 else ()
+        own[i] = team, np.array(x)
+        points[team].append(x)
+    assert {len(t): len(points[t]) >= 100 for t in points} == {2: True, 1: True, 0: False}
+    models = {t: plain_estimate(np.array(x), quality.FLOORS) for t, x in points.items() if len(x) >= 100}
+    cut = quality.chi_square_quantile(1 - 1e-7, 4)
+    for i, r in got.items():
+        team, x = own.get(i, (None, None))
+        if team not in models:
+            assert r.distance is None and r.kept == (not r.base_failed)
+            continue
+        mean, cov = models[team]
+        want = (x - mean) @ np.linalg.solve(cov, x - mean)
+        assert r.distance == pytest.approx(want, rel=1e-6)
+        assert r.kept == (want <= cut)
+    assert {r.kept for i, r in got.items() if own.get(i, (None,))[0] in models} == {True, False}
+
+
 def test_chi_square():
     assert quality.chi_square_quantile(0.95, 4) == pytest.approx(9.48773, abs=1e-4)
     assert quality.chi_square_quantile(0.975, 2) == pytest.approx(7.37776, abs=1e-4)
