@@ -255,7 +255,8 @@ def encode(docs: DataFrame, *, path: str, pattern: str, doc_id: str = "doc_id",
 
     ``path`` is a file of token ranks that all executors can read, ``pattern`` cuts a text
     into pre-tokens. Null text is empty and has no ids; rows may repeat; an empty table
-    gives an empty result.
+    gives an empty result. One text, however long, is a row of a task and is never cut
+    between blocks.
 
     Documents are cut in blocks (``BLOCK_BYTES`` of text). A block sends each of its
     distinct pre-tokens once, dealt by token, where equal ones of all blocks meet and are

@@ -33,8 +33,9 @@ def drop_repeated_lines(
     ``n_lines`` (before), ``n_dropped``, ``kept`` (text of the remaining lines) and ``row``
     (the input row). Null or empty text is one empty line. Rows with the same id are one
     document to the rule and each is reassembled by itself. Rows without an id form one
-    document too, which keeps a key only if no other document holds it. An empty table
-    gives an empty result.
+    document too, which keeps a key only if no other document holds it. One text, however
+    long, is a row of a task; its lines spread over tasks once they are exploded. An empty
+    table gives an empty result.
 
     Lines are exploded once into (document, position, 128-bit hash of the key), in a
     written table; their text is never shuffled. A hash that a third of all lines share combines on the map side, first

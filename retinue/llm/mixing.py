@@ -84,8 +84,10 @@ def repeats(
     ``size`` (words), ``source_size``, ``target``, ``copies`` and ``row`` (the input row).
 
     Null text has size 0. Documents without a source form a source. A source without words
-    has target 0, and its documents are not taken. Rows with the same id share one draw.
-    An empty table gives an empty result.
+    has target 0, and its documents are not taken. Rows with the same id share one draw;
+    no other tie decides anything. One text, however long, is a row of a task; it is copied
+    like any other and may carry its source beyond the target by its own size. An empty
+    table gives an empty result.
     """
     sized = carried(docs, doc_id=doc_id, source=source, size=word_count(F.col(text)))
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))

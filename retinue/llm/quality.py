@@ -228,7 +228,9 @@ def judge(
     Returns one row per input row: ``doc_id``, ``lang``, ``source``, the five statistics,
     ``base_failed``, ``distance`` (squared; null where no estimate applies), ``kept``. Null or
     empty text has no words and fails the base rules. A null language or source is a value
-    of its own. Rows may repeat; each counts. An empty table gives an empty result.
+    of its own. Rows may repeat; each counts. Points at the same distance are in or out of
+    the central share together, and a point exactly on the cut is kept. One text, however
+    long, is a row of a task, with its windows beside it. An empty table gives an empty result.
     """
     base_failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     measured = statistics(docs, doc_id=doc_id, text=text, lang=lang, source=source).withColumns(

@@ -339,7 +339,8 @@ def repeated_passages(
 
     Null and shorter texts have no rows. Rows without an id are left out. Rows with the
     same id are one document: their texts, in order, one after the other. An empty table
-    gives an empty result.
+    gives an empty result. One text, however long, is a row of a task, with a number for each
+    of its words.
 
     1. Of all suffixes of all texts, those stay that begin at minimisers: ``gram`` words
        whose hash is the smallest among their neighbours. Equal passages keep equal places.
