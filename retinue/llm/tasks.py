@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 from types import ModuleType
@@ -24,7 +26,7 @@ def worker_memory(owner: str) -> dict:
         for name in [n for n in memory if not (isinstance(n, str) and n.startswith("__"))]:
             del memory[name]
         memory["owner"] = owner
-        release()
+        shrink()
     return memory
 
 
@@ -44,12 +46,13 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
             if end > start:
                 yield batch.slice(start, end - start)
                 release()
+    shrink()
 
 
 def pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
     planes = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes))
 
 
 def unpack(packed: bytes) -> np.ndarray:
@@ -81,6 +84,18 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
 
 
+def shrink() -> None:
+    """As :func:`release`, for what Python and the C library keep too.
+
+    Spark hands out its idle workers in turn, so each of them keeps what one task has left.
+    """
+    gc.collect()
+    release()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def list_pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """As :func:`pieces`, for a column of lists and the number of their elements."""
     for batch in batches:

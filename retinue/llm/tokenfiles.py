@@ -25,8 +25,8 @@ _HEADER = "<8sBQqQ"
 _MAGIC = b"TOKENEF1"
 #: Text that is tokenized at a time.
 PIECE_BYTES = 4 << 20
-#: Words whose ids a worker process remembers.
-REMEMBERED = 600_000
+#: Words whose ids a worker process remembers, some 300 bytes each.
+REMEMBERED = 200_000
 # Characters that fold to lower case one by one and are already composed.
 _SIMPLE = "[^\x00-įĲ-ňŊ-ž]"
 _LETTER_STOP = "([a-zß-öø-ɏ])([.,!?;:])"

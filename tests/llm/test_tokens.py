@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -184,6 +185,17 @@ def test_byte_bpe_with_many_blocks(spark, encoding, monkeypatch):
     assert got == {i: encoding.encode_ordinary(t) for i, t in rows}
 
 
+def test_remembered_words_take_little_of_a_worker(tokenizer):
+    tracemalloc.start()
+    words = tokenfiles._Words(tokenizer, 4000)
+    for start in range(0, 40_000, 2000):
+        words.find([f"w{n}" for n in range(start, start + 2000)])
+    # Those of the last time stay until as many new ones came.
+    used = tracemalloc.get_traced_memory()[0] / 4000 * tokenfiles.REMEMBERED
+    tracemalloc.stop()
+    assert used < 100 << 20
+
+
 def test_token_files_on_odd_rows(spark, tokenizer, tmp_path, monkeypatch):
     rows, docs = table(spark)
     monkeypatch.setattr(tokenfiles, "PIECE_BYTES", 60)
