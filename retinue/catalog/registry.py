@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from retinue.catalog.model_sql import oracle
 from retinue.operators.staging import settle
 from retinue.plans.features import customer_features
+from retinue.plans.states import READ
 from retinue.settings import Params
 from retinue.sources.csv_files import POSITION
 from retinue.sources.schemas import TABLES
@@ -61,8 +62,12 @@ class Context:
         load = sum(((day > cut).cast("int") for cut in cuts), F.lit(0))
         return settle(orders.select("order_id", "customer_id", load.alias("load")))
 
-    def _loaded(self, name: str) -> DataFrame:
-        """Rows of a table with the load that brings them."""
+    @cached_property
+    def _loaded(self) -> dict[str, DataFrame]:
+        """What states read of each table, with the load that brings each row; written once, a folder per load."""
+        return {name: settle(self._with_load(name).select(*columns, "load"), "load") for name, columns in READ.items()}
+
+    def _with_load(self, name: str) -> DataFrame:
         table, loads = self.t[name], self._loads
         if name == "order_reviews":
             return table.withColumn("load", F.pmod(F.xxhash64("review_id"), F.lit(4)).cast("int"))
@@ -80,10 +85,7 @@ class Context:
         return self._loads_where(F.col("load") < load)
 
     def _loads_where(self, chosen: Column) -> Tables:
-        names = ("customers", "orders", "order_items", "order_payments", "order_reviews")
-        return with_tables(
-            self.t, **{n: self._loaded(n).where(chosen).select(self.t[n].columns) for n in names}
-        )
+        return with_tables(self.t, **{n: df.where(chosen).select(*READ[n]) for n, df in self._loaded.items()})
 
     @property
     def at_scale(self) -> Params:

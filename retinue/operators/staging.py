@@ -14,15 +14,15 @@ RANGE = "_range"
 SAMPLES = 64
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, *folders: str) -> DataFrame:
     """Compute once, into a table in the shared folder.
 
-    The result has no lineage, so a lost executor costs at most the tasks it was running.
+    Readers that ask for some values of the columns ``folders`` open no files of others. The result has no lineage, so a lost executor costs at most the tasks it was running.
     As parquet it is compact, each reader takes only its columns, and its size is known
     to the planner.
     """
     path = new_folder(df.sparkSession, "staged")
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

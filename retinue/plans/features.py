@@ -53,10 +53,11 @@ def reference_date(t: Tables) -> Column:
     return t["orders"].agg(F.max(BOUGHT_AT)).scalar()
 
 
-def kept_orders(t: Tables, p: Params = DEFAULTS) -> DataFrame:
-    orders = t["orders"].where(is_kept(p)).select("order_id", "customer_id", BOUGHT_AT)
+def kept_orders(t: Tables, p: Params = DEFAULTS, *others: str) -> DataFrame:
+    """Person, id and time of the kept orders, and ``others`` of their columns."""
+    orders = t["orders"].where(is_kept(p)).select("order_id", "customer_id", BOUGHT_AT, *others)
     accounts = t["customers"].select("customer_id", PERSON)
-    return orders.join(accounts, "customer_id").select(PERSON, "order_id", BOUGHT_AT)
+    return orders.join(accounts, "customer_id").select(PERSON, "order_id", BOUGHT_AT, *others)
 
 
 def item_totals(t: Tables, categories: Categories | None = None) -> DataFrame:
@@ -82,6 +83,7 @@ class Categories:
 
     products: DataFrame
     words: int
+    numbers: DataFrame
 
     @classmethod
     def of(cls, t: Tables) -> Categories:
@@ -93,7 +95,7 @@ class Categories:
             .distinct()
             .select("_categorie", (F.row_number().over(Window.orderBy("_categorie")) - 1).alias("_numero"))
         )
-        return cls(named.join(numbers, "_categorie").drop("_categorie"), ceil(numbers.count() / 64))
+        return cls(named.join(numbers, "_categorie").drop("_categorie"), ceil(numbers.count() / 64), numbers)
 
     @property
     def names(self) -> list[str]:
@@ -108,6 +110,19 @@ class Categories:
     def united(self) -> list[Column]:
         return [F.bit_or(name).alias(name) for name in self.names]
 
+    def with_names(self, df: DataFrame, out: str) -> DataFrame:
+        """Add the names of the categories in each row's set, in order; NULL for none."""
+        every = self.numbers.agg(F.array_sort(F.collect_list("_categorie"))).scalar()
+        words = F.array(*[F.coalesce(name, F.lit(0).cast("bigint")) for name in self.names])
+
+        def holds(_: Column, number: Column) -> Column:
+            word = F.get("_words", F.floor(number / 64).cast("int"))
+            return F.call_function("shiftright", word, number % 64).bitwiseAND(1) == 1
+
+        some = reduce(Column.__or__, [F.col(name).isNotNull() for name in self.names], F.lit(False))
+        listed = F.when(some, F.filter("_every", holds))
+        return df.withColumns({"_every": every, "_words": words}).withColumn(out, listed).drop("_every", "_words")
+
     def size(self) -> Column:
         """Categories in a set; NULL for none."""
         counts = [F.bit_count(F.coalesce(name, F.lit(0).cast("bigint"))) for name in self.names]

@@ -20,13 +20,21 @@ from retinue.functions.numeric import ratio
 from retinue.operators.ranking import with_rank
 from retinue.operators.staging import settle
 from retinue.plans import features
-from retinue.plans.features import PERSON
-from retinue.settings import DEFAULTS, UNKNOWN_CATEGORY, Params
+from retinue.plans.features import BOUGHT_AT, PERSON
+from retinue.settings import DEFAULTS, Params
 from retinue.sources.schemas import FEATURE_COLUMNS
 from retinue.sources.stored import Change, StoredTable
 from retinue.sources.tables import Tables, with_tables
 
-FACTS = ("customers", "orders", "order_items", "order_payments", "order_reviews")
+#: Columns that states are made of.
+READ = {
+    "customers": ("customer_id", PERSON),
+    "orders": ("order_id", "customer_id", "order_status", BOUGHT_AT),
+    "order_items": ("order_id", "product_id", "price", "freight_value"),
+    "order_payments": ("order_id", "payment_type", "payment_installments"),
+    "order_reviews": ("review_id", "order_id", "review_score"),
+}
+FACTS = tuple(READ)
 
 
 def _added(old: Column, new: Column) -> Column:
@@ -77,43 +85,39 @@ def states(new: Tables, p: Params = DEFAULTS, known: Tables | None = None) -> Da
     """What ``new`` rows add to the states of their customers, when the rows of ``known`` are in them already.
 
     New orders meet all their facts; new reviews and payments also meet known orders. The
-    products are those of all rows.
+    products are those of all rows. All facts of a customer meet in one aggregate.
     """
     every = _union(known, new)
-    fresh = settle(features.kept_orders(with_tables(every, orders=new["orders"]), p))
+    orders = new["orders"].withColumn("_new", F.lit(True))
+    if known is not None:
+        orders = orders.unionByName(known["orders"].withColumn("_new", F.lit(False)))
+    kept = settle(features.kept_orders(with_tables(every, orders=orders), p, "_new"))
+    fresh = kept.where("_new")
     # Pairs of facts and orders that are not both known: each fact meets its order once.
-    meetings = [(new, features.kept_orders(every, p))] + ([(known, fresh)] if known is not None else [])
+    meetings = [(new, kept)] + ([(known, fresh)] if known is not None else [])
 
-    bought = (
-        fresh.join(features.item_totals(new), "order_id", "left")
-        .groupBy(PERSON)
-        .agg(
-            *features.recency_aggregates(), *features.monetary_aggregates(), *features.border_aggregates()
-        )
-    )
-    category = F.coalesce("product_category_name", F.lit(UNKNOWN_CATEGORY)).alias("categorie")
-    categories = (
+    categories = features.Categories.of(every)
+    sold = (
         new["order_items"]
         .select("order_id", "product_id")
-        .join(every["products"].select("product_id", category), "product_id")
-        .select("order_id", "categorie")
-        .distinct()
-        .join(fresh, "order_id")
-        .groupBy(PERSON)
-        # As many as there are categories.
-        .agg(F.array_sort(F.collect_set("categorie")).alias("categories"))
+        .join(categories.products, "product_id")
+        .groupBy("order_id")
+        .agg(*categories.collected(F.col("_numero")))
     )
+    bought = fresh.join(features.item_totals(new), "order_id", "left").join(sold, "order_id", "left")
+    # A person without a name is nobody whose facts could be found again.
+    named = F.col(PERSON).isNotNull()
+    bought = bought.withColumns({name: F.when(named, F.col(name)) for name in categories.names})
     judged = reduce(
         DataFrame.unionByName,
-        [orders.join(features.review_totals(facts, p), "order_id") for facts, orders in meetings],
+        [orders.where(named).join(features.review_totals(facts, p), "order_id") for facts, orders in meetings],
     )
-    reviews = judged.groupBy(PERSON).agg(*features.satisfaction_aggregates())
     paid = reduce(
         DataFrame.unionByName,
         [
             facts["order_payments"]
             .select("order_id", "payment_type", "payment_installments")
-            .join(orders.select("order_id", PERSON), "order_id")
+            .join(orders.where(named).select("order_id", PERSON), "order_id")
             for facts, orders in meetings
         ],
     )
@@ -122,15 +126,27 @@ def states(new: Tables, p: Params = DEFAULTS, known: Tables | None = None) -> Da
         F.sum("payment_installments").alias("versements"),
         F.count("payment_installments").alias("nb_versements"),
     )
+    of_orders = [PERSON, "order_id", BOUGHT_AT, "montant_commande", "nb_lignes", *categories.names]
+    of_reviews = [PERSON, "nb_avis", "nb_mauvais_avis", "somme_scores", "nb_scores"]
+    facts = (
+        bought.select(*of_orders)
+        .unionByName(judged.select(*of_reviews), allowMissingColumns=True)
+        .unionByName(by_type, allowMissingColumns=True)
+    )
     # As many as there are payment types.
     entries = F.collect_list(F.when(F.col("payment_type").isNotNull(), F.struct("payment_type", "n")))
-    payments = by_type.groupBy(PERSON).agg(
+    people = facts.groupBy(PERSON).agg(
+        F.count(BOUGHT_AT).alias("nb_commandes"),
+        F.max(BOUGHT_AT).alias("derniere_commande"),
+        *features.monetary_aggregates(),
+        *features.border_aggregates(),
+        *features.satisfaction_aggregates(),
+        *categories.united(),
         F.map_from_entries(F.array_sort(entries)).alias("paiements"),
         F.sum("versements").alias("versements"),
         F.sum("nb_versements").alias("nb_versements"),
     )
-    joined = reduce(lambda a, b: a.join(b, PERSON, "full"), [bought, categories, reviews, payments])
-    return joined.select(PERSON, *MERGED)
+    return categories.with_names(people, "categories").select(PERSON, *MERGED)
 
 
 def start(table: StoredTable, t: Tables, p: Params = DEFAULTS, shards: int = 16) -> Change:

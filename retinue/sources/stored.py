@@ -113,6 +113,11 @@ def shard_of(key: Sequence[str], shards: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int")
 
 
+def _dealt(df: DataFrame, key: Sequence[str], shards: int) -> DataFrame:
+    """Rows in a task per shard."""
+    return df.withColumn(_SHARD, shard_of(key, shards)).repartitionById(shards, F.col(_SHARD))
+
+
 def _word_of(key: Sequence[str], words: Column) -> Column:
     """Which 64-bit word of a filter of ``words`` (a power of two) a key sets bits in."""
     return F.xxhash64(F.lit(1), *key).bitwiseAND(words - 1)
@@ -213,13 +218,16 @@ class StoredTable:
 
     # --- writing files -------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, key: Sequence[str], shards: int) -> list[tuple]:
-        """Write rows, and the filters of their keys. Returns the lines of the file list."""
+    def _write(self, df: DataFrame, key: Sequence[str], shards: int, dealt: bool = False) -> list[tuple]:
+        """Write rows, and the filters of their keys. Returns the lines of the file list.
+
+        Rows that are ``dealt`` to their shards already are not shuffled again.
+        """
         run = uuid.uuid4().hex
         place = f"{self.folder}/files/{run}"
         schema = df.schema
-        if key:
-            df = df.withColumn(_SHARD, shard_of(key, shards)).repartitionById(shards, F.col(_SHARD)).drop(_SHARD)
+        if key and not dealt:
+            df = _dealt(df, key, shards).drop(_SHARD)
         df.write.parquet(place)
         written = self.spark.read.schema(schema).parquet(place)
         file = F.concat(F.lit(f"files/{run}/"), F.col("_metadata.file_name")).alias("file")
@@ -334,22 +342,31 @@ class StoredTable:
         known, _ = self._known(v, rows)
         touched = sorted(r.file for r in known.select("file").distinct().collect())
         others = [c for c in v.schema.names if c not in v.key]
-        old = self._frame(v, touched).select(*v.key, *[F.col(c).alias(f"_old_{c}") for c in others])
-        both = old.join(rows.withColumn("_new", F.lit(True)), list(v.key), "full")
-        changed = both.select(
+        whole = F.struct(*others)
+        none = F.lit(None).cast(T.StructType([v.schema[c] for c in others]))
+        old = self._frame(v, touched).select(*v.key, whole.alias("_old"), none.alias("_new"))
+        both = old.unionByName(rows.select(*v.key, none.alias("_old"), whole.alias("_new")))
+        # A row that lacks a part of its key meets no other.
+        apart = reduce(Column.__or__, [F.col(c).isNull() for c in v.key])
+        both = both.withColumn("_alone", F.when(apart, F.monotonically_increasing_id()))
+        # One shuffle deals both sides to the shards that are written.
+        met = _dealt(both, v.key, v.shards).groupBy(_SHARD, *v.key, "_alone")
+        changed = met.agg(*[F.first(side, ignorenulls=True).alias(side) for side in ("_old", "_new")]).select(
             *v.key,
             *[
-                F.when(F.col("_new").isNull(), F.col(f"_old_{c}"))
-                .otherwise(merged[c](F.col(f"_old_{c}"), F.col(c)))
+                F.when(F.col("_new").isNull(), F.col("_old")[c])
+                .otherwise(merged[c](F.col("_old")[c], F.col("_new")[c]))
                 .cast(v.schema[c].dataType)
                 .alias(c)
                 for c in others
             ],
         )
-        return self._rewritten(v, number, changed.select(*v.schema.names), touched)
+        return self._rewritten(v, number, changed.select(*v.schema.names), touched, dealt=True)
 
-    def _rewritten(self, v: Version, number: int, rows: DataFrame, replaced: list[str]) -> Change:
-        written = self._write(rows, v.key, v.shards)
+    def _rewritten(
+        self, v: Version, number: int, rows: DataFrame, replaced: list[str], dealt: bool = False
+    ) -> Change:
+        written = self._write(rows, v.key, v.shards, dealt)
         kept = [tuple(r) for r in self._list(v).collect() if r.file not in set(replaced)]
         done = self._commit(number, v.schema, v.key, v.shards, kept + written)
         return Change(done, sum(f[2] for f in written), tuple(replaced))

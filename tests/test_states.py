@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from retinue.operators.staging import settle
 from retinue.plans import features, states
 from retinue.settings import Params
 from retinue.sources.results import remembered
@@ -86,6 +87,19 @@ def test_files_of_unchanged_customers_stay_and_their_orders_are_not_read(spark,
     assert {k for k in now if now[k] != old.get(k)} == {"c1"}
 
 
+def test_facts_of_a_customer_meet_in_one_aggregate(spark, model):
+    t = model(**many_orders(8, orders=30))
+    plan = states.states(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan
+
+
+def test_a_table_settled_by_load_is_read_load_by_load(spark):
+    rows = spark.range(40).selectExpr("id", "cast(id % 4 AS int) AS load")
+    one = settle(rows, "load").where("load = 1").select("id")
+    assert sorted(r.id for r in one.collect()) == list(range(1, 40, 4))
+    assert "PartitionFilters: [isnotnull(load" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_items_of_a_known_order_stop_the_load(spark, model, tmp_path):
     t = model(**many_orders(6, orders=20))
     table = StoredTable(spark, str(tmp_path / "states"))

@@ -159,3 +159,29 @@ def test_an_empty_table_and_one_without_versions(spark, tmp_path):
     assert table.read().count() == 0 and table.files() == []
     assert table.update(F.lit(True), v=F.lit(1)).rows == 0
     assert table.insert_ignore(placed(spark, [1, 1, 2]), "place").rows == 2
+
+
+def test_rows_without_a_key_meet_no_others_in_a_merge(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    schema = "k string, v bigint, m map<string,bigint>"
+    table.replace(spark.createDataFrame([("a", 1, {"x": 1}), (None, 2, None)], schema), key=["k"], shards=2)
+    new = spark.createDataFrame([("a", 10, None), ("b", 20, {"y": 2}), (None, 30, None)], schema)
+    first = {"v": lambda a, b: F.coalesce(a + b, a, b), "m": lambda a, b: F.coalesce(a, b)}
+    table.merge(new, first)
+    got = sorted(map(tuple, table.read().collect()), key=str)
+    assert got == sorted([("a", 11, {"x": 1}), ("b", 20, {"y": 2}), (None, 2, None), (None, 30, None)], key=str)
+
+
+def test_a_merge_deals_old_and_new_rows_once(spark, tmp_path, monkeypatch):
+    table = StoredTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v bigint"), key=["k"], shards=2)
+    plans = []
+    write = StoredTable._write
+    monkeypatch.setattr(
+        StoredTable,
+        "_write",
+        lambda self, df, *rest: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(self, df, *rest),
+    )
+    table.merge(spark.createDataFrame([("a", 5)], "k string, v bigint"), {"v": lambda a, b: F.coalesce(a + b, a, b)})
+    assert sorted(map(tuple, table.read().collect())) == [("a", 6), ("b", 2)]
+    assert plans[0].count("Exchange") == 1 and "Join" not in plans[0]
