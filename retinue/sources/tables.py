@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Callable, Iterator, Mapping
 from datetime import timedelta
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retinue.operators.staging import settle
 from retinue.sources.schemas import TABLES
 from retinue.sources.stored import StoredTable
 
@@ -107,36 +109,52 @@ def refresh(
     return change.rows
 
 
+def _bucket_sizes(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.groupBy(F.expr(f"pmod(hash({key}), {buckets})").alias("bucket")).agg(F.count("*").alias("n"))
+
+
 def heaviest_bucket_share(df: DataFrame, key: str, buckets: int) -> float:
     """Share of all rows that the fullest of ``buckets`` hash buckets would get."""
-    sizes = df.groupBy(F.expr(f"pmod(hash({key}), {buckets})").alias("bucket")).agg(
-        F.count("*").alias("n")
-    )
-    row = sizes.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
+    row = _bucket_sizes(df, key, buckets).agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
     return (row["top"] or 0) / (row["total"] or 1)
 
 
-def save_bucketed(tables: Tables, folder: str, buckets: int, prefix: str, max_share: float | None = None) -> Tables:
+def save_bucketed(
+    tables: Tables,
+    folder: str,
+    buckets: int,
+    prefix: str,
+    max_share: float | None = None,
+    bucket_rows: int = 1_000_000,
+) -> Tables:
     """Store the order-keyed tables in buckets so that joins on ``order_id`` skip the shuffle.
 
-    A table whose fullest bucket has over ``max_share`` of all rows is stored unbucketed: its
-    joins then shuffle, where adaptive execution can split the hot partition. By default that
-    is halfway between a fair share and all rows, and four fair shares at most.
+    A bucket is a task of every later join, so ``buckets`` is doubled until the largest table
+    has no more than ``bucket_rows`` rows a bucket on average. A table whose fullest bucket has
+    over ``max_share`` of all rows is stored unbucketed: its joins then shuffle, where adaptive
+    execution can split the hot partition. By default that is halfway between a fair share and
+    all rows, and four fair shares at most.
     """
-    limit = min(4.0 / buckets, (1 + 1 / buckets) / 2) if max_share is None else max_share
+    # Finer buckets, which add up to those of each number that may be chosen.
+    sizes = {n: settle(_bucket_sizes(tables[n], key, buckets << 10)) for n, key in JOIN_KEYS.items()}
+    rows = max(s.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for s in sizes.values())
+    chosen = buckets << min(10, max(0, ceil(rows / (buckets * bucket_rows)) - 1).bit_length())
+    limit = min(4.0 / chosen, (1 + 1 / chosen) / 2) if max_share is None else max_share
     stored = {}
     for name, key in JOIN_KEYS.items():
         df = tables[name]
         spark = df.sparkSession
         path = f"{folder}/{name}"
-        if heaviest_bucket_share(df, key, buckets) > limit:
+        per_bucket = sizes[name].groupBy(F.col("bucket") % chosen).agg(F.sum("n").alias("n"))
+        top, total = per_bucket.agg(F.max("n"), F.sum("n")).first()
+        if (top or 0) / (total or 1) > limit:
             df.write.mode("overwrite").parquet(path)
             stored[name] = spark.read.parquet(path)
             continue
         (
-            df.repartition(buckets, key)
+            df.repartition(chosen, key)
             .write.mode("overwrite")
-            .bucketBy(buckets, key)
+            .bucketBy(chosen, key)
             .sortBy(key)
             .option("path", path)
             .saveAsTable(f"{prefix}_{name}")

@@ -160,3 +160,14 @@ def test_a_table_with_a_hot_key_is_not_bucketed(spark, model, tmp_path, buckets)
     scan = stored["order_items"]._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" not in scan
     assert set(stored) == set(TABLES)
+
+
+def test_larger_tables_get_more_buckets(spark, model, tmp_path):
+    shop = Shop()
+    for n in range(300):
+        shop.order(f"o{n}", "a", "2020-01-01", [("p", 1, 1)])
+    t = model(**shop.rows)
+    prefix = f"m{tmp_path.name.replace('-', '_')}"
+    stored = save_bucketed(t, str(tmp_path / "b"), 2, prefix, bucket_rows=100)
+    said = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {prefix}_order_items").collect()}
+    assert said["Num Buckets"] == "4" and stored["order_items"].count() == 300
