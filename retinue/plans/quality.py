@@ -120,10 +120,13 @@ def range_report(t: Tables) -> DataFrame:
 
 # --- all rules in one pass -------------------------------------------------------------
 
-# Every row becomes a few counted facts: its own key with its faulty values, and each parent
-# it names. Facts about one key meet in one group, whichever table they come from: ``n0``
-# counts rows that have the key, ``n1`` and on rows of the tables that refer to it, ``f0``
-# and on faulty values of the rows that have it.
+# Every row becomes a few counted facts: its own key, each parent it names, and which of its
+# values are faulty, if any. Facts about one key meet in one group, whichever table they come
+# from: ``n0`` counts rows that have the key, ``n1`` and on rows of the tables that refer to it.
+# Faults of a table meet by their combination, so keys carry no counts of them. Tables are
+# numbered, as names would take most of a fact.
+
+_TABLES = list(TABLES)
 
 
 def _children(table: str) -> list[tuple[str, str]]:
@@ -144,19 +147,21 @@ _ROWS = [f"n{i}" for i in range(1 + max(len(_children(name)) for name in TABLES)
 _FAULTS = [f"f{i}" for i in range(max(len(_faults(name)) for name in TABLES))]
 
 
-def _fact(domain: str, keys: Sequence[str], counts: dict[str, str]) -> str:
-    values = [f"cast({c} AS string)" for c in keys] + ["cast(NULL AS string)"] * (2 - len(keys))
-    counters = ", ".join(f"'{c}', {counts.get(c, '0')}" for c in _ROWS + _FAULTS)
-    return f"named_struct('domaine', '{domain}', 'v1', {values[0]}, 'v2', {values[1]}, {counters})"
+def _fact(domain: int, values: Sequence[str], counter: str) -> str:
+    keys = [f"cast({v} AS string)" for v in values] + ["cast(NULL AS string)"] * (2 - len(values))
+    counters = ", ".join(f"'{c}', {int(c == counter)}" for c in _ROWS)
+    return f"named_struct('domaine', {domain}, 'v1', {keys[0]}, 'v2', {keys[1]}, {counters})"
 
 
 def _facts(t: Tables, table: str) -> DataFrame:
-    spec = TABLES[table]
-    faults = {f: f"if({bad}, 1, 0)" for f, bad in zip(_FAULTS, _faults(table).values())}
-    facts = [_fact(table, spec.key, {"n0": "1", **faults})]
+    """Faulty values are bits of ``v1``, in a domain of their own: the table's, negative."""
+    spec, number = TABLES[table], _TABLES.index(table) + 1
+    facts = [_fact(number, spec.key, "n0")]
     for column, (parent, _) in spec.references.items():
-        facts.append(_fact(parent, [column], {f"n{1 + _children(parent).index((table, column))}": "1"}))
-    return t[table].selectExpr(f"inline(array({', '.join(facts)}))")
+        facts.append(_fact(_TABLES.index(parent) + 1, [column], f"n{1 + _children(parent).index((table, column))}"))
+    faults = " + ".join(f"if({bad}, {1 << i}, 0)" for i, bad in enumerate(_faults(table).values()))
+    facts.append(_fact(-number, [f"({faults or 0})"], "n0"))
+    return t[table].selectExpr(f"inline(array({', '.join(facts)}))").where("domaine > 0 OR v1 != '0'")
 
 
 def _rules() -> list[tuple[str, str, str, str, str]]:
@@ -177,13 +182,17 @@ def constraints(t: Tables) -> DataFrame:
     the only shuffle of keys; no table is joined with another, and hot keys are one row a task.
     """
     facts = reduce(DataFrame.unionByName, [_facts(t, name) for name in TABLES])
-    per_key = facts.groupBy("domaine", "v1", "v2").agg(*[F.sum(c).alias(c) for c in _ROWS + _FAULTS])
-    composite = ", ".join(f"'{name}'" for name, spec in TABLES.items() if len(spec.key) > 1)
+    per_key = facts.groupBy("domaine", "v1", "v2").agg(*[F.sum(c).alias(c) for c in _ROWS])
+    composite = ", ".join(str(n + 1) for n, name in enumerate(_TABLES) if len(TABLES[name].key) > 1)
     missing = f"(v1 IS NULL OR (domaine IN ({composite}) AND v2 IS NULL))"
-    per_domain = per_key.groupBy("domaine").agg(
-        F.expr(f"count_if(n0 > 1 OR (n0 = 1 AND {missing}))").alias("cles"),
-        *[F.expr(f"sum(if(n0 = 0 AND v1 IS NOT NULL, {c}, 0))").alias(c) for c in _ROWS[1:]],
-        *[F.sum(c).alias(c) for c in _FAULTS],
+    names = F.array(*[F.lit(name) for name in _TABLES])
+    per_domain = per_key.groupBy(F.get(names, F.abs("domaine") - 1).alias("domaine")).agg(
+        F.expr(f"count_if(domaine > 0 AND (n0 > 1 OR (n0 = 1 AND {missing})))").alias("cles"),
+        *[F.expr(f"sum(if(domaine > 0 AND n0 = 0 AND v1 IS NOT NULL, {c}, 0))").alias(c) for c in _ROWS[1:]],
+        *[
+            F.expr(f"sum(if(domaine < 0 AND (cast(if(domaine < 0, v1, '0') AS int) & {1 << i}) != 0, n0, 0))").alias(c)
+            for i, c in enumerate(_FAULTS)
+        ],
     )
     counted = per_domain.unpivot(["domaine"], per_domain.columns[1:], "mesure", "nb_violations")
     names = ("controle", "table_name", "colonnes", "domaine", "mesure")

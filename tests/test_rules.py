@@ -145,3 +145,17 @@ def test_hot_review_id_does_not_lose_rows(spark):
     )
     got = cleaning.dedup_reviews(raw)
     assert got.count() == 2001 and got.where("review_id = 'hot'").first()["order_id"] == "0"
+
+
+def test_facts_about_keys_carry_no_counts_of_faults(faulty):
+    facts = quality._facts(faulty, "order_items")
+    assert facts.columns == ["domaine", "v1", "v2", *quality._ROWS]
+    # Own key and three parents of each of three lines, and one row with a missing price.
+    assert facts.count() == 3 * 4 + 1
+    assert facts.where("domaine < 0").count() == 1
+
+
+def test_several_faults_of_a_row_all_count(model):
+    t = model(order_items=[{"order_id": None, "price": None}, {"order_id": "o", "order_item_id": 1, "price": 1}])
+    got = {(r.controle, r.colonnes): r.nb_violations for r in quality.constraints(t).where("table_name = 'order_items'").collect()}
+    assert (got["non_null", "order_id"], got["non_null", "price"], got["non_null", "product_id"]) == (1, 1, 2)
