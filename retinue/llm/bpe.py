@@ -146,17 +146,18 @@ def _block_key(tokens: pa.Array) -> int:
     return digest.intdigest() - (1 << 63)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, positions: bool):
-    for piece in pieces(batches, "body", BLOCK_BYTES):
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, positions: bool, block_bytes: int):
+    worker_memory("bpe")  # what another operator has left goes before blocks are held
+    for piece in pieces(batches, "body", block_bytes):
         tokens, codes, totals = cut_block(piece.column("body"), pattern, positions)
         yield piece, _block_key(tokens), tokens, codes, totals
 
 
-def token_table(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def token_table(docs: DataFrame, path: str, pattern: str, block_bytes: int) -> DataFrame:
     """``block``, ``code``, ``token``: the distinct pre-tokens of each block of documents."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block, tokens, _, _ in _blocks(batches, pattern, positions=False):
+        for _, block, tokens, _, _ in _blocks(batches, pattern, False, block_bytes):
             for start in range(0, len(tokens), 50_000):
                 some = tokens.slice(start, 50_000)
                 yield pa.RecordBatch.from_arrays(
@@ -171,12 +172,12 @@ def token_table(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.mapInArrow(cut, "block bigint, code int, token string")
 
 
-def sequences(docs: DataFrame, pattern: str) -> DataFrame:
+def sequences(docs: DataFrame, pattern: str, block_bytes: int) -> DataFrame:
     """One row per block: its documents' ids and their pre-tokens as places in the block's list."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, block, _, codes, totals in _blocks(batches, pattern, positions=True):
+        for piece, block, _, codes, totals in _blocks(batches, pattern, True, block_bytes):
             ids = piece.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -250,7 +251,15 @@ def encode_tokens(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return dealt.mapInArrow(encode, "block bigint, codes binary, counts binary, ids binary")
 
 
-def encode(docs: DataFrame, *, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame,
+    *,
+    path: str,
+    pattern: str,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block_bytes: int | None = None,
+) -> DataFrame:
     """Ids of every text: ``doc_id`` and ``ids``, one row per input row.
 
     ``path`` is a file of token ranks that all executors can read, ``pattern`` cuts a text
@@ -258,7 +267,8 @@ def encode(docs: DataFrame, *, path: str, pattern: str, doc_id: str = "doc_id",
     gives an empty result. One text, however long, is a row of a task and is never cut
     between blocks.
 
-    Documents are cut in blocks (``BLOCK_BYTES`` of text). A block sends each of its
+    Documents are cut in blocks (``block_bytes`` of text, by default ``BLOCK_BYTES``): larger ones shuffle less, smaller
+    ones take less of a worker's memory, about 20 bytes for one of text. A block sends each of its
     distinct pre-tokens once, dealt by token, where equal ones of all blocks meet and are
     encoded together. The ids come back by block and meet the block's sequence of
     positions, which holds about two bytes per pre-token in place of an exploded row.
@@ -267,11 +277,13 @@ def encode(docs: DataFrame, *, path: str, pattern: str, doc_id: str = "doc_id",
     A block's key is a hash of its pre-tokens: if the second reading differs, the block
     finds no ids and the task fails, rather than give wrong ids.
     """
+    block_bytes = BLOCK_BYTES if block_bytes is None else block_bytes
     rows = carried(docs, doc_id=doc_id, body=F.coalesce(F.col(text), F.lit(""))).select("doc_id", "body")
-    encoded = encode_tokens(token_table(rows, path, pattern), path, pattern)
+    encoded = encode_tokens(token_table(rows, path, pattern, block_bytes), path, pattern)
     id_field = pa.field("doc_id", _arrow_type(rows))
 
     def assemble(sequence: pa.Table, tokens: pa.Table) -> pa.Table:
+        worker_memory("bpe")
         schema = pa.schema([id_field, ("ids", pa.list_(pa.int32()))])
         if not sequence.num_rows:
             return schema.empty_table()
@@ -310,7 +322,7 @@ def encode(docs: DataFrame, *, path: str, pattern: str, doc_id: str = "doc_id",
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return (
-        sequences(rows, pattern)
+        sequences(rows, pattern, block_bytes)
         .groupBy("block")
         .cogroup(encoded.groupBy("block"))
         .applyInArrow(assemble, f"doc_id {id_type}, ids array<int>")

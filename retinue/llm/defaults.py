@@ -18,10 +18,10 @@ def language_model(docs: DataFrame) -> language.LanguageModel | None:
     return language.fit(docs.where(~held_out()), path=public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
+def bpe_digests(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:
     """``doc_id``, ``n_tokens`` and digests of the ids and of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN)
+    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, block_bytes=block_bytes)
     return bpe.decode(encoded, path=path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from retinue.llm.components import components
 from retinue.llm.frames import carried, words_of
-from retinue.llm.tasks import list_pieces
+from retinue.llm.tasks import list_pieces, worker_memory
 from retinue.operators.staging import settle
 
 #: Words whose shingles are handled at a time.
@@ -139,6 +139,7 @@ def signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """``doc_id``, ``c1``, ``c2`` and the band ``keys`` (none for texts without words)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("probminhash")
         for piece in list_pieces(batches, "words", PIECE_WORDS):
             words, sizes = _sized(piece)
             text, value, count = shingles(words, sizes, width)
@@ -157,6 +158,7 @@ def profiles(docs: DataFrame, width: int, registers: int) -> DataFrame:
     """``node``, its weighted shingles as binary arrays of hashes and counts, and 8 bits of each register."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("probminhash")
         for piece in list_pieces(batches, "words", PIECE_WORDS):
             words, sizes = _sized(piece)
             text, value, count = shingles(words, sizes, width)

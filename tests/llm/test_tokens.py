@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from retinue.llm import bpe, tokenfiles
 from retinue.llm.eliasfano import EliasFano
+from retinue.llm.tasks import worker_memory
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -185,6 +186,14 @@ def test_byte_bpe_with_many_blocks(spark, encoding, monkeypatch):
     assert got == {i: encoding.encode_ordinary(t) for i, t in rows}
 
 
+def test_blocks_are_cut_without_what_another_operator_left():
+    worker_memory("language")["model"] = "large"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "body": ["some words"]})
+    ((_, _, tokens, codes, totals),) = bpe._blocks(iter([batch]), public_tokenizers.PATTERN, True, 1000)
+    assert (tokens.to_pylist(), codes.tolist(), totals.tolist()) == (["some", " words"], [0, 1], [2])
+    assert "model" not in worker_memory("bpe")
+
+
 def test_remembered_words_take_little_of_a_worker(tokenizer):
     tracemalloc.start()
     words = tokenfiles._Words(tokenizer, 4000)
