@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from retinue.llm.eliasfano import EliasFano
 from retinue.llm.frames import carried
-from retinue.llm.tasks import gathered, pieces, worker_memory
+from retinue.llm.tasks import gathered, pieces, shrink, worker_memory
 from retinue.operators.staging import settle
 
 _HEADER = "<8sBQqQ"
@@ -36,6 +36,11 @@ _LETTER_STOP = "([a-zß-öø-ɏ])([.,!?;:])"
 _ARROW_SCHEMES = re.compile("^s3[an]://")
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a folder, and the folder's path there."""
+    return fs.FileSystem.from_uri(_ARROW_SCHEMES.sub("s3://", folder))
+
+
 def dump(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """One file: header, document ids, ends of documents, token ids.
 
@@ -267,7 +272,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        store, place = fs.FileSystem.from_uri(_ARROW_SCHEMES.sub("s3://", folder))
+        store, place = _store(folder)
         names: list[int | None] = []
         sizes: list[np.ndarray] = []
         arrays: list[np.ndarray] = []
@@ -305,53 +310,62 @@ def write_token_files(
     return settle(files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))))
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the token files. Without their content no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"))
+
+
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """The documents of token files: ``file``, ``doc_id``, ``first`` (ids before it in its file) and ``ids``.
 
-    ``ids`` is binary, unsigned 32-bit little endian. Each file is one row of Spark's
-    binary reader; documents leave it a thousand at a time.
+    ``ids`` is binary, unsigned 32-bit little endian. Spark's binary reader lists the files and
+    deals them to tasks by size; a task opens one file at a time itself, as whole files in
+    the executor's rows take several times their size there. Documents leave it a thousand at a time.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                name = batch.column("file")[n].as_py()
-                tokens = TokenFile(batch.column("content")[n].as_buffer())
-                ends = np.concatenate([[0], tokens.ends.all()])
-                names = tokens.doc_ids()
-                for at in range(0, len(tokens), 1000):
-                    bounds = ends[at : at + 1001]
-                    part = tokens.ids[bounds[0] : bounds[-1]].astype("<u4")
-                    offsets = ((bounds - bounds[0]) * 4).astype("<i4")
-                    content = pa.Array.from_buffers(
-                        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(part)]
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([name] * (len(bounds) - 1), pa.string()),
-                            names.slice(at, len(bounds) - 1),
-                            pa.array(bounds[:-1], pa.int64()),
-                            content,
-                        ],
-                        ["file", "doc_id", "first", "ids"],
-                    )
-
-    return named.mapInArrow(unfold, "file string, doc_id bigint, first bigint, ids binary")
+        store, place = _store(folder)
+        for name in (n for batch in batches for n in batch.column("file").to_pylist()):
+            with store.open_input_file(f"{place}/{name}") as file:
+                tokens = TokenFile(file.read_buffer())
+            ends = np.concatenate([[0], tokens.ends.all()])
+            names = tokens.doc_ids()
+            for at in range(0, len(tokens), 1000):
+                bounds = ends[at : at + 1001]
+                part = tokens.ids[bounds[0] : bounds[-1]].astype("<u4")
+                offsets = ((bounds - bounds[0]) * 4).astype("<i4")
+                content = pa.Array.from_buffers(
+                    pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(part)]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name] * (len(bounds) - 1), pa.string()),
+                        names.slice(at, len(bounds) - 1),
+                        pa.array(bounds[:-1], pa.int64()),
+                        content,
+                    ],
+                    ["file", "doc_id", "first", "ids"],
+                )
+            del tokens, names, ends
+        shrink()
+
+    return _files(spark, folder).mapInArrow(unfold, "file string, doc_id bigint, first bigint, ids binary")
 
 
 def file_starts(spark: SparkSession, folder: str) -> DataFrame:
     """``file``, ``start``: how many ids stand in all files before each, from the files' headers."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = _store(folder)
         for batch in batches:
-            sizes = [struct.unpack_from(_HEADER, c.as_buffer(), 0)[4] for c in batch.column("content")]
+            sizes = []
+            for name in batch.column("file").to_pylist():
+                with store.open_input_file(f"{place}/{name}") as file:
+                    sizes.append(struct.unpack(_HEADER, file.read(struct.calcsize(_HEADER)))[4])
             yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(sizes, pa.int64())], ["file", "n_ids"])
 
     # One row per file.
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    counted = named.mapInArrow(count, "file string, n_ids bigint")
+    counted = _files(spark, folder).mapInArrow(count, "file string, n_ids bigint")
     return settle(counted.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start")))

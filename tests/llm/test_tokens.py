@@ -228,6 +228,19 @@ def test_token_files_on_odd_rows(spark, tokenizer, tmp_path, monkeypatch):
     assert {i: sorted(v[1] for v in part) for i, part in got.items()} == {i: sorted(v) for i, v in want.items()}
 
 
+def test_rows_of_the_executor_hold_no_whole_token_files(spark, tokenizer, tmp_path):
+    docs = spark.createDataFrame([(n, f"text {n}") for n in range(5)], "doc_id long, text string")
+    place = f"file://{tmp_path}/out"
+    manifest = tokenfiles.write_token_files(docs, place, path=WORDS)
+    read = tokenfiles.read_token_files(spark, place)
+    assert "content" not in read._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in read.collect()} == {
+        n: [*tokenizer.encode(f"text {n}", add_special_tokens=False).ids, 1] for n in range(5)
+    }
+    starts = {r.file: r.start for r in tokenfiles.file_starts(spark, place).collect()}
+    assert starts == {r.file: r.start for r in manifest.collect()}
+
+
 def test_no_documents_give_no_files(spark, tmp_path):
     docs = spark.createDataFrame([], TABLE)
     assert tokenfiles.write_token_files(docs, str(tmp_path / "none"), path=WORDS).count() == 0
