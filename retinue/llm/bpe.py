@@ -52,6 +52,31 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return memory[key]
 
 
+def _token_bytes(path: str) -> pa.Array:
+    """Bytes of each id."""
+    memory = worker_memory("bpe")
+    key = ("token bytes", path)
+    if key not in memory:
+        ranks = load_ranks(path)
+        table = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            table[rank] = token
+        memory[key] = pa.array(table, pa.large_binary())
+    return memory[key]
+
+
+def _contents(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    """Bytes that each list of ids decodes to."""
+    flat = table.take(pc.list_flatten(lists))
+    ends = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, flat.offset * 8)
+    bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+    data = flat.buffers()[2] or pa.py_buffer(b"")
+    content = pa.Array.from_buffers(
+        pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds].copy()), data]
+    )
+    return content.cast(pa.binary())
+
+
 def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Cut texts before single spaces.
 
@@ -259,9 +284,13 @@ def encode(
     doc_id: str = "doc_id",
     text: str = "text",
     block_bytes: int | None = None,
+    decoded: bool = False,
 ) -> DataFrame:
     """Ids of every text: ``doc_id`` and ``ids``, one row per input row.
 
+    With ``decoded`` also ``content``, the bytes of :func:`decode`, looked up by the task that puts the
+    ids together: a second step would hold two Python workers for each running task.
+
     ``path`` is a file of token ranks that all executors can read, ``pattern`` cuts a text
     into pre-tokens. Null text is empty and has no ids; rows may repeat; an empty table
     gives an empty result. One text, however long, is a row of a task and is never cut
@@ -284,7 +313,8 @@ def encode(
 
     def assemble(sequence: pa.Table, tokens: pa.Table) -> pa.Table:
         worker_memory("bpe")
-        schema = pa.schema([id_field, ("ids", pa.list_(pa.int32()))])
+        fields = [id_field, ("ids", pa.list_(pa.int32())), ("content", pa.binary())]
+        schema = pa.schema(fields if decoded else fields[:2])
         if not sequence.num_rows:
             return schema.empty_table()
         code = [unpack(part) for part in tokens.column("codes").to_pylist()]
@@ -317,7 +347,8 @@ def encode(
                 offsets = ends[bounds[first : last + 1] - bounds[first]].astype(np.int32)
                 values = pa.array(every[spans(starts[part], sizes)], pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                out.append(pa.RecordBatch.from_arrays([ids.slice(first, last - first), lists], schema=schema))
+                contents = [_contents(lists, _token_bytes(path))] if decoded else []
+                out.append(pa.RecordBatch.from_arrays([ids.slice(first, last - first), lists, *contents], schema=schema))
         return pa.Table.from_batches(out, schema=schema)
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -325,7 +356,7 @@ def encode(
         sequences(rows, pattern, block_bytes)
         .groupBy("block")
         .cogroup(encoded.groupBy("block"))
-        .applyInArrow(assemble, f"doc_id {id_type}, ids array<int>")
+        .applyInArrow(assemble, f"doc_id {id_type}, ids array<int>" + ", content binary" * decoded)
     )
 
 
@@ -344,26 +375,10 @@ def decode(encoded: DataFrame, *, path: str) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("content", T.BinaryType())])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = worker_memory("bpe")
-        key = ("token bytes", path)
-        if key not in memory:
-            ranks = load_ranks(path)
-            table = [b""] * (max(ranks.values()) + 1)
-            for token, rank in ranks.items():
-                table[rank] = token
-            memory[key] = pa.array(table, pa.large_binary())
+        table = _token_bytes(path)
         for batch in batches:
             for piece in list_pieces(iter([batch]), "ids", 4 << 20):
-                lists = piece.column("ids")
-                flat = memory[key].take(pc.list_flatten(lists))
-                ends = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1, flat.offset * 8)
-                bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
-                data = flat.buffers()[2] or pa.py_buffer(b"")
-                content = pa.Array.from_buffers(
-                    pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds].copy()), data]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, content.cast(pa.binary())], [*piece.schema.names, "content"]
-                )
+                content = _contents(piece.column("ids"), table)
+                yield pa.RecordBatch.from_arrays([*piece.columns, content], [*piece.schema.names, "content"])
 
     return encoded.mapInArrow(look_up, schema)

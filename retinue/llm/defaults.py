@@ -21,8 +21,8 @@ def language_model(docs: DataFrame) -> language.LanguageModel | None:
 def bpe_digests(docs: DataFrame, block_bytes: int | None = None) -> DataFrame:
     """``doc_id``, ``n_tokens`` and digests of the ids and of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, block_bytes=block_bytes)
-    return bpe.decode(encoded, path=path).select(
+    encoded = bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, block_bytes=block_bytes, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

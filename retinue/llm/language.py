@@ -21,6 +21,8 @@ PIECE_BYTES = 16 << 20
 LONGEST = 32
 #: Words that are segmented together.
 WORDS = 4096
+#: Words of texts whose logarithms are held together.
+SUMMED = 1 << 17
 UNKNOWN = "und"
 # A word's beginning in the vocabulary.
 _START = "▁"
@@ -208,6 +210,19 @@ def _log_expected(found: np.ndarray, lengths: np.ndarray, counts: np.ndarray, lo
     return sums
 
 
+def _sums(logs: np.ndarray, indices: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of the rows ``logs[indices[start:end]]`` of each text, for some ``SUMMED`` words at a time."""
+    sums = np.empty((len(bounds) - 1, logs.shape[1]))
+    first = 0
+    while first < len(sums):
+        # One text at least, however long.
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SUMMED, "right")) - 1)
+        own = logs[indices[bounds[first] : bounds[last]]]
+        sums[first:last] = np.add.reduceat(own, bounds[first:last] - bounds[first], axis=0)
+        first = last
+    return sums
+
+
 def _word_lists(texts: pa.Array) -> pa.Array:
     """Runs of letters in lower case, cut every ``LONGEST`` letters, for each text."""
     letters = pc.replace_substring_regex(pc.utf8_lower(texts.cast(pa.large_string())), r"[^\pL]+", " ")
@@ -348,7 +363,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, *, text: str = "text",
             filled = np.array([bool(word) for word in distinct], np.int64)[indices]
             n_words = np.diff(np.concatenate([[0], np.cumsum(filled)])[bounds])
             # Every text gives at least one word, the empty one, so that no slice is empty.
-            sums = np.add.reduceat(logs[indices], bounds[:-1], axis=0)
+            sums = _sums(logs, indices, bounds)
             best = sums.argmax(axis=1)
             posterior = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
             none = n_words == 0

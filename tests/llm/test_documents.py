@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -359,6 +360,22 @@ def test_letters_outside_the_vocabulary_in_training_and_prediction(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_sums_of_texts_hold_few_words_at_a_time(monkeypatch):
+    draw = np.random.default_rng(5)
+    logs = draw.normal(size=(50, 10))
+    bounds = np.concatenate([[0], np.cumsum(draw.integers(1, 400, 5000))])
+    indices = draw.integers(0, 50, bounds[-1])
+    want = np.add.reduceat(logs[indices], bounds[:-1], axis=0)
+    tracemalloc.start()
+    got = language._sums(logs, indices, bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == want).all() and peak < 10 * 8 * len(indices) / 3
+    # Texts longer than what is held, and a few words at a time.
+    monkeypatch.setattr(language, "SUMMED", 7)
+    assert (language._sums(logs, indices[: bounds[30]], bounds[:31]) == want[:30]).all()
+
+
 def test_languages_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     from retinue.llm.queries import QUERIES

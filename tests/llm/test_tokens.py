@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from retinue.llm import bpe, tokenfiles
+from retinue.llm.defaults import bpe_digests
 from retinue.llm.eliasfano import EliasFano
 from retinue.llm.tasks import worker_memory
 
@@ -186,6 +187,18 @@ def test_byte_bpe_with_many_blocks(spark, encoding, monkeypatch):
     assert got == {i: encoding.encode_ordinary(t) for i, t in rows}
 
 
+def test_ids_are_decoded_where_they_are_put_together(spark):
+    rows, docs = table(spark)
+    once = bpe.encode(docs, path=RANKS, pattern=public_tokenizers.PATTERN, decoded=True)
+    again = bpe.decode(once.drop("content"), path=RANKS)
+    seen = [sorted((str(r.doc_id), r.ids, bytes(r.content)) for r in found.collect()) for found in (once, again)]
+    assert seen[0] == seen[1] and len(seen[0]) == len(rows)
+    # One step in Python for each stage: two would hold twice the workers.
+    plan = bpe_digests(docs)._jdf.queryExecution().sparkPlan().toString()
+    last = plan[: plan.index("FlatMapCoGroupsInArrow")]
+    assert "MapInArrow" not in last
+
+
 def test_blocks_are_cut_without_what_another_operator_left():
     worker_memory("language")["model"] = "large"
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "body": ["some words"]})
