@@ -31,6 +31,11 @@ from retinue.sources.tables import Tables
 
 PERSON = "customer_unique_id"
 BOUGHT_AT = "order_purchase_timestamp"
+#: Join hint for a side with one short row per key: each partition of it is hashed, and neither
+#: side is sorted. Keys that repeat are on the other side, which is streamed.
+HASHED = "shuffle_hash"
+#: A table of fewer rows may be small enough to broadcast, which the hint would rule out.
+MANY_ROWS = 1_000_000
 
 RECENCY = ("nb_commandes", "jours_depuis_derniere_commande", "est_churne", "segment_client")
 MONETARY = ("valeur_totale", "panier_moyen", "panier_moyen_par_commande")
@@ -65,7 +70,9 @@ def item_totals(t: Tables, categories: Categories | None = None) -> DataFrame:
     amount = F.col("price") + F.col("freight_value")
     items, bits = t["order_items"], []
     if categories:
-        items = items.join(categories.products, "product_id", "left")
+        many = t["products"].count() > MANY_ROWS
+        numbered = categories.products.hint(HASHED) if many else categories.products
+        items = items.join(numbered, "product_id", "left")
         bits = categories.collected(F.col("_numero"))
     return items.groupBy("order_id").agg(
         F.sum(amount).alias("montant_commande"), F.count(amount).alias("nb_lignes"), *bits
@@ -293,7 +300,7 @@ def payments(t: Tables, p: Params = DEFAULTS, kept: DataFrame | None = None) ->
     by_type = (
         t["order_payments"]
         .select("order_id", "payment_type", "payment_installments", "payment_value")
-        .join(kept.select("order_id", PERSON), "order_id")
+        .join(kept.select("order_id", PERSON).hint(HASHED), "order_id")
         .groupBy(PERSON, "payment_type")
         .agg(
             F.count("*").alias("n"),
@@ -385,12 +392,12 @@ def customer_features(
     facts, aggregates = kept, recency_aggregates()
     categories = Categories.of(t) if need["diversity"] else None
     if need["monetary"] or need["trend"] or categories:
-        facts = facts.join(item_totals(t, categories), "order_id", "left")
+        facts = facts.join(item_totals(t, categories).hint(HASHED), "order_id", "left")
         aggregates += monetary_aggregates()
     if categories:
         aggregates += categories.united()
     if need["satisfaction"]:
-        facts = facts.join(review_totals(t, p), "order_id", "left")
+        facts = facts.join(review_totals(t, p).hint(HASHED), "order_id", "left")
         aggregates += satisfaction_aggregates()
     if need["trend"]:
         aggregates += border_aggregates()
@@ -398,16 +405,22 @@ def customer_features(
     people = facts.groupBy(PERSON).agg(*aggregates)
     if categories:
         people = people.withColumn("nb_categories_distinctes", categories.size()).drop(*categories.names)
-    if ranked:
-        people = people.withColumn("_valeur", mean_later_order())
-        people = with_rank(settle(people), PERSON, "_valeur", "rang_par_valeur", task_rows=p.task_rows)
     if need["payments"]:
+        # Both sides are grouped by the customer, so they meet where they are.
         people = people.join(payments(t, p, kept), PERSON, "left")
+    if not ranked:
+        return feature_columns(people, reference_date(t), p, wanted)
 
-    return feature_columns(people, reference_date(t), p, wanted)
+    # Ranked last, as rows are moved and written for it: by now they are short.
+    rank, value = "rang_par_valeur", "_valeur"
+    unranked = [c for c in wanted if c != rank]
+    people = settle(feature_columns(people, reference_date(t), p, unranked, mean_later_order().alias(value)))
+    return with_rank(people, PERSON, value, rank, task_rows=p.task_rows).select(*wanted)
 
 
-def feature_columns(people: DataFrame, today: Column, p: Params, wanted: Iterable[str]) -> DataFrame:
+def feature_columns(
+    people: DataFrame, today: Column, p: Params, wanted: Iterable[str], *others: Column
+) -> DataFrame:
     """The final, rounded columns from the sums of each customer, its rank and what it is joined with."""
     people = people.withColumn("jours_depuis_derniere_commande", day_gap(today, F.col("derniere_commande")))
     values = {
@@ -432,7 +445,7 @@ def feature_columns(people: DataFrame, today: Column, p: Params, wanted: Iterabl
             F.col("nb_commandes"), F.col("jours_depuis_derniere_commande"), p
         ),
     }
-    return people.select(*[values[c].alias(c) for c in wanted])
+    return people.select(*[values[c].alias(c) for c in wanted], *others)
 
 
 def features_preview(t: Tables, p: Params = DEFAULTS, rows: int = 20) -> DataFrame:

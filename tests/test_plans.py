@@ -68,6 +68,28 @@ def test_items_combine_before_their_only_shuffle(t, no_broadcast):
     assert "Exchange hashpartitioning(order_id" in above_scan[-3]
 
 
+def test_ranking_is_the_last_step_of_the_flagship(t, no_broadcast):
+    """The customers meet their payments before they are ranked, and are not shuffled afterwards."""
+    plan = plan_of(features.customer_features(t))
+    assert "rang_par_valeur" in plan and "Exchange hashpartitioning(customer_unique_id" not in plan
+    assert "premiere#" not in plan and "derniere#" not in plan
+
+
+def test_facts_of_orders_are_hashed_and_not_sorted(t, no_broadcast):
+    """Only orders and accounts meet in a sort-merge join."""
+    columns = ["valeur_totale", "score_moyen_reviews"]
+    plan = plan_of(features.customer_features(t, columns=columns)).split("Subquery")[0]
+    assert plan.count("ShuffledHashJoin [order_id") == 2 and plan.count("SortMergeJoin") == 1
+    assert "ShuffledHashJoin [order_id" in plan_of(features.payments(t))
+
+
+@pytest.mark.parametrize("limit, hinted", [(0, True), (10**6, False)])
+def test_only_many_products_are_hashed(t, monkeypatch, limit, hinted):
+    monkeypatch.setattr(features, "MANY_ROWS", limit)
+    plan = features.item_totals(t, features.Categories.of(t))._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=shuffle_hash" in plan) is hinted
+
+
 def test_one_shuffle_per_table_on_the_order_key(t, no_broadcast):
     """The aggregated items are already placed by order id when they are joined."""
     plan = plan_of(features.monetary(t))
