@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retinue.llm.components import components
 from retinue.llm.frames import carried
 from retinue.llm.hnsw import Graph, audit, build, levels
+from retinue.llm.tasks import shrink
+from retinue.llm.tokenfiles import _store
 from retinue.operators.staging import settle
+from retinue.session import new_folder
 
 #: How far single precision may be off; pairs are verified in double precision.
 SLACK = 1e-4
 #: Pairs that are verified at a time.
 PAIRS = 1 << 16
+#: Tasks in which shards meet, at most.
+TASKS = 10_000
 
 
 def _usable(vector: Column) -> Column:
@@ -56,6 +63,10 @@ def joined(label: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarr
     return lowest(edges[0], edges[1], np.arange(len(label)))[label]
 
 
+def _name(dims: int, shard: int) -> str:
+    return f"{dims}-{shard}.arrow"
+
+
 @dataclass
 class Shard:
     """A graph with ids, numbers of copies and unit vectors in double precision, all in the graph's order."""
@@ -66,19 +77,41 @@ class Shard:
     units: np.ndarray
 
     @classmethod
-    def of(cls, row: dict, dims: int) -> Shard:
+    def read(cls, folder: str, dims: int, shard: int) -> Shard:
+        store, place = _store(folder)
+        with store.open_input_file(f"{place}/{_name(dims, shard)}") as file:
+            (row,) = pa.ipc.open_file(file).read_all().to_pylist()
         ids, copies = (np.frombuffer(row[c], "<i8") for c in ("ids", "copies"))
         return cls(Graph.frombytes(row["graph"]), ids, copies, np.frombuffer(row["units"], "<f8").reshape(-1, dims))
 
+    def write(self, folder: str, dims: int, shard: int) -> None:
+        """Aside first and then renamed: a task that runs twice leaves the same file."""
+        row = {
+            "graph": self.graph.tobytes(),
+            "ids": self.ids.astype("<i8").tobytes(),
+            "copies": self.copies.astype("<i8").tobytes(),
+            "units": self.units.astype("<f8").tobytes(),
+        }
+        store, place = _store(folder)
+        store.create_dir(place, recursive=True)
+        aside = f"{place}/.{_name(dims, shard)}.{TaskContext.get().taskAttemptId()}"
+        table = pa.table({name: pa.array([value], pa.binary()) for name, value in row.items()})
+        with store.open_output_stream(aside) as file, pa.ipc.new_file(file, table.schema) as out:
+            out.write_table(table)
+        store.move(aside, f"{place}/{_name(dims, shard)}")
+
     def found_in(self, other: Shard, least: float, block_rows: int) -> np.ndarray:
         """A row of bits for each vector: which of the other shard's vectors its search finds."""
-        blocks = []
-        for first in range(0, len(self.ids), block_rows):
-            asked = self.units[first : first + block_rows].astype(np.float32)
-            found = np.zeros((len(asked), len(other.ids)), bool)
-            found[other.graph.within(asked, least, other.graph.beam)] = True
-            blocks.append(np.packbits(found, axis=1))
-        return np.concatenate(blocks)
+        bits = np.zeros((len(self.ids), -(-len(other.ids) // 8)), np.uint8)
+        for rows, points in other.graph.finds(self.units.astype(np.float32), least, other.graph.beam):
+            starts = np.flatnonzero(np.diff(rows, prepend=-1))
+            for own in (starts[i : i + block_rows + 1] for i in range(0, len(starts), block_rows)):
+                end = own[block_rows] if len(own) > block_rows else len(rows)
+                own = own[:block_rows]
+                found = np.zeros((len(own), len(other.ids)), bool)
+                found[np.repeat(np.arange(len(own)), np.diff(own, append=end)), points[own[0] : end]] = True
+                bits[rows[own]] = np.packbits(found, axis=1)
+        return bits
 
 
 def linked_pairs(
@@ -86,11 +119,16 @@ def linked_pairs(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows ``first`` to ``end`` of ``a`` with rows of ``b`` found from either side, verified in double precision."""
     end = min(end, len(a.ids))
-    found = np.unpackbits(there[first:end], axis=1, count=len(b.ids)).astype(bool)
     start = first // 8 * 8
-    bits = np.unpackbits(back[:, first // 8 : -(-end // 8)], axis=1)[:, first - start : end - start]
-    rows, points = np.nonzero(found | bits.T.astype(bool))
-    rows += first
+    part = back[:, first // 8 : -(-end // 8)]
+    some = np.flatnonzero(part.any(axis=1))
+    bits = np.unpackbits(part[some], axis=1)[:, first - start : end - start].astype(bool)
+    # Most vectors have no link: only rows that any search found.
+    own = np.flatnonzero(there[first:end].any(axis=1) | bits.any(axis=0))
+    found = np.unpackbits(there[first + own], axis=1, count=len(b.ids)).astype(bool)
+    found[:, some] |= bits[:, own].T
+    rows, points = np.nonzero(found)
+    rows = first + own[rows]
     good = np.empty(len(rows), bool)
     for i in range(0, len(rows), PAIRS):
         part = slice(i, i + PAIRS)
@@ -98,8 +136,8 @@ def linked_pairs(
     return rows[good], points[good]
 
 
-def graphs(nodes: DataFrame, least: float, target: float) -> DataFrame:
-    """One audited graph for each ``dims`` and ``shard`` of ``nodes``."""
+def graphs(nodes: DataFrame, least: float, target: float, n_shards: int, folder: str) -> DataFrame:
+    """One audited graph for each ``dims`` and ``shard`` of ``nodes``, a file of ``folder``; returns what there is."""
 
     def grow(key: tuple, table: pa.Table) -> pa.Table:
         dims, shard = (k.as_py() for k in key)
@@ -111,37 +149,28 @@ def graphs(nodes: DataFrame, least: float, target: float) -> DataFrame:
         graph = build(units[order].astype(np.float32), level[order])
         audit(graph, least, target, rng)
         ids, copies = (table.column(c).to_numpy()[order] for c in ("node", "copies"))
-        return pa.table(
-            {
-                "dims": pa.array([dims], pa.int32()),
-                "shard": pa.array([shard], pa.int32()),
-                "graph": pa.array([graph.tobytes()], pa.binary()),
-                "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
-                "copies": pa.array([copies.astype("<i8").tobytes()], pa.binary()),
-                "units": pa.array([units[order].astype("<f8").tobytes()], pa.binary()),
-            }
-        )
+        Shard(graph, ids, copies, units[order]).write(folder, dims, shard)
+        return pa.table({"dims": pa.array([dims], pa.int32()), "shard": pa.array([shard], pa.int32())})
 
-    schema = "dims int, shard int, graph binary, ids binary, copies binary, units binary"
-    return nodes.select("dims", "shard", "node", "copies", "vector").groupBy("dims", "shard").applyInArrow(grow, schema)
+    # Each shard in a task of its own.
+    apart = nodes.select("dims", "shard", "node", "copies", "vector").repartitionById(n_shards, F.col("shard"))
+    return apart.groupBy("dims", "shard").applyInArrow(grow, "dims int, shard int")
 
 
-def found_links(shards: DataFrame, least: float, n_shards: int, block_rows: int) -> DataFrame:
+def found_links(shards: DataFrame, folder: str, least: float, block_rows: int) -> DataFrame:
     """All vectors of two shards against each other: ``node``, ``links`` between them, ``low`` (smallest node reached).
 
-    A task holds two shards, or one against itself. The vectors of each are looked up in the
-    graph of the other, and a pair found from either side is one link of both. What was found
-    is a bit for each pair, so that memory is bounded by the shards however many vectors are
-    alike. A task returns a row for each vector that has a link, never a row per pair.
+    A task opens the files of two shards, or of one against itself. The vectors of each are
+    looked up in the graph of the other, and a pair found from either side is one link of
+    both. What was found is a bit for each pair, so that memory is bounded by the shards
+    however many vectors are alike. A task returns a row for each vector that has a link,
+    never a row per pair.
     """
     schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        dims, low, high = (k.as_py() for k in key)
-        held = {r["shard"]: r for r in table.to_pylist()}
-        if low not in held or high not in held:
-            return schema.empty_table()
-        a, b = (Shard.of(held[n], dims) for n in (low, high))
+    def meet(dims: int, low: int, high: int) -> pa.RecordBatch:
+        a = Shard.read(folder, dims, low)
+        b = a if low == high else Shard.read(folder, dims, high)
         there = a.found_in(b, least - SLACK, block_rows)
         back = there if low == high else b.found_in(a, least - SLACK, block_rows)
         ids = a.ids if low == high else np.concatenate([a.ids, b.ids])
@@ -156,15 +185,20 @@ def found_links(shards: DataFrame, least: float, n_shards: int, block_rows: int)
             else:
                 np.add.at(links, place_b[points], a.copies[rows])
             np.add.at(links, place_a[rows], b.copies[points])
-            label = joined(label, place_a[rows], place_b[points])
+            if len(rows):
+                label = joined(label, place_a[rows], place_b[points])
         some = np.flatnonzero(links)
-        return pa.table([pa.array(names[some]), pa.array(links[some]), pa.array(names[label[some]])], schema=schema)
+        return pa.record_batch([pa.array(names[some]), pa.array(links[some]), pa.array(names[label[some]])], schema=schema)
 
-    other = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
-    both = shards.withColumn("other", other).withColumns(
-        {"low_shard": F.least("shard", "other"), "high_shard": F.greatest("shard", "other")}
-    )
-    return both.groupBy("dims", "low_shard", "high_shard").applyInArrow(meet, "node bigint, links bigint, low bigint")
+    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            yield meet(row["dims"], row["low_shard"], row["high_shard"])
+        shrink()
+
+    low, high = (shards.select("dims", F.col("shard").alias(c)) for c in ("low_shard", "high_shard"))
+    both = settle(low.join(high, "dims").where("low_shard <= high_shard").coalesce(1))
+    dealt = both.coalesce(1).repartition(min(max(1, both.count()), TASKS))
+    return dealt.mapInArrow(meetings, "node bigint, links bigint, low bigint")
 
 
 def near_vectors(
@@ -210,8 +244,9 @@ def near_vectors(
     n = nodes.count()
     n_shards = max(least_shards, -(-n // shard_rows))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(n_shards)).cast("int"))
-    shards = settle(graphs(dealt, least, target))
-    found = settle(found_links(shards, least, n_shards, block_rows))
+    folder = new_folder(vectors.sparkSession, "graphs")
+    shards = settle(graphs(dealt, least, target, n_shards, folder))
+    found = settle(found_links(shards, folder, least, block_rows))
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
     known = settle(

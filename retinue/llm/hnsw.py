@@ -3,13 +3,36 @@
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 
 #: Points that are searched together.
 QUERIES = 256
-#: Candidates of a search that are expanded at once.
+#: Candidates of a search that are expanded at once, and the part of a wide beam that is.
 STEP = 4
+STEPS = 32
+#: Places of beams that a block of searches holds together; wider beams are fewer.
+PLACES = 1 << 18
+#: Pairs whose cosines are computed at a time.
+PAIRS = 1 << 12
+#: A level with so many points at most is compared whole.
+WHOLE = 256
+#: No place in a beam: it sorts last and counts as expanded.
+NONE = np.uint64((1 << 64) - 1)
+
+
+def cosines(queries: np.ndarray, rows: np.ndarray, vectors: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Of pairs of a query and a vector. Room is used again, as fresh memory takes longer than the sums."""
+    out = np.empty(len(rows), np.float32)
+    room = np.empty((2, min(PAIRS, len(rows)), vectors.shape[1]), np.float32)
+    for start in range(0, len(rows), PAIRS):
+        own = slice(start, start + PAIRS)
+        a, b = room[:, : len(rows[own])]
+        queries.take(rows[own], axis=0, out=a, mode="clip")
+        vectors.take(points[own], axis=0, out=b, mode="clip")
+        np.einsum("nd,nd->n", a, b, out=out[own])
+    return out
 
 
 class Graph:
@@ -31,61 +54,75 @@ class Graph:
         return cls(*pickle.loads(data))
 
     def _walk(self, level: int, queries: np.ndarray, entries: np.ndarray, beam: int, limit: int):
-        """Best ``beam`` points for each query on a level, best first, from its entries.
+        """Best ``beam`` points for each query on a level, best first, from its entries (-1 for none).
 
         Expands the best points of each beam until the beam has no other. Only the first
-        ``limit`` points exist.
+        ``limit`` points exist. A place in a beam is a number: its bits are the distance, the
+        point and whether that is expanded, so that sorting numbers sorts places.
         """
         links, vectors = self.links[level], self.vectors
-        n = len(queries)
+        n, span = len(queries), limit + 1
         width = max(beam, entries.shape[1])
-        ids = np.full((n, width), -1, np.int32)
-        sims = np.full((n, width), -np.inf, np.float32)
-        ids[:, : entries.shape[1]] = entries
-        sims[:, : entries.shape[1]] = np.einsum("qd,qed->qe", queries, vectors[entries])
-        sims[ids < 0] = -np.inf
-        done = ids < 0
-        seen = np.zeros((n, limit), bool)
-        rows = np.arange(n)
-        seen[np.nonzero(entries >= 0)[0], entries[entries >= 0]] = True
-        while len(rows):
-            open_ = np.where(done[rows], -np.inf, sims[rows])
-            step = min(STEP, width)
-            best = np.argpartition(-open_, step - 1, axis=1)[:, :step]
-            good = np.take_along_axis(open_, best, axis=1) > -np.inf
-            alive = good.any(axis=1)
-            rows, best, good = rows[alive], best[alive], good[alive]
-            if not len(rows):
+        step = max(STEP, width // STEPS)
+        # A flag for each query and point, and before them one for -1, no point.
+        seen = np.zeros(n * span, bool)
+        first = np.arange(n, dtype=np.int32 if n * span < 1 << 31 else np.int64) * span + 1
+        seen[first - 1] = True
+        beams = np.full((n, width), NONE)
+        live = np.arange(n)
+        rows, j = np.nonzero(entries >= 0)
+        near = first[rows] + entries[rows, j]
+        while True:
+            near = near[~seen.take(near)]
+            near.sort()
+            near = near[np.diff(near, prepend=-1) != 0]
+            seen[near] = True
+            rows = near // span
+            points = near - rows * span - 1
+            apart = np.maximum(1 - cosines(queries, rows, vectors, points), 0)
+            places = apart.view(np.uint32).astype(np.uint64) << 32 | points.astype(np.uint64) << 1
+            better = places < beams[rows, -1]
+            rows, places = rows[better], places[better]
+            if len(rows):
+                starts = np.flatnonzero(np.diff(rows, prepend=-1))
+                counts = np.diff(starts, append=len(rows))
+                own = rows[starts]
+                wide = np.full((len(own), width + int(counts.max())), NONE)
+                wide[:, :width] = beams[own]
+                at = np.arange(len(rows)) - np.repeat(starts - width, counts)
+                wide[np.repeat(np.arange(len(own)), counts), at] = places
+                wide.sort(axis=1)
+                beams[own] = wide[:, :width]
+            open_ = (beams[live] & 1) == 0
+            alive = open_.any(axis=1)
+            live, open_ = live[alive], open_[alive]
+            if not len(live):
                 break
-            at = rows[:, None]
-            done[at, best] |= good
-            near = np.where(good[:, :, None], links[ids[at, best]], -1).reshape(len(rows), -1)
-            near.sort(axis=1)
-            fresh = (near >= 0) & (near < limit)
-            fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
-            fresh &= ~seen[at, np.where(fresh, near, 0)]
-            i, j = np.nonzero(fresh)
-            points = near[i, j]
-            seen[rows[i], points] = True
-            found = np.full(near.shape, -np.inf, np.float32)
-            found[i, j] = np.einsum("nd,nd->n", queries[rows[i]], vectors[points])
-            all_sims = np.concatenate([sims[rows], found], axis=1)
-            top = np.argpartition(-all_sims, width - 1, axis=1)[:, :width]
-            take = lambda a, b: np.take_along_axis(np.concatenate([a, b], axis=1), top, axis=1)
-            ids[rows] = take(ids[rows], np.where(fresh, near, -1).astype(np.int32))
-            done[rows] = take(done[rows], ~fresh)
-            sims[rows] = np.take_along_axis(all_sims, top, axis=1)
-        order = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
-        return np.take_along_axis(ids, order, axis=1), np.take_along_axis(sims, order, axis=1)
+            i, j = np.nonzero(open_ & (np.cumsum(open_, axis=1, dtype=np.int32) <= step))
+            rows = live[i]
+            best = beams[rows, j]
+            beams[rows, j] = best | 1
+            points = (best & 0xFFFFFFFF).astype(np.int64) >> 1
+            near = (links.take(points, axis=0) + first[rows][:, None]).ravel()
+        beams = beams[:, :beam]
+        ids = ((beams & 0xFFFFFFFF) >> 1).astype(np.int32)
+        sims = 1 - (beams >> 32).astype(np.uint32).view(np.float32)
+        ids[beams == NONE], sims[beams == NONE] = -1, -np.inf
+        return ids, sims
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids (-1 where there are fewer) and cosines of the ``beam`` best points found for each query."""
         entries = np.zeros((len(queries), 1), np.int32)
         for level in range(len(self.links) - 1, 0, -1):
-            entries, _ = self._walk(level, queries, entries, STEP, len(self.links[level]))
+            size = len(self.links[level])
+            if size > WHOLE:
+                entries, _ = self._walk(level, queries, entries, STEP, size)
+            elif len(self.links[level - 1]) > WHOLE or level == 1:
+                step = min(STEP, size)
+                best = np.argpartition(queries @ -self.vectors[:size].T, step - 1, axis=1)
+                entries = best[:, :step].astype(np.int32)
         if self.doors:
             doors = np.broadcast_to(np.array(self.doors, np.int32), (len(queries), len(self.doors)))
-            doors = np.where((doors[:, :, None] == entries[:, None, :]).any(axis=2), -1, doors)
             entries = np.concatenate([entries, doors], axis=1)
         return self._walk(0, queries, entries, min(beam, len(self)), len(self))
 
@@ -105,25 +142,31 @@ class Graph:
             start = int(np.argmin(reached))
             self.doors.append(start)
 
-    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, point) with a cosine of ``least`` or more.
+    def finds(self, queries: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, point) with a cosine of ``least`` or more, all pairs of a query at once.
 
         A query whose whole beam is that close may have more: its beam is widened fourfold
-        until it is not, or has seen every point.
+        until it is not, or has seen every point. Such queries of all blocks go together.
         """
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        for first in range(0, len(queries), QUERIES):
-            rows, width = np.arange(first, min(first + QUERIES, len(queries))), beam
-            while len(rows):
-                ids, sims = self.search(queries[rows], width)
+        rows, width = np.arange(len(queries)), beam
+        while len(rows):
+            block = min(QUERIES, max(1, PLACES // width))
+            wide = []
+            for first in range(0, len(rows), block):
+                own = rows[first : first + block]
+                ids, sims = self.search(queries[own], width)
                 close = (sims >= least) & (ids >= 0)
                 full = close.all(axis=1) & (ids.shape[1] < len(self))
                 i, j = np.nonzero(close & ~full[:, None])
-                pairs.append((rows[i], ids[i, j]))
-                rows, width = rows[full], width * 4
-        if not pairs:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]).astype(np.int64)
+                yield own[i], ids[i, j].astype(np.int64)
+                wide.append(own[full])
+            rows, width = np.concatenate(wide), width * 4
+
+    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of :meth:`finds`."""
+        none = np.empty(0, np.int64)
+        pairs = [(none, none), *self.finds(queries, least, beam)]
+        return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
 def _select(vectors: np.ndarray, points: np.ndarray, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:

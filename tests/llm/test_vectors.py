@@ -60,6 +60,56 @@ def test_small_graphs_hold_everything():
         assert sorted(zip(rows.tolist(), ids.tolist(), strict=True)) == [(i, i) for i in range(n)]
 
 
+class Rounds:
+    """Links of a graph that count how often a walk asks for them."""
+
+    def __init__(self, links):
+        self.links, self.count = links, 0
+
+    def __len__(self):
+        return len(self.links)
+
+    def __getitem__(self, points):
+        self.count += 1
+        return self.links[points]
+
+    def take(self, points, **kinds):
+        self.count += 1
+        return self.links.take(points, **kinds)
+
+
+def dense_graph(rng, n, alike):
+    x = groups(rng, n, 24, [alike], 0.1)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    level = hnsw.levels(1 - rng.random(n), 12)
+    order = np.argsort(-level, kind="stable")
+    return hnsw.build(x[order], level[order])
+
+
+def test_wide_beams_take_few_rounds():
+    graph = dense_graph(np.random.default_rng(5), 1500, 900)
+    want = graph.vectors @ graph.vectors.T >= 0.9
+    chosen = np.flatnonzero(want.sum(axis=1) > 800)[:8]
+    graph.links[0] = rounds = Rounds(graph.links[0])
+    rows, ids = graph.within(graph.vectors[chosen], 0.9, 64)
+    assert set(zip(rows.tolist(), ids.tolist(), strict=True)) == set(zip(*(w.tolist() for w in np.nonzero(want[chosen])), strict=True))
+    # Beams of 64, 256 and 1,024 places hold 900 close points.
+    assert rounds.count < 200
+
+
+def test_queries_of_all_blocks_widen_together(monkeypatch):
+    graph = dense_graph(np.random.default_rng(6), 1000, 150)
+    links = (graph.vectors @ graph.vectors.T >= 0.9).sum(axis=1)
+    dense, lone = graph.vectors[np.argmax(links)], graph.vectors[np.flatnonzero(links == 1)[0]]
+    queries = np.repeat(lone[None], 4 * hnsw.QUERIES, axis=0)
+    queries[:: hnsw.QUERIES] = dense
+    searched, search = [], hnsw.Graph.search
+    monkeypatch.setattr(hnsw.Graph, "search", lambda g, q, beam: searched.append((len(q), beam)) or search(g, q, beam))
+    rows, _ = graph.within(queries, 0.9, 64)
+    assert searched == [(hnsw.QUERIES, 64)] * 4 + [(4, 256)]
+    assert (np.bincount(rows) == np.where(np.arange(len(queries)) % hnsw.QUERIES, 1, links.max())).all()
+
+
 def test_links_and_components_by_brute_force(spark):
     rng = np.random.default_rng(4)
     x = groups(rng, 400, 16, [2, 5, 30, 90], 0.12).astype(np.float32)
@@ -72,6 +122,25 @@ def test_links_and_components_by_brute_force(spark):
     assert got == brute([r[0] for r in rows], x)
 
 
+def test_shards_meet_in_tasks_that_open_their_files(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for dims, n in ((6, 120), (9, 60), (3, 2)):
+        x = groups(rng, n, dims, [8, 15][: n // 50], 0.05).astype(np.float32)
+        rows.append(([len(rows) * 1000 + i for i in range(n)], x))
+    table = [(i, v.tolist(), 0, None, None) for ids, x in rows for i, v in zip(ids, x, strict=True)]
+    docs = spark.createDataFrame(table, TABLE).repartition(5)
+    found = embeddings.near_vectors(docs, shard_rows=30, least_shards=3, block_rows=13)
+    want = {i: w for ids, x in rows for i, w in brute(ids, x).items()}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found.collect()} == want
+    nodes = docs.selectExpr(
+        "vec_id AS node", "1L AS copies", "CAST(embedding AS array<double>) AS vector", "size(embedding) AS dims", "0 AS shard"
+    )
+    shards = embeddings.graphs(nodes, 0.9, 0.99, 1, embeddings.new_folder(spark, "graphs"))
+    # No graph is a value of a row.
+    assert sorted(map(tuple, shards.collect())) == [(3, 0), (6, 0), (9, 0)]
+
+
 def test_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [
