@@ -11,7 +11,7 @@ import numpy as np
 QUERIES = 256
 #: Candidates of a search that are expanded at once, and the part of a wide beam that is.
 STEP = 4
-STEPS = 32
+STEPS = 8
 #: Places of beams that a block of searches holds together; wider beams are fewer.
 PLACES = 1 << 18
 #: Pairs whose cosines are computed at a time.
@@ -35,6 +35,13 @@ def cosines(queries: np.ndarray, rows: np.ndarray, vectors: np.ndarray, points:
     return out
 
 
+def _first(values: np.ndarray) -> np.ndarray:
+    """Which of sorted values are the first of equal ones."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
+
+
 class Graph:
     """Unit vectors linked on levels; ``vectors`` are sorted so that each level is a beginning of them."""
 
@@ -75,16 +82,17 @@ class Graph:
         while True:
             near = near[~seen.take(near)]
             near.sort()
-            near = near[np.diff(near, prepend=-1) != 0]
+            near = near[_first(near)]
             seen[near] = True
             rows = near // span
             points = near - rows * span - 1
-            apart = np.maximum(1 - cosines(queries, rows, vectors, points), 0)
-            places = apart.view(np.uint32).astype(np.uint64) << 32 | points.astype(np.uint64) << 1
-            better = places < beams[rows, -1]
-            rows, places = rows[better], places[better]
-            if len(rows):
-                starts = np.flatnonzero(np.diff(rows, prepend=-1))
+            apart = np.maximum(1 - cosines(queries, rows, vectors, points), 0).view(np.uint32)
+            worst = (beams[:, -1] >> 32).astype(np.uint32)
+            better = np.flatnonzero(apart <= worst.take(rows))
+            if len(better):
+                rows = rows[better]
+                places = apart[better].astype(np.uint64) << 32 | points[better].astype(np.uint64) << 1
+                starts = np.flatnonzero(_first(rows))
                 counts = np.diff(starts, append=len(rows))
                 own = rows[starts]
                 wide = np.full((len(own), width + int(counts.max())), NONE)
